@@ -3,17 +3,54 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import ngram_join
-from .common import documents
+from . import line_dedup, ngram_join, substring_dedup
+from .common import LOWER, UPPER, documents
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_sets(documents(spark, sf_dir), n=4, num=85, den=100)
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.remove_repeats(documents(spark, sf_dir), width=35)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(documents(spark, sf_dir))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op10_line_dedup": op10_line_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+_WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
+
+ORACLE_SQL: dict[str, str] = {
+    "op4_substring_dedup": f"""
+        WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+        p AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS i, w FROM d WHERE len(w) >= 35),
+        s AS (SELECT doc_id, i, md5(array_to_string(list_slice(w, i, i + 34), ' ')) AS h FROM p),
+        r AS (SELECT doc_id, i FROM s WHERE h IN (SELECT h FROM s GROUP BY h HAVING count(*) > 1)),
+        c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS i FROM r),
+        g AS (SELECT doc_id, list(i) AS gone FROM c GROUP BY doc_id),
+        k AS (SELECT d.doc_id, len(w) AS n, coalesce(len(gone), 0) AS m,
+                     CASE WHEN gone IS NULL THEN w ELSE list_select(w, list_filter(range(1, len(w) + 1), lambda x: NOT list_contains(gone, x))) END AS kept
+              FROM d LEFT JOIN g USING (doc_id))
+        SELECT doc_id, n AS n_words, m AS n_removed, sha256(coalesce(array_to_string(kept, ' '), '')) AS kept_sha256 FROM k""",
+    "op10_line_dedup": f"""
+        WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+        l AS (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM d),
+        k AS (SELECT doc_id, i, lines[i] AS line, translate(trim(lines[i], {_SPACES}), '{UPPER}', '{LOWER}') AS key FROM l),
+        c AS (SELECT key, min(doc_id) AS keeper FROM k WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+        m AS (SELECT k.doc_id, k.i, k.line, coalesce(c.keeper <> k.doc_id, false) AS gone FROM k LEFT JOIN c USING (key))
+        SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+        FROM m GROUP BY doc_id""",
+}
