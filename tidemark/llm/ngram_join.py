@@ -4,14 +4,15 @@ Two sets of sizes a, b with Jaccard similarity of at least s differ in at most (
 elements. Sizes fall into bands whose ends are a factor s apart, so similar sets lie in one band or in
 neighbours; a set signs for its own band and the next. Within a band with at most k differences the
 domain of shingle hashes is cut into first-level partitions, each of those into three parts; the
-signatures are the hashes of a set on every two of a partition's three parts. There are so many
-partitions that two similar sets agree, but for one element, in at least two of them: so they share at
-least two signatures, and still share one if every set forgets its single most frequent signature of a
-band (which rids the join of what nearly all sets share, such as empty parts).
-
-Candidates are checked on the whole sets. Sets that are equal are one node. Within a bucket nodes are first
-checked against one hub, and only those that are then still in different components against each other: a
-group of near copies costs a star, not all its pairs.
+signatures are the hashes of a set on every two of a partition's three parts. Two similar sets agree, but for one
+element, in so many partitions that they still share a signature if each leaves out the few that
+stand for empty parts only, which would bring strangers together.
+
+Sets that are equal are one node. Nodes that share signatures form groups, each around a hub, the node that shares most.
+Every node is compared with its hub as a whole. What is left are pairs of which one is not linked with the
+hub. Such a pair's sets differ from the hub's in sets of elements that overlap by a known least amount if the
+two are linked, so they share one of the first few of those elements (those the hub lacks come first); pairs that do
+are compared as a whole. So a large group of near copies costs a star, not all its pairs, and no link is lost.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Scratch, doc_text
@@ -29,8 +30,6 @@ from .components import components
 from .words import Powers, U, Words, mix, slices, windows
 
 _SHINGLES = Powers(0xD1342543DE82EF95)
-#: Rounds in which a bucket's nodes meet its hub only, before the rest meet each other.
-STAR_ROUNDS = 2
 _OUT_ROWS = 1 << 16
 
 
@@ -49,7 +48,7 @@ def shingle_sets(w: Words, n: int) -> Iterator[tuple[int, np.ndarray]]:
 
 def fingerprint(f: np.ndarray) -> tuple[int, int]:
     """128 bits of a set, as two signed longs."""
-    a = mix(np.array([mix(f ^ U(0xA5A5A5A5A5A5A5A5)).sum(dtype=U) + U(len(f)), mix(f + U(0x1234567)).sum(dtype=U)]))
+    a = mix(np.array([mix(f).sum(dtype=U) + U(len(f)), mix(f ^ U(0xA5A5A5A5A5A5A5A5)).sum(dtype=U)]))
     return int(a[0].view(np.int64)), int(a[1].view(np.int64))
 
 
@@ -64,28 +63,51 @@ def bands(num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     return ends.astype(np.int64), (2 * ends * (den - num) // (den + num)).astype(np.int64)
 
 
-def signatures(f: np.ndarray, num: int, den: int) -> np.ndarray:
-    """A set's signatures for its band and the next; the lowest bit tells the two apart."""
-    ends, most = bands(num, den)
-    own = int(np.searchsorted(ends, len(f)))
-    total = np.zeros(len(f) + 1, U)
-    np.cumsum(mix(f), out=total[1:])
-    out = []
+@lru_cache(maxsize=256)
+def _scheme(own: int, num: int, den: int) -> tuple | None:
+    """Of sets in one band: cuts of the domain, the parts and salt of each signature, and of each band its signatures and spare ones."""
+    edges, one, two, salt, tail, spans, at = [], [], [], [], [], [], 0
     for band in (own, own + 1):
-        k = int(most[band])
+        k = int(bands(num, den)[1][band])
         if not k:  # only equal sets are similar
             continue
-        first = (k + 2) // 2 + 1
-        parts = 3 * first
-        step = (1 << 64) // parts
-        at = np.searchsorted(f, np.arange(1, parts, dtype=U) * U(step))
-        sums = np.diff(total[np.concatenate(([0], at, [len(f)]))]).reshape(first, 3)
-        salt = mix(np.arange(first, dtype=U) + U(band << 32))
+        first = (k + 2) // 2
+        spare = first // 16
+        first += spare
+        step = (1 << 64) // (3 * first)
+        edges.append(np.append(np.arange(3 * first, dtype=U) * U(step), U(2**64 - 1)))
+        p = np.arange(first)
         for leave in range(3):
-            a, b = sums[:, (leave + 1) % 3], sums[:, (leave + 2) % 3]
-            sig = mix(mix(a + salt) + b * U(3) + U(leave))
-            out.append((sig & ~U(1)) | U(band & 1))
-    return np.concatenate(out) if out else np.zeros(0, U)
+            one.append(at + 3 * p + (leave + 1) % 3)
+            two.append(at + 3 * p + (leave + 2) % 3)
+            salt.append(mix(p.astype(U) + U(band << 32)))
+            tail.append(np.full(first, leave << 1 | band & 1, U))
+        spans.append((3 * first, spare))
+        at += 3 * first + 1
+    return tuple(np.concatenate(x) for x in (edges, one, two, salt, tail)) + (spans,) if edges else None
+
+
+def signatures(f: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
+    """A set's signatures for its band and the next, and the first half of its fingerprint."""
+    total = np.zeros(len(f) + 1, U)
+    np.cumsum(mix(f), out=total[1:])
+    name = mix(total[-1:] + U(len(f)))
+    scheme = _scheme(int(np.searchsorted(bands(num, den)[0], len(f))), num, den) if len(f) else None
+    if scheme is None:
+        return np.zeros(0, U), name
+    edges, one, two, salt, tail, spans = scheme
+    sums = total[np.searchsorted(f, edges)]
+    sums = sums[1:] - sums[:-1]
+    a, b = sums[one], sums[two]
+    sig = mix(mix(a + salt) + b * U(3) + tail)
+    empty = (a | b) == 0
+    if empty.any():
+        keep, at = np.ones(len(sig), bool), 0
+        for n, spare in spans:
+            keep[at + np.flatnonzero(empty[at : at + n])[:spare]] = False
+            at += n
+        sig = sig[keep]
+    return sig, name
 
 
 def _per_text(n: int, rows: Callable, schema: pa.Schema) -> Callable:
@@ -119,7 +141,59 @@ def _column(parts: list, kind: pa.DataType) -> pa.Array:
     return pa.array(np.concatenate([np.asarray(p, dtype=np.int64) for p in parts]))
 
 
-def similar_sets(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, stats: dict | None = None) -> DataFrame:
+def _against_hub(num: int, den: int) -> Callable:
+    """A mapInArrow function over (group, node, hub, features, hub_features)."""
+    schema = pa.schema([("group", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("linked", pa.bool_()), ("apart", pa.int64()), ("most", pa.int64()), ("first", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            size, linked, apart, most, first = [], [], [], [], []
+            for x, h in zip(batch.column(2), batch.column(3), strict=True):
+                x, h = (np.sort(v.values.to_numpy().view(U)) for v in (x, h))
+                more, less = x[~np.isin(x, h, assume_unique=True)], h[~np.isin(h, x, assume_unique=True)]
+                d, k = len(more) + len(less), (den - num) * (len(x) + len(x) * den // num) // (den + num)
+                size.append(len(x))
+                linked.append(d * (den + num) <= (den - num) * (len(x) + len(h)))
+                apart.append(d)
+                most.append(k)
+                first.append(np.concatenate([more, less])[: k + 1])
+            cols = [batch.column(0), batch.column(1), *(pa.array(v) for v in (size, linked, apart, most)), _column([first], schema.field("first").type)]
+            yield pa.record_batch(cols, schema=schema)
+
+    return run
+
+
+def _groups(hits: DataFrame, scratch: Scratch) -> DataFrame:
+    """(group, node, hub) of the nodes that share signatures, directly or by others."""
+    nodes = scratch.table(hits.groupBy("node").agg(F.min("lo").alias("g"), F.count("*").alias("shares")), "shares")
+    of = hits.join(nodes.select("node", "g"), "node").select("sig", "g").distinct()
+    mixed = of.groupBy("sig").agg(F.min("g").alias("least"), F.max("g").alias("top")).filter("least < top").select("sig", "least")
+    edges = of.join(mixed, "sig").filter("g <> least").select(F.col("g").alias("a"), F.col("least").alias("b")).distinct()
+    joined = components(edges, scratch).withColumnRenamed("node", "g")
+    nodes = nodes.join(joined, "g", "left").select("node", "shares", F.coalesce("component", "g").alias("group"))
+    nodes = scratch.table(nodes, "groups")
+    hubs = nodes.groupBy("group").agg(F.max_by("node", F.struct("shares", "node")).alias("hub"))
+    return nodes.join(hubs, "group").select("group", "node", "hub")
+
+
+def _rest(near: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) of a group that may be linked although one of them is not linked with the hub."""
+    wild = near.filter(~F.col("linked")).select("group").distinct()
+    each = near.join(wild, "group", "left_semi").select("group", "node", "size", "linked", "apart", "most", F.posexplode("first").alias("at", "element"))
+    cols = ("node", "size", "linked", "apart", "at")
+    x = each.select("group", "element", *(F.col(c).alias(f"{c}_x") for c in cols))
+    y = each.filter(F.col("at") <= F.floor(F.col("most") / 2)).select("group", "element", *(F.col(c).alias(f"{c}_y") for c in cols))
+    sizes = F.col("size_x") + F.col("size_y")
+    least = F.ceil((F.col("apart_x") + F.col("apart_y") - F.floor(F.lit(den - num) * sizes / F.lit(den + num))) / 2)  # common elements
+    ordered = (F.col("apart_x") > F.col("apart_y")) | ((F.col("apart_x") == F.col("apart_y")) & (F.col("node_x") > F.col("node_y")))
+    met = x.join(y, ["group", "element"]).filter(
+        ordered & ~(F.col("linked_x") & F.col("linked_y")) & (F.least("size_x", "size_y") * den >= F.greatest("size_x", "size_y") * num)
+        & (F.col("at_x") <= F.col("apart_x") - least) & (F.col("at_y") <= F.col("apart_y") - least)
+    )
+    return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
+
+
+def similar_sets(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
     Words are runs of other than ASCII white space, A-Z lower-cased; a document's set holds its distinct
@@ -130,89 +204,45 @@ def similar_sets(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, stats:
     component_id null, linked with nothing. Rows with one doc_id are one document and may have several
     texts. Repeated rows come back as often as they came. Other columns are not read. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    scratch = Scratch(spark)
+    scratch = Scratch(docs.sparkSession)
     texts = doc_text(docs)
     known = texts.filter(F.col("doc_id").isNotNull())
     long4 = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64())])
-    sets = scratch.table(
-        known.mapInArrow(_per_text(n, lambda i, f: [[i], [len(f)], *([x] for x in fingerprint(f))], long4), "doc_id long, n_shingles long, set_a long, set_b long"),
-        "sets",
-    )
-    classes = scratch.table(
-        sets.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("size")), "classes"
-    )
+    measure = _per_text(n, lambda i, f: [[0 if i is None else i], [len(f)], *([x] for x in fingerprint(f))], long4)
+    sets = scratch.table(known.mapInArrow(measure, "doc_id long, n_shingles long, set_a long, set_b long"), "sets")
+    classes = scratch.table(sets.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node")), "classes")
     two = pa.schema([("sig", pa.int64()), ("set_a", pa.int64())])
 
     def sign(_, f):
-        s = signatures(f, num, den) if len(f) else f
-        return [s.view(np.int64), np.full(len(s), fingerprint(f)[0] if len(s) else 0, np.int64)]
+        s, name = signatures(f, num, den)
+        return [s.view(np.int64), np.repeat(name.view(np.int64), len(s))]
 
     signed = known.mapInArrow(_per_text(n, sign, two), "sig long, set_a long")
-    shared = scratch.table(signed.groupBy("sig").agg(F.min("set_a").alias("lo"), F.max("set_a").alias("hi")).filter("lo < hi").select("sig"), "shared")
+    shared = scratch.table(signed.groupBy("sig").agg(F.min("set_a").alias("lo"), F.max("set_a").alias("hi")).filter("lo < hi").select("sig", "lo"), "shared")
     hits = scratch.table(signed.join(shared.hint("shuffle_hash"), "sig"), "hits")
-    hits = scratch.table(hits.join(classes.select("set_a", "node", "size"), "set_a").select("sig", "node", "size").distinct(), "nodes")
-
-    # each node forgets its most frequent signature of a band
-    often = hits.groupBy("sig").agg(F.count("*").alias("often"))
-    order = Window.partitionBy("node", F.col("sig").bitwiseAND(1)).orderBy(F.desc("often"), F.desc("sig"))
-    buckets = scratch.table(hits.join(often, "sig").withColumn("nth", F.row_number().over(order)).filter("nth > 1").select("sig", "node", "size"), "buckets")
-
-    edges, tested, labels = None, None, None
-    features = None
-    turn = 0
-    while turn <= STAR_ROUNDS:
-        now = buckets.withColumn("component", F.col("node")) if labels is None else buckets.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-        mixed = now.groupBy("sig").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.min(F.struct("component", "node", "size")).alias("hub")).filter("lo < hi")
-        if turn < STAR_ROUNDS:
-            near = now.join(mixed, "sig").filter("component <> lo")
-            pairs = near.select(
-                F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"), F.col("node").alias("of"), F.least("size", "hub.size").alias("small"), F.greatest("size", "hub.size").alias("large")
-            )
-        else:
-            live = scratch.table(now.join(mixed.select("sig"), "sig", "left_semi"), "live")
-            x, y = (live.select("sig", *(F.col(c).alias(f"{c}_{s}") for c in ("node", "size", "component"))) for s in "xy")
-            pairs = x.join(y, "sig").filter("component_x < component_y").select(
-                F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b"), F.col("node_x").alias("of"), F.least("size_x", "size_y").alias("small"), F.greatest("size_x", "size_y").alias("large")
-            )
-        pairs = pairs.filter(F.col("small") * den >= F.col("large") * num).groupBy("a", "b").agg(F.count("*").alias("c"), F.min("of").alias("of"), F.first("small").alias("small"), F.first("large").alias("large"))
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        if turn < STAR_ROUNDS:  # each node meets the hub that it shares most with
-            pairs = pairs.groupBy("of").agg(F.max_by(F.struct("a", "b"), F.struct("c", "a", "b")).alias("p")).select("p.a", "p.b").distinct()
-        pairs = scratch.table(pairs.select("a", "b"), "pairs")
-        count = pairs.count()
-        if stats is not None:
-            stats.setdefault("pairs", []).append(count)
-        if not count:
-            if turn in (0, STAR_ROUNDS):
-                break
-            turn = STAR_ROUNDS
-            continue
-        turn += 1
-        if features is None:
-            wanted = hits.select("node").distinct()
-            ids = known.join(wanted, F.col("doc_id") == F.col("node"), "left_semi")
-            row = pa.schema([("node", pa.int64()), ("features", pa.list_(pa.int64()))])
-            features = scratch.table(ids.mapInArrow(_per_text(n, lambda i, f: [[i], [f]], row), "node long, features array<long>").filter(F.size("features") > 0), "features")
-        left, right = (features.select(F.col("node").alias(k), F.col("features").alias(f"f{k}")) for k in "ab")
-        both = F.size(F.array_intersect("fa", "fb"))
-        checked = pairs.join(left, "a").join(right, "b").withColumn("both", both)
-        checked = checked.filter(F.col("both") * den >= (F.size("fa") + F.size("fb") - F.col("both")) * num).select("a", "b").distinct()
-        found = scratch.table(checked, "links")
-        edges = found if edges is None else edges.unionByName(found)
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        labels = scratch.table(components(edges, scratch), "labels")
-    whole = classes.join(sets.filter("n_shingles > 0").select("doc_id", "set_a", "set_b").distinct(), ["set_a", "set_b"]).select("doc_id", "node")
-    if labels is None:
-        member = whole.select("doc_id", F.col("node").alias("component_id"))
-    else:
-        member = whole.join(labels, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
+    hits = scratch.table(hits.join(classes.select("set_a", "node"), "set_a").select("sig", "lo", "node").distinct(), "nodes")
+    groups = scratch.table(_groups(hits, scratch), "hubs")
+
+    row = pa.schema([("node", pa.int64()), ("features", pa.list_(pa.int64()))])
+    wanted = known.join(groups.select("node"), F.col("doc_id") == F.col("node"), "left_semi")
+    features = wanted.mapInArrow(_per_text(n, lambda i, f: [[i], [f]], row), "node long, features array<long>").filter(F.size("features") > 0)
+    features = scratch.table(features, "features")
+    whole = groups.filter("node <> hub").join(features, "node").join(features.select(F.col("node").alias("hub"), F.col("features").alias("hub_features")), "hub")
+    near = whole.select("group", "node", "features", "hub_features", "hub").mapInArrow(
+        _against_hub(num, den), "group long, node long, size long, linked boolean, apart long, most long, first array<long>"
+    )
+    near = scratch.table(near, "near")
+    pairs = scratch.table(_rest(near, num, den), "pairs")
+    left, right = (features.select(F.col("node").alias(k), F.col("features").alias(f"f{k}")) for k in "ab")
+    checked = pairs.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("fa", "fb")))
+    checked = checked.filter(F.col("both") * den >= (F.size("fa") + F.size("fb") - F.col("both")) * num).select("a", "b")
+    stars = near.filter("linked").join(groups, ["group", "node"]).select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    labels = components(stars.unionByName(checked).distinct(), scratch)
+
+    member = sets.filter("n_shingles > 0").join(classes, ["set_a", "set_b"]).join(labels, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
     member = member.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     result = sets.join(member, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    nameless = texts.filter(F.col("doc_id").isNull()).mapInArrow(
-        _per_text(n, lambda i, f: [[0], [len(f)], [0], [0]], long4), "doc_id long, n_shingles long, set_a long, set_b long"
-    )
+    nameless = texts.filter(F.col("doc_id").isNull()).select(F.lit(0).cast("long").alias("doc_id"), "text").mapInArrow(measure, "doc_id long, n_shingles long, set_a long, set_b long")
     return result.unionByName(nameless.select(F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("component_id")))
 
 
