@@ -26,6 +26,9 @@ def scratch_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
 
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 class Scratch:
     """Written tables that cut lineage: a lost executor costs a re-read, never a recomputation."""
 
@@ -35,7 +38,12 @@ class Scratch:
     def table(self, df: DataFrame, name: str) -> DataFrame:
         self.n += 1
         path = f"{self.base}/{self.n:02d}-{name}"
-        df.write.option("compression", "zstd").parquet(path)
+        before = self.spark.conf.get(_CLEAN, None)
+        self.spark.conf.set(_CLEAN, "true")  # what was shuffled for a written table is not needed again
+        try:
+            df.write.option("compression", "zstd").parquet(path)
+        finally:
+            self.spark.conf.unset(_CLEAN) if before is None else self.spark.conf.set(_CLEAN, before)
         return self.spark.read.schema(df.schema).parquet(path)
 
     def drop(self, df: DataFrame) -> None:

@@ -210,7 +210,9 @@ def remove_repeats(docs: DataFrame, width: int = 50) -> DataFrame:
     by_text = names.join(twice.hint("shuffle_hash"), "name").groupBy("id", "text_hash").agg(F.collect_set("name").alias("names"))
     wide = texts.select("id", "text_hash", "text").join(by_text, ["id", "text_hash"]).select("id", "text_hash", "text", "names")
     starts = scratch.table(wide.mapInArrow(_windows(width), "id long, text_hash long, start long, wide_a long, wide_b long"), "windows")
+    scratch.drop(names)
     again = starts.groupBy("wide_a", "wide_b").agg(F.count("*").alias("c")).filter("c > 1").select("wide_a", "wide_b")
     marks = starts.join(again.hint("shuffle_hash"), ["wide_a", "wide_b"]).groupBy("id", "text_hash").agg(F.collect_list(F.col("start")).alias("starts"))
     marks = scratch.table(marks, "marks")
+    scratch.drop(starts)
     return texts.join(marks, ["id", "text_hash"], "left").select("doc_id", "text", "starts").mapInArrow(_kept(width), "doc_id long, n_words long, n_removed long, kept_text string")
