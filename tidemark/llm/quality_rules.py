@@ -10,7 +10,7 @@ count for each statistic, bin and label.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -160,7 +160,18 @@ def learn(labelled: DataFrame, target: str = "bad") -> list[list[Term]]:
             break
         rules.append(rule[:k])
         left = left.filter(~_covers(rule[:k]))
-    return rules
+    return [_widen(labelled.filter(target), r) for r in rules]
+
+
+def _widen(bad: DataFrame, rule: list[Term]) -> list[Term]:
+    """Thresholds moved half way from their bin's edge to nearly all of the rows that the rule is for."""
+    cols = {t.feature: F.col(t.feature) for t in rule}
+    inside = F.lit(True)
+    for t in rule:
+        inside = inside & t.holds(cols)
+    ends = [F.percentile_approx(t.feature, 0.01 if t.above else 0.99, 10000).alias(f"t{i}") for i, t in enumerate(rule)]
+    far = bad.filter(inside).agg(*ends).first()
+    return [t if far[i] is None else replace(t, threshold=(t.threshold + far[i]) / 2) for i, t in enumerate(rule)]
 
 
 def verdict(rules: list[list[Term]], prefix: str = "") -> Column:

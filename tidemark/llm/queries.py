@@ -5,19 +5,44 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, ngram_join, substring_dedup
+from . import chat_format, license_scan, line_dedup, ngram_join, packing, pii, quality_rules, substring_dedup
 from .common import LOWER, UPPER, documents
 
 
+#: Stands in for a deployment's secret.
+PSEUDONYM_KEY = "tidemark-demo-key"
+
+
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_sets(documents(spark, sf_dir), n=4, num=85, den=100)
 
 
+def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(documents(spark, sf_dir), key=PSEUDONYM_KEY)
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(documents(spark, sf_dir))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = substring_dedup.remove_repeats(documents(spark, sf_dir), width=35)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(documents(spark, sf_dir))
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judge(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op7_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations 2k and 2k + 1 as chosen and rejected: the table has no pairs of its own."""
+    return chat_format.format_neighbours(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -25,7 +50,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
+    "op2_pii_pseudonyms": op2_pii_pseudonyms,
+    "op3_best_fit_packing": op3_best_fit_packing,
     "op4_substring_dedup": op4_substring_dedup,
+    "op5_license_scan": op5_license_scan,
+    "op6_quality_rules": op6_quality_rules,
+    "op7_preference_format": op7_preference_format,
     "op10_line_dedup": op10_line_dedup,
 }
 
