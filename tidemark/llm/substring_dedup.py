@@ -131,15 +131,20 @@ def _batches(cols: list[list[np.ndarray]], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def _names(width: int):
-    schema = pa.schema([(k, pa.int64()) for k in ("id", "text_hash", "name")])
+    schema = pa.schema([*((k, pa.int64()) for k in ("id", "text_hash", "name")), ("again", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids, hashes = (batch.column(i).to_numpy() for i in (0, 1))
             for w in slices(batch.column(2), lower=False):
                 m = Marks(w, width)
-                r = w.first + m.row
-                yield _batches([[ids[r]], [hashes[r]], [m.names]], schema)
+                order = np.lexsort((m.names, m.row))
+                row, name = m.row[order], m.names[order]
+                new = np.append(True, (row[1:] != row[:-1]) | (name[1:] != name[:-1])) if len(row) else np.zeros(0, bool)
+                at = np.flatnonzero(new)
+                again = np.diff(np.append(at, len(row))) > 1  # the text itself has the name twice
+                r = w.first + row[at]
+                yield pa.record_batch([pa.array(ids[r]), pa.array(hashes[r]), pa.array(name[at].view(np.int64)), pa.array(again)], schema=schema)
 
     return run
 
@@ -170,13 +175,15 @@ def _kept(width: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            starts = batch.column(2)
+            starts, copy = batch.column(2), batch.column(3).to_numpy(zero_copy_only=False)
             for w in slices(batch.column(1), lower=False):
                 counts, removed, texts = [], [], []
                 for r in range(w.n):
                     lo, hi = w.bounds[r], w.bounds[r + 1]
                     words = np.ones(hi - lo, bool)
-                    if starts[w.first + r].is_valid:
+                    if copy[w.first + r] and hi - lo >= width:
+                        words[:] = False
+                    elif starts[w.first + r].is_valid:
                         cover = np.zeros(hi - lo + 1, np.int64)
                         s = np.unique(starts[w.first + r].values.to_numpy())
                         cover[s] += 1
@@ -204,15 +211,22 @@ def remove_repeats(docs: DataFrame, width: int = 50) -> DataFrame:
     """
     scratch = Scratch(docs.sparkSession)
     texts = docs.select(*row_key(), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
-    three = "id long, text_hash long, name long"
-    names = scratch.table(texts.select("id", "text_hash", "text").mapInArrow(_names(width), three), "names")
-    twice = names.groupBy("name").agg(F.count("*").alias("c")).filter("c > 1").select("name")
-    by_text = names.join(twice.hint("shuffle_hash"), "name").groupBy("id", "text_hash").agg(F.collect_set("name").alias("names"))
+    # equal texts repeat each other whole; one of them stands for all against the others
+    keys = scratch.table(texts.select("id", "text_hash", F.xxhash64(F.lit("second"), "text").alias("other_hash")), "keys")
+    classes = keys.groupBy("text_hash", "other_hash").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
+    classes = scratch.table(classes, "classes")
+    names = scratch.table(texts.select("id", "text_hash", "text").mapInArrow(_names(width), "id long, text_hash long, name long, again boolean"), "names")
+    twice = names.groupBy("name").agg(F.min("text_hash").alias("lo"), F.max("text_hash").alias("hi"), F.max("again").alias("again")).filter("lo < hi or again").select("name")
+    by_text = names.join(twice.hint("shuffle_hash"), "name").join(classes.select("id", "text_hash"), ["id", "text_hash"], "left_semi")
+    by_text = scratch.table(by_text.groupBy("id", "text_hash").agg(F.collect_set("name").alias("names")), "by-text")
+    scratch.drop(names)
     wide = texts.select("id", "text_hash", "text").join(by_text, ["id", "text_hash"]).select("id", "text_hash", "text", "names")
     starts = scratch.table(wide.mapInArrow(_windows(width), "id long, text_hash long, start long, wide_a long, wide_b long"), "windows")
-    scratch.drop(names)
     again = starts.groupBy("wide_a", "wide_b").agg(F.count("*").alias("c")).filter("c > 1").select("wide_a", "wide_b")
     marks = starts.join(again.hint("shuffle_hash"), ["wide_a", "wide_b"]).groupBy("id", "text_hash").agg(F.collect_list(F.col("start")).alias("starts"))
-    marks = scratch.table(marks, "marks")
+    copies = keys.join(classes.filter("copies > 1").select("text_hash", "other_hash"), ["text_hash", "other_hash"], "left_semi").select("id", "text_hash").distinct()
+    marks = scratch.table(marks.join(copies.withColumn("copy", F.lit(True)), ["id", "text_hash"], "full").select("id", "text_hash", "starts", F.coalesce("copy", F.lit(False)).alias("copy")), "marks")
     scratch.drop(starts)
-    return texts.join(marks, ["id", "text_hash"], "left").select("doc_id", "text", "starts").mapInArrow(_kept(width), "doc_id long, n_words long, n_removed long, kept_text string")
+    return texts.join(marks, ["id", "text_hash"], "left").select("doc_id", "text", "starts", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(
+        _kept(width), "doc_id long, n_words long, n_removed long, kept_text string"
+    )
