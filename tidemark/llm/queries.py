@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, license_scan, line_dedup, ngram_join, packing, pii, quality_rules, substring_dedup
+from . import chat_format, decontaminate, license_scan, line_dedup, ngram_join, packing, pii, quality_rules, substring_dedup
 from .common import LOWER, UPPER, documents
 
 
@@ -43,6 +43,10 @@ def op7_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.format_neighbours(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
+def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.flag(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -56,6 +60,7 @@ QUERIES = {
     "op5_license_scan": op5_license_scan,
     "op6_quality_rules": op6_quality_rules,
     "op7_preference_format": op7_preference_format,
+    "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op10_line_dedup": op10_line_dedup,
 }
 
