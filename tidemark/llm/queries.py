@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, license_scan, line_dedup, ngram_join, packing, pii, quality_rules, substring_dedup
+from . import chat_format, decontaminate, html_text, license_scan, line_dedup, ngram_join, packing, pii, quality_rules, substring_dedup
 from .common import LOWER, UPPER, documents
 
 
@@ -47,6 +47,10 @@ def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.flag(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op9_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.drop_repeated_lines(documents(spark, sf_dir))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -61,6 +65,7 @@ QUERIES = {
     "op6_quality_rules": op6_quality_rules,
     "op7_preference_format": op7_preference_format,
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
+    "op9_html_main_text": op9_html_main_text,
     "op10_line_dedup": op10_line_dedup,
 }
 
