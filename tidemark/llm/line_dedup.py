@@ -227,3 +227,21 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFram
     index = LineIndex.for_docs(docs, min_chars)
     index.insert(docs)
     return index.apply(docs)
+
+
+def replace_texts(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    """``docs`` with the texts that :func:`drop_repeated_lines` leaves, all columns kept; ``n_chars``, if there, counts the new text's code points.
+
+    A null text stays null where no line of it is to go, as none is.
+    """
+    index = LineIndex.for_docs(docs, min_chars)
+    index.insert(docs)
+    of, keys = "__tidemark_of", "__tidemark_keys"
+    lost = index.drops().select(F.col("doc_id").alias(of), F.col("keys").alias(keys))
+    wide = docs.join(lost, docs["doc_id"].cast("long") == F.col(of), "left")
+    kept = F.filter(lines_of(F.col("text")), lambda x: (F.char_length(line_key(x)) < min_chars) | ~F.array_contains(F.col(keys), F.struct(*_key(line_key(x)))))
+    text = F.when(F.col(keys).isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    wide = wide.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        wide = wide.withColumn("n_chars", F.when(F.col(keys).isNull(), F.col("n_chars")).otherwise(F.char_length("text").cast(docs.schema["n_chars"].dataType)))
+    return wide.select(*(f"`{c}`" for c in docs.columns))
