@@ -8,9 +8,9 @@ signatures are the hashes of a set on every two of a partition's three parts. Tw
 element, in so many partitions that they still share a signature if each leaves out the few that
 stand for empty parts only, which would bring strangers together.
 
-Sets that are equal are one node. Nodes that share signatures form groups, each around a hub, the node that shares most.
-Every node is compared with its hub as a whole. What is left are pairs of which one is not linked with the
-hub. Such a pair's sets differ from the hub's in sets of elements that overlap by a known least amount if the
+Sets that are equal are one node. A node's hub is the one that most of its signatures point to as the most typical.
+Every node is compared as a whole with its hub and with those of the nodes that it shares a signature with. What is left are pairs under one
+hub of which one is not linked with the hub. Such a pair's sets differ from the hub's in sets of elements that overlap by a known least amount if the
 two are linked, so they share one of the first few of those elements (those the hub lacks come first); pairs that do
 are compared as a whole. So a large group of near copies costs a star, not all its pairs, and no link is lost.
 """
@@ -72,7 +72,7 @@ def _scheme(own: int, num: int, den: int) -> tuple | None:
         if not k:  # only equal sets are similar
             continue
         first = (k + 2) // 2
-        spare = first // 16
+        spare = first // 16 + (first >= 4)
         first += spare
         step = (1 << 64) // (3 * first)
         edges.append(np.append(np.arange(3 * first, dtype=U) * U(step), U(2**64 - 1)))
@@ -142,8 +142,8 @@ def _column(parts: list, kind: pa.DataType) -> pa.Array:
 
 
 def _against_hub(num: int, den: int) -> Callable:
-    """A mapInArrow function over (group, node, hub, features, hub_features)."""
-    schema = pa.schema([("group", pa.int64()), ("node", pa.int64()), ("size", pa.int64()), ("linked", pa.bool_()), ("apart", pa.int64()), ("most", pa.int64()), ("first", pa.list_(pa.int64()))])
+    """A mapInArrow function over (hub, node, features, hub_features, owned)."""
+    schema = pa.schema([("hub", pa.int64()), ("node", pa.int64()), ("owned", pa.bool_()), ("size", pa.int64()), ("linked", pa.bool_()), ("apart", pa.int64()), ("most", pa.int64()), ("first", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,37 +157,45 @@ def _against_hub(num: int, den: int) -> Callable:
                 apart.append(d)
                 most.append(k)
                 first.append(np.concatenate([more, less])[: k + 1])
-            cols = [batch.column(0), batch.column(1), *(pa.array(v) for v in (size, linked, apart, most)), _column([first], schema.field("first").type)]
+            cols = [batch.column(0), batch.column(1), batch.column(4), *(pa.array(v) for v in (size, linked, apart, most)), _column([first], schema.field("first").type)]
             yield pa.record_batch(cols, schema=schema)
 
     return run
 
 
-def _groups(hits: DataFrame, scratch: Scratch) -> DataFrame:
-    """(group, node, hub) of the nodes that share signatures, directly or by others."""
-    nodes = scratch.table(hits.groupBy("node").agg(F.min("lo").alias("g"), F.count("*").alias("shares")), "shares")
-    of = hits.join(nodes.select("node", "g"), "node").select("sig", "g").distinct()
-    mixed = of.groupBy("sig").agg(F.min("g").alias("least"), F.max("g").alias("top")).filter("least < top").select("sig", "least")
-    edges = of.join(mixed, "sig").filter("g <> least").select(F.col("g").alias("a"), F.col("least").alias("b")).distinct()
-    joined = components(edges, scratch).withColumnRenamed("node", "g")
-    nodes = nodes.join(joined, "g", "left").select("node", "shares", F.coalesce("component", "g").alias("group"))
-    nodes = scratch.table(nodes, "groups")
-    hubs = nodes.groupBy("group").agg(F.max_by("node", F.struct("shares", "node")).alias("hub"))
-    return nodes.join(hubs, "group").select("group", "node", "hub")
+def _groups(hits: DataFrame, sizes: DataFrame, scratch: Scratch) -> DataFrame:
+    """(hub, node, owned): every node with its own hub, and with the hubs of all nodes that it shares a signature with.
+
+    A bucket's champion is its node that shares the largest part of its signatures, so one with few differences from the others.
+    A node's hub is the champion of most of its buckets, then that one's hub in turn.
+    """
+    rank = hits.groupBy("node").agg(F.count("*").alias("n")).join(sizes, "node").select("node", (F.col("n") / F.col("size")).alias("rank"))
+    ranked = scratch.table(hits.join(scratch.table(rank, "rank"), "node").select("sig", "node", "rank"), "ranked")
+    champions = ranked.groupBy("sig").agg(F.max(F.struct("rank", F.col("node").alias("hub"))).alias("best"))
+    votes = ranked.join(champions, "sig").groupBy("node", "best").agg(F.count("*").alias("votes"))
+    hubs = votes.groupBy("node").agg(F.max_by("best.hub", F.struct("votes", "best")).alias("hub"))
+    hubs = scratch.table(hubs, "hub")
+    for _ in range(2):
+        up = hubs.select(F.col("node").alias("hub"), F.col("hub").alias("above"))
+        hubs = scratch.table(hubs.join(up, "hub", "left").select("node", F.coalesce("above", "hub").alias("hub")), "hub")
+    met = ranked.join(hubs, "node").select("sig", "hub").distinct()
+    member = hits.select("sig", "node").join(met, "sig").select("node", "hub").distinct()
+    own = hubs.withColumn("owned", F.lit(True))
+    return member.join(own, ["node", "hub"], "left").select("hub", "node", F.coalesce("owned", F.lit(False)).alias("owned")).filter("node <> hub")
 
 
 def _rest(near: DataFrame, num: int, den: int) -> DataFrame:
-    """Pairs (a, b) of a group that may be linked although one of them is not linked with the hub."""
-    wild = near.filter(~F.col("linked")).select("group").distinct()
-    each = near.join(wild, "group", "left_semi").select("group", "node", "size", "linked", "apart", "most", F.posexplode("first").alias("at", "element"))
-    cols = ("node", "size", "linked", "apart", "at")
-    x = each.select("group", "element", *(F.col(c).alias(f"{c}_x") for c in cols))
-    y = each.filter(F.col("at") <= F.floor(F.col("most") / 2)).select("group", "element", *(F.col(c).alias(f"{c}_y") for c in cols))
+    """Pairs (a, b) of a hub's nodes, one of them its own, that may be linked although one of them is not linked with the hub."""
+    wild = near.filter(~F.col("linked")).select("hub").distinct()
+    each = near.join(wild, "hub", "left_semi").select("hub", "node", "owned", "size", "linked", "apart", "most", F.posexplode("first").alias("at", "element"))
+    cols = ("node", "owned", "size", "linked", "apart", "at")
+    x = each.select("hub", "element", *(F.col(c).alias(f"{c}_x") for c in cols))
+    y = each.filter(F.col("at") <= F.floor(F.col("most") / 2)).select("hub", "element", *(F.col(c).alias(f"{c}_y") for c in cols))
     sizes = F.col("size_x") + F.col("size_y")
     least = F.ceil((F.col("apart_x") + F.col("apart_y") - F.floor(F.lit(den - num) * sizes / F.lit(den + num))) / 2)  # common elements
     ordered = (F.col("apart_x") > F.col("apart_y")) | ((F.col("apart_x") == F.col("apart_y")) & (F.col("node_x") > F.col("node_y")))
-    met = x.join(y, ["group", "element"]).filter(
-        ordered & ~(F.col("linked_x") & F.col("linked_y")) & (F.least("size_x", "size_y") * den >= F.greatest("size_x", "size_y") * num)
+    met = x.join(y, ["hub", "element"]).filter(
+        ordered & (F.col("owned_x") | F.col("owned_y")) & ~(F.col("linked_x") & F.col("linked_y")) & (F.least("size_x", "size_y") * den >= F.greatest("size_x", "size_y") * num)
         & (F.col("at_x") <= F.col("apart_x") - least) & (F.col("at_y") <= F.col("apart_y") - least)
     )
     return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
@@ -210,7 +218,7 @@ def similar_sets(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> Dat
     long4 = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64())])
     measure = _per_text(n, lambda i, f: [[0 if i is None else i], [len(f)], *([x] for x in fingerprint(f))], long4)
     sets = scratch.table(known.mapInArrow(measure, "doc_id long, n_shingles long, set_a long, set_b long"), "sets")
-    classes = scratch.table(sets.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node")), "classes")
+    classes = scratch.table(sets.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("size")), "classes")
     two = pa.schema([("sig", pa.int64()), ("set_a", pa.int64())])
 
     def sign(_, f):
@@ -218,25 +226,26 @@ def similar_sets(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> Dat
         return [s.view(np.int64), np.repeat(name.view(np.int64), len(s))]
 
     signed = known.mapInArrow(_per_text(n, sign, two), "sig long, set_a long")
-    shared = scratch.table(signed.groupBy("sig").agg(F.min("set_a").alias("lo"), F.max("set_a").alias("hi")).filter("lo < hi").select("sig", "lo"), "shared")
-    hits = scratch.table(signed.join(shared.hint("shuffle_hash"), "sig"), "hits")
-    hits = scratch.table(hits.join(classes.select("set_a", "node"), "set_a").select("sig", "lo", "node").distinct(), "nodes")
-    groups = scratch.table(_groups(hits, scratch), "hubs")
+    shared = scratch.table(signed.groupBy("sig").agg(F.min("set_a").alias("lo"), F.max("set_a").alias("hi")).filter("lo < hi").select("sig"), "shared")
+    hits = scratch.table(signed.join(shared.hint("shuffle_hash"), "sig").select("sig", "set_a"), "hits")
+    hits = scratch.table(hits.join(classes.select("set_a", "node"), "set_a").select("sig", "node").distinct(), "nodes")
+    sizes = classes.groupBy("node").agg(F.max("size").alias("size"))
+    groups = scratch.table(_groups(hits, sizes, scratch), "groups")
 
     row = pa.schema([("node", pa.int64()), ("features", pa.list_(pa.int64()))])
-    wanted = known.join(groups.select("node"), F.col("doc_id") == F.col("node"), "left_semi")
+    wanted = known.join(hits.select("node").distinct(), F.col("doc_id") == F.col("node"), "left_semi")
     features = wanted.mapInArrow(_per_text(n, lambda i, f: [[i], [f]], row), "node long, features array<long>").filter(F.size("features") > 0)
     features = scratch.table(features, "features")
-    whole = groups.filter("node <> hub").join(features, "node").join(features.select(F.col("node").alias("hub"), F.col("features").alias("hub_features")), "hub")
-    near = whole.select("group", "node", "features", "hub_features", "hub").mapInArrow(
-        _against_hub(num, den), "group long, node long, size long, linked boolean, apart long, most long, first array<long>"
+    whole = groups.join(features, "node").join(features.select(F.col("node").alias("hub"), F.col("features").alias("hub_features")), "hub")
+    near = whole.select("hub", "node", "features", "hub_features", "owned").mapInArrow(
+        _against_hub(num, den), "hub long, node long, owned boolean, size long, linked boolean, apart long, most long, first array<long>"
     )
     near = scratch.table(near, "near")
     pairs = scratch.table(_rest(near, num, den), "pairs")
     left, right = (features.select(F.col("node").alias(k), F.col("features").alias(f"f{k}")) for k in "ab")
     checked = pairs.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("fa", "fb")))
     checked = checked.filter(F.col("both") * den >= (F.size("fa") + F.size("fb") - F.col("both")) * num).select("a", "b")
-    stars = near.filter("linked").join(groups, ["group", "node"]).select(F.col("node").alias("a"), F.col("hub").alias("b"))
+    stars = near.filter("linked").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     labels = components(stars.unionByName(checked).distinct(), scratch)
 
     member = sets.filter("n_shingles > 0").join(classes, ["set_a", "set_b"]).join(labels, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))

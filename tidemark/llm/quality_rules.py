@@ -213,4 +213,6 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     stats = Scratch(docs.sparkSession).table(_stats(docs), "stats")
     rules = learn(_labelled(stats, labels))
     p = "__tidemark_"
-    return with_stats(docs, F.col("text"), p).filter(verdict(rules, p)).select(*(f"`{c}`" for c in docs.columns))
+    # the statistics are long expressions: a column that is not deterministic keeps the filter from repeating them
+    judged = with_stats(docs, F.col("text"), p).withColumn(f"{p}row", F.monotonically_increasing_id())
+    return judged.withColumn(f"{p}kept", F.coalesce(verdict(rules, p), F.lit(False))).filter((F.col(f"{p}row") >= 0) & F.col(f"{p}kept")).select(*(f"`{c}`" for c in docs.columns))
