@@ -70,4 +70,7 @@ def first_en_tag(tags: Column) -> Column:
 
 def distinct_from(a: list[Column], b: list[Column]) -> Column:
     """Null-safe inequality of two rows of columns."""
-    return ~F.struct(*a).eqNullSafe(F.struct(*b))
+    out = F.lit(False)
+    for x, y in zip(a, b, strict=True):
+        out = out | ~x.eqNullSafe(y)
+    return out
