@@ -30,6 +30,8 @@ from .components import components
 from .words import Powers, U, Words, mix, slices, windows
 
 _SHINGLES = Powers(0xD1342543DE82EF95)
+#: Rounds in which nodes take over the hub that prevails in their buckets.
+LABEL_ROUNDS = 2
 _OUT_ROWS = 1 << 16
 
 
@@ -167,7 +169,7 @@ def _groups(hits: DataFrame, sizes: DataFrame, scratch: Scratch) -> DataFrame:
     """(hub, node, owned): every node with its own hub, and with the hubs of all nodes that it shares a signature with.
 
     A bucket's champion is its node that shares the largest part of its signatures, so one with few differences from the others.
-    A node's hub is the champion of most of its buckets, then that one's hub in turn.
+    A node's hub is the champion of most of its buckets, then that one's hub in turn, then what prevails around it.
     """
     rank = hits.groupBy("node").agg(F.count("*").alias("n")).join(sizes, "node").select("node", (F.col("n") / F.col("size")).alias("rank"))
     ranked = scratch.table(hits.join(scratch.table(rank, "rank"), "node").select("sig", "node", "rank"), "ranked")
@@ -178,6 +180,10 @@ def _groups(hits: DataFrame, sizes: DataFrame, scratch: Scratch) -> DataFrame:
     for _ in range(2):
         up = hubs.select(F.col("node").alias("hub"), F.col("hub").alias("above"))
         hubs = scratch.table(hubs.join(up, "hub", "left").select("node", F.coalesce("above", "hub").alias("hub")), "hub")
+    for _ in range(LABEL_ROUNDS):  # the hub of most nodes in most of a node's buckets: a cluster comes to share one
+        common = ranked.join(hubs, "node").groupBy("sig", "hub").agg(F.count("*").alias("c")).groupBy("sig").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub"))
+        counted = ranked.select("sig", "node").join(common, "sig").groupBy("node", "hub").agg(F.count("*").alias("c"))
+        hubs = scratch.table(counted.groupBy("node").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub")), "hub")
     met = ranked.join(hubs, "node").select("sig", "hub").distinct()
     member = hits.select("sig", "node").join(met, "sig").select("node", "hub").distinct()
     own = hubs.withColumn("owned", F.lit(True))
