@@ -166,7 +166,7 @@ def _against_hub(num: int, den: int) -> Callable:
 
 
 def _groups(hits: DataFrame, sizes: DataFrame, scratch: Scratch) -> DataFrame:
-    """(hub, node, owned): every node with its own hub, and with the hubs of all nodes that it shares a signature with.
+    """(hub, node, owned): every node with its own hub, and with the smaller hubs of nodes that it shares a signature with.
 
     A bucket's champion is its node that shares the largest part of its signatures, so one with few differences from the others.
     A node's hub is the champion of most of its buckets, then that one's hub in turn, then what prevails around it.
@@ -186,8 +186,9 @@ def _groups(hits: DataFrame, sizes: DataFrame, scratch: Scratch) -> DataFrame:
         hubs = scratch.table(counted.groupBy("node").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub")), "hub")
     met = ranked.join(hubs, "node").select("sig", "hub").distinct()
     member = hits.select("sig", "node").join(met, "sig").select("node", "hub").distinct()
-    own = hubs.withColumn("owned", F.lit(True))
-    return member.join(own, ["node", "hub"], "left").select("hub", "node", F.coalesce("owned", F.lit(False)).alias("owned")).filter("node <> hub")
+    # two nodes of different hubs meet under the smaller of them
+    own = member.join(hubs.withColumnRenamed("hub", "own"), "node").withColumn("owned", F.col("own") == F.col("hub"))
+    return own.filter("(owned or own > hub) and node <> hub").select("hub", "node", "owned")
 
 
 def _rest(near: DataFrame, num: int, den: int) -> DataFrame:
