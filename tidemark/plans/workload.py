@@ -44,7 +44,7 @@ TABLES = {
     "w_locations": "SELECT n_nationkey AS location_id, n_name AS shop_name, concat('city ', n_name) AS city, substring(n_name, 1, 2) AS country_code FROM nation",
     # a change log: one key for each user; the first event of a user may be of any kind
     "w_log": """SELECT user_id AS id, event_id AS _lsn, CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END AS _op, CASE WHEN event_type <> 'error' THEN event_type END AS kind,
-        CASE WHEN event_type <> 'error' THEN floor(value) END AS amount, ts AS _source_ts, ts AS _ingested_at FROM events""",
+        CASE WHEN event_type <> 'error' THEN CAST(floor(value) AS bigint) END AS amount, ts AS _source_ts, ts AS _ingested_at FROM events""",
     "w_stock": """SELECT CAST(user_id % 10 AS int) AS store_id, user_id AS product_id, event_id AS _lsn, CASE WHEN event_type = 'error' THEN 'd' WHEN event_type = 'signup' THEN 'c' ELSE 'u' END AS _op,
         CASE WHEN event_type <> 'error' THEN CASE WHEN value < 5 THEN 0 ELSE CAST(floor(value) AS int) END END AS on_hand, 10 AS reorder_point, ts AS updated_at, ts AS _source_ts FROM events""",
 }
