@@ -35,6 +35,8 @@ def test_formats_and_validation(spark):
     assert re.sub(r"\D", "", got[1][0]) == re.sub(r"\D", "", got[3][0])  # equal values stay linked
     assert got[7][0].endswith("@mail7.example.com!") and "me.34" not in got[7][0]
     assert re.fullmatch(r'token = "[0-9a-f]{40}"', got[8][0]) and got[8][0] != texts[8]
+    odd = pseudonyms(spark, ["leenè.90@mail2.example.com de"])[0]
+    assert odd[1] == 1 and "90@" not in odd[0] and "leenè" not in odd[0]
     s = got[9][0].replace(" ", "")
     assert int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97 == 1
 
