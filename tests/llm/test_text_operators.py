@@ -242,6 +242,21 @@ def test_decontamination(spark):
     assert not any(r["contaminated"] for r in decontaminate.flag(frame(spark, docs), bench.limit(0)).collect())
 
 
+def test_decontamination_of_long_and_short_items(spark):
+    """A passage's cosine with a long item is low, and so is that of a full passage with a short item."""
+    rng = random.Random(8)
+    vocab = [f"v{i}" for i in range(3000)]
+    draw = lambda n: [rng.choice(vocab) for _ in range(n)]
+    long, middle, short = draw(600), draw(120), ["common", "words", "only"]
+    part = [x if i % 5 < 3 or i >= 96 else f"other{i}" for i, x in enumerate(middle)]
+    docs = [(1, long), (2, draw(50) + long + draw(50)), (3, draw(40) + part + draw(40)), (4, draw(30) + short + draw(30)), (5, draw(300)), (6, long[:200]), (7, ["common"] + draw(30) + ["only"])]
+    docs += [(d, ["common", f"r{d}", "words", f"s{d}", "only"][d % 5 :: 2][:1] + draw(20)) for d in range(10, 60)]
+    items = [(0, long), (1, middle), (2, short)]
+    text = lambda rows: [(i, " ".join(w)) for i, w in rows]
+    got = decontaminate.flag(spark.createDataFrame(text(docs), S), spark.createDataFrame(text(items), "item_id long, text string")).collect()
+    assert {r["doc_id"]: r["item_ids"] for r in got if r["contaminated"]} == {1: [0], 2: [0], 3: [1], 4: [2]}
+
+
 def test_common_subsequence():
     assert decontaminate.common_subsequence([1, 2, 3, 4], [9, 1, 3, 4, 2]) == [True, False, True, True]
     assert decontaminate.leaks([True] * 8 + [False] * 2)[0] and not decontaminate.leaks([True] * 6 + [False] * 4)[0]
