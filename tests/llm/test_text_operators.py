@@ -146,6 +146,28 @@ def test_line_index_is_reversible(spark):
     assert sorted(map(tuple, index.apply(spark.createDataFrame(rows, S)).collect())) == kept_lines(rows)
 
 
+def test_line_index_keeps_keys_that_share_a_fingerprint(spark):
+    import numpy as np
+
+    lines = spark.range(120_000).select(F.concat(F.lit("a long line, number "), "id").alias("line")).withColumn("key", F.xxhash64("line")).collect()
+    mark, one, two = line_dedup.CuckooFilter.sized(line_dedup.KEYS_PER_SHARD // 8)._place(np.array([r["key"] for r in lines]))
+    seen, pair = {}, None
+    for i, place in enumerate(zip(mark.tolist(), np.minimum(one, two).tolist())):
+        if place in seen:
+            pair = lines[seen[place]]["line"], lines[i]["line"]
+            break
+        seen[place] = i
+    assert pair
+    index = line_dedup.LineIndex(spark, 1)
+    index.insert(spark.createDataFrame([(1, pair[0])], S))
+    index.insert(spark.createDataFrame([(2, pair[1])], S))
+    index.delete(spark.createDataFrame([(1,)], "doc_id long"))
+    index.insert(spark.createDataFrame([(3, pair[1])], S))
+    assert [(r["n_docs"], r["keeper"]) for r in index.counts.collect()] == [(2, 2)]
+    rows = [(2, pair[1]), (3, pair[1])]
+    assert sorted(map(tuple, index.apply(spark.createDataFrame(rows, S)).collect())) == kept_lines(rows)
+
+
 def test_cuckoo_filter_misses_nothing():
     import numpy as np
 

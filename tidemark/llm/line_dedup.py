@@ -174,8 +174,18 @@ class LineIndex:
             # the filters were empty: what they have seen are chance meetings of two new keys
             self.counts, self.postings = fresh.unionByName(seen), new
             return
-        both = self.counts.unionByName(seen).groupBy("shard", *KEY).agg(F.sum("n_docs").alias("n_docs"), F.min("keeper").alias("keeper"))
-        self.counts = self.scratch.table(both.unionByName(fresh), "counts")
+        # keys that the filters claim by chance get fingerprints of their own, or a deletion would take another key's
+        chance = self.scratch.table(seen.join(self.counts, ["shard", *KEY], "left_anti").select("shard", "key_a"), "chance")
+        if not chance.isEmpty():
+
+            def add(key: tuple, rows: pa.Table, old: pa.Table) -> pa.Table:
+                f = CuckooFilter.from_bytes(old["buckets"][0].as_py())
+                f.insert(np.unique(rows["key_a"].to_numpy()))
+                return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "buckets": [f.to_bytes()]})
+
+            self.filters = self.scratch.table(chance.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(add, "shard int, buckets binary"), "filters")
+        both = self.counts.unionByName(seen).unionByName(fresh).groupBy("shard", *KEY).agg(F.sum("n_docs").alias("n_docs"), F.min("keeper").alias("keeper"))
+        self.counts = self.scratch.table(both, "counts")
         self.postings = self.scratch.table(self.postings.unionByName(new), "all-postings")
 
     def delete(self, doc_ids: DataFrame) -> None:
