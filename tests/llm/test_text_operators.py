@@ -107,6 +107,17 @@ def test_remove_repeats_edges(spark):
     assert got == {1: 60_000, None: 60_000, 2: 0}
 
 
+@pytest.mark.parametrize("seed", [24, 45])
+def test_remove_repeats_of_a_phrase_said_back_to_back(spark, seed):
+    r = random.Random(seed)
+    t = [" ".join(f"w{r.randrange(10**6)}" for _ in range(400)) for _ in range(3)]
+    for d in range(30):
+        phrase, n = [f"p{seed}x{d}x{i}" for i in range(6 + (d + seed) % 12)], 36 + r.randrange(30)
+        t.append(" ".join([" ".join(f"w{r.randrange(10**6)}" for _ in range(60)), " ".join((phrase * 12)[:n]), " ".join(f"w{r.randrange(10**6)}" for _ in range(60))]))
+    rows = list(enumerate(t))
+    assert sorted(map(tuple, substring_dedup.remove_repeats(spark.createDataFrame(rows, S).coalesce(1), 35).collect())) == repeats(rows, 35)
+
+
 def kept_lines(rows):
     key = lambda x: x.strip(" \t\n\x0b\f\r").translate(LOW)
     held = defaultdict(set)

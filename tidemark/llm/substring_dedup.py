@@ -95,7 +95,7 @@ class Marks:
                 lo, hi = np.minimum(lo, at - half), np.maximum(hi, at + half - 1)
                 a, b = np.maximum(hi - width + 1, 0), np.minimum(lo, last)  # window starts that see it whole
                 fits = np.flatnonzero((a <= b) & (lo >= 0) & (hi < n))
-                fits = fits[np.argsort(near[at[fits] - half])]
+                fits = fits[np.argsort(near[at[fits] - half], kind="stable")]  # of equal names the first, as in every equal window
                 a, b, at = a[fits], b[fits], at[fits]
                 best, none = np.full(len(open_), len(at)), len(at)  # each window's boundary of this round with the least name
                 for d in range(int((b - a).max(initial=-1)) + 1):
