@@ -312,6 +312,20 @@ def test_main_text(spark):
     assert got[20] == ("alone", 5) and got[21] == ("", 0) and got[22] == ("", 0) and got[23] == ("plain é", 7)
 
 
+def test_main_text_template_is_confirmed_by_all_pages(spark):
+    page = lambda body: f"<html><body>{body}</body></html>"
+    big = "".join(f"<div><p>x{i}</p></div>" for i in range(300))
+    rows = [(i, "http://often.example/", page(f"<p>once in three</p><p>head</p><p>own {i}</p>" if i % 3 else f"<p>head</p><p>own {i}</p>")) for i in range(60)]
+    rows += [(100 + i, "http://big.example/", page(f"<p>same</p><p>own {i}</p>{big.replace('x', f'x{i}-')}")) for i in range(6)]
+    rows += [(200 + i, "http://art.example/", page(f"<article><p>same</p><p>own {i}</p></article>")) for i in range(6)]
+    rows += [(300 + i, "http://few.example/", page(f"<p>same</p><p>own {min(i, 3)}</p><!-- {i} -->")) for i in range(80)]
+    got = {r["page_id"]: r["text"].split("\n") for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == (["once in three"] if i % 3 else []) + [f"own {i}"] for i in range(60))
+    assert all(got[100 + i][:2] == [f"own {i}", f"x{i}-0"] for i in range(6))
+    assert all(got[200 + i] == ["same", f"own {i}"] for i in range(6))
+    assert all(got[300 + i] == [f"own {min(i, 3)}"] for i in range(80))
+
+
 def test_simple_tree_matching():
     a, b = html_text.parse("<div><p>a</p><ul><li>b</li></ul></div>"), html_text.parse("<div><p>x</p><p>y</p><ul><li>b</li><li>c</li></ul></div>")
     assert html_text.match(a, b) == 5
