@@ -210,8 +210,10 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that :func:`judge` keeps, with all their columns, without a shuffle of texts."""
-    stats = Scratch(docs.sparkSession).table(_stats(docs), "stats")
-    rules = learn(_labelled(stats, labels))
+    ids = labels.select(F.col("doc_id").cast("long").alias("__tidemark_label")).dropna().distinct()
+    taught = docs.join(ids, docs["doc_id"].cast("long") == F.col("__tidemark_label"), "left_semi")
+    scratch = Scratch(docs.sparkSession)
+    rules = learn(_labelled(scratch.table(_stats(taught), "stats"), labels))  # only labelled rows teach
     p = "__tidemark_"
     # the statistics are long expressions: a column that is not deterministic keeps the filter from repeating them
     judged = with_stats(docs, F.col("text"), p).withColumn(f"{p}row", F.monotonically_increasing_id())
