@@ -16,11 +16,13 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 def scratch_dir(spark: SparkSession) -> str:
     """A new folder below ``spark.checkpoint.dir``, which driver and executors share.
 
-    Only where the setting is absent (single-machine tests) a temporary folder is chosen, and kept
-    for the session.
+    Without the setting a temporary folder serves a local session, whose one process is driver and executor; on a
+    cluster the setting must be there.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.tidemark.scratch", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="tidemark-")
         spark.conf.set("spark.tidemark.scratch", base)
     return f"{base.rstrip('/')}/tidemark-{uuid.uuid4().hex}"
@@ -34,6 +36,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession):
         self.spark, self.base, self.n = spark, scratch_dir(spark), 0
+        self.paths: dict[int, tuple[DataFrame, str]] = {}
 
     def table(self, df: DataFrame, name: str) -> DataFrame:
         self.n += 1
@@ -44,15 +47,14 @@ class Scratch:
             df.write.option("compression", "zstd").parquet(path)
         finally:
             self.spark.conf.unset(_CLEAN) if before is None else self.spark.conf.set(_CLEAN, before)
-        return self.spark.read.schema(df.schema).parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(back)] = back, path
+        return back
 
     def drop(self, df: DataFrame) -> None:
-        """Free a table that no later result reads."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        for f in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            path = jvm.org.apache.hadoop.fs.Path(f)
-            path.getFileSystem(conf).delete(path, True)
+        """Free a written table that no later result reads."""
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(df))[1])
+        path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

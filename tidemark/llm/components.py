@@ -30,7 +30,8 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
     """
     now, seen = scratch.table(edges.select("a", "b").filter("a <> b"), "edges"), None
     while True:
-        now = scratch.table(_small_star(_large_star(now)), "stars")
+        before, now = now, scratch.table(_small_star(_large_star(now)), "stars")
+        scratch.drop(before)
         state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state == seen:
             break

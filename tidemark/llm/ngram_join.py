@@ -8,7 +8,8 @@ signatures are the hashes of a set on every two of a partition's three parts. Tw
 element, in so many partitions that they still share a signature if each leaves out the few that
 stand for empty parts only, which would bring strangers together.
 
-Sets that are equal are one node. A node's hub is the one that most of its signatures point to as the most typical.
+Sets that are equal are one node, and only one text of each node signs. Signature rows are shuffled once: sorted by signature, a
+streaming pass keeps those that two nodes share. A node's hub is the one that most of its signatures point to as the most typical.
 Every node is compared as a whole with its hub and with those of the nodes that it shares a signature with. What is left are pairs under one
 hub of which one is not linked with the hub. Such a pair's sets differ from the hub's in sets of elements that overlap by a known least amount if the
 two are linked, so they share one of the first few of those elements (those the hub lacks come first); pairs that do
@@ -32,6 +33,8 @@ from .words import Powers, U, Words, mix, slices, windows
 _SHINGLES = Powers(0xD1342543DE82EF95)
 #: Rounds in which nodes take over the hub that prevails in their buckets.
 LABEL_ROUNDS = 2
+#: Nodes of one hub that a task compares with it.
+GROUP_PART = 1 << 10
 _OUT_ROWS = 1 << 16
 
 
@@ -89,14 +92,13 @@ def _scheme(own: int, num: int, den: int) -> tuple | None:
     return tuple(np.concatenate(x) for x in (edges, one, two, salt, tail)) + (spans,) if edges else None
 
 
-def signatures(f: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
-    """A set's signatures for its band and the next, and the first half of its fingerprint."""
+def signatures(f: np.ndarray, num: int, den: int) -> np.ndarray:
+    """A set's signatures for its band and the next."""
     total = np.zeros(len(f) + 1, U)
     np.cumsum(mix(f), out=total[1:])
-    name = mix(total[-1:] + U(len(f)))
     scheme = _scheme(int(np.searchsorted(bands(num, den)[0], len(f))), num, den) if len(f) else None
     if scheme is None:
-        return np.zeros(0, U), name
+        return np.zeros(0, U)
     edges, one, two, salt, tail, spans = scheme
     sums = total[np.searchsorted(f, edges)]
     sums = sums[1:] - sums[:-1]
@@ -109,7 +111,7 @@ def signatures(f: np.ndarray, num: int, den: int) -> tuple[np.ndarray, np.ndarra
             keep[at + np.flatnonzero(empty[at : at + n])[:spare]] = False
             at += n
         sig = sig[keep]
-    return sig, name
+    return sig
 
 
 def _per_text(n: int, rows: Callable, schema: pa.Schema) -> Callable:
@@ -143,36 +145,96 @@ def _column(parts: list, kind: pa.DataType) -> pa.Array:
     return pa.array(np.concatenate([np.asarray(p, dtype=np.int64) for p in parts]))
 
 
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows (sig, node) in order, each once, those whose signature another node has too; only one row waits at a time."""
+    wait, last, out = None, None, None  # the first row of an unfinished run, the last row seen, the signature already found shared
+    for batch in batches:
+        sig, node = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+        new = np.ones(len(sig), bool)
+        new[1:] = (sig[1:] != sig[:-1]) | (node[1:] != node[:-1])
+        if len(sig) and last == (sig[0], node[0]):
+            new[0] = False
+        sig, node = sig[new], node[new]
+        if not len(sig):
+            continue
+        last = sig[-1], node[-1]
+        if wait is not None:
+            sig, node = np.append(wait[0], sig), np.append(wait[1], node)
+        begin = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+        count = np.diff(np.append(begin, len(sig)))
+        keep = count > 1
+        keep[0] |= out is not None and sig[0] == out
+        wait = None if keep[-1] else (sig[-1], node[-1])
+        out = sig[-1] if keep[-1] else None
+        rows = np.repeat(keep, count)
+        yield pa.record_batch([pa.array(sig[rows]), pa.array(node[rows])], names=["sig", "node"])
+
+
+def _send(n: int) -> Callable:
+    """A mapInArrow function over (text, targets): the text's features once for each hub and part that it goes to."""
+    schema = pa.schema([("hub", pa.int64()), ("part", pa.int64()), ("member", pa.bool_()), ("node", pa.int64()), ("owned", pa.bool_()), ("features", pa.list_(pa.int64()))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, targets = batch.column(0), batch.column(2)
+            for w in slices(batch.column(1), lower=True):
+                for r, f in shingle_sets(w, n):
+                    if not len(f):
+                        continue
+                    to = targets[r].values
+                    for at in range(0, len(to), 256):
+                        some = to.slice(at, 256)
+                        features = _column([[f] * len(some)], schema.field("features").type)
+                        yield pa.record_batch([some.field("hub"), some.field("part"), some.field("member"), pa.array([ids[r].as_py()] * len(some), pa.int64()), some.field("owned"), features], schema=schema)
+
+    return run
+
+
 def _against_hub(num: int, den: int) -> Callable:
-    """A mapInArrow function over (hub, node, features, hub_features, owned)."""
+    """A mapInArrow function over (hub, part, member, node, owned, features): in each part the hub's own rows come first."""
     schema = pa.schema([("hub", pa.int64()), ("node", pa.int64()), ("owned", pa.bool_()), ("size", pa.int64()), ("linked", pa.bool_()), ("apart", pa.int64()), ("most", pa.int64()), ("first", pa.list_(pa.int64()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, hubs = None, []
         for batch in batches:
-            size, linked, apart, most, first = [], [], [], [], []
-            for x, h in zip(batch.column(2), batch.column(3), strict=True):
-                x, h = (np.sort(v.values.to_numpy().view(U)) for v in (x, h))
-                more, less = x[~np.isin(x, h, assume_unique=True)], h[~np.isin(h, x, assume_unique=True)]
-                d, k = len(more) + len(less), (den - num) * (len(x) + len(x) * den // num) // (den + num)
-                size.append(len(x))
-                linked.append(d * (den + num) <= (den - num) * (len(x) + len(h)))
-                apart.append(d)
-                most.append(k)
-                first.append(np.concatenate([more, less])[: k + 1])
-            cols = [batch.column(0), batch.column(1), batch.column(4), *(pa.array(v) for v in (size, linked, apart, most)), _column([first], schema.field("first").type)]
-            yield pa.record_batch(cols, schema=schema)
+            hub, part, member, node, owned = (batch.column(i).to_pylist() for i in range(5))
+            out: list[tuple] = []
+            ends = batch.column(5).offsets.to_numpy()
+            flat = batch.column(5).values.to_numpy().view(U)
+            for i in range(len(ends) - 1):
+                x = flat[ends[i] : ends[i + 1]]
+                if (hub[i], part[i]) != now:
+                    now, hubs = (hub[i], part[i]), []
+                if not member[i]:
+                    hubs.append(x.copy())
+                    continue
+                for h in hubs:  # more than one only where a doc_id has several texts
+                    more, less = x[~_in(x, h)], h[~_in(h, x)]
+                    d, k = len(more) + len(less), (den - num) * (len(x) + len(x) * den // num) // (den + num)
+                    linked = d * (den + num) <= (den - num) * (len(x) + len(h))
+                    out.append((hub[i], node[i], owned[i], len(x), linked, d, k, np.concatenate([more, less])[: k + 1]))
+            if out:
+                cols = list(zip(*out, strict=True))
+                yield pa.record_batch([pa.array(c, s.type) for c, s in zip(cols[:7], schema, strict=False)] + [_column([cols[7]], schema.field("first").type)], schema=schema)
 
     return run
 
 
-def _groups(hits: DataFrame, sizes: DataFrame, scratch: Scratch) -> DataFrame:
+def _in(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which of x are in y; both ascending and without repeats."""
+    if not len(y):
+        return np.zeros(len(x), bool)
+    return y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
+
+
+def _groups(hits: DataFrame, sizes: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
     """(hub, node, owned): every node with its own hub, and with the smaller hubs of nodes that it shares a signature with.
 
     A bucket's champion is its node that shares the largest part of its signatures, so one with few differences from the others.
     A node's hub is the champion of most of its buckets, then that one's hub in turn, then what prevails around it.
     """
-    rank = hits.groupBy("node").agg(F.count("*").alias("n")).join(sizes, "node").select("node", (F.col("n") / F.col("size")).alias("rank"))
-    ranked = scratch.table(hits.join(scratch.table(rank, "rank"), "node").select("sig", "node", "rank"), "ranked")
+    rank = hits.groupBy("node").agg(F.count("*").alias("n")).join(sizes, "node").select("node", "size", (F.col("n") / F.col("size")).alias("rank"))
+    ranked = scratch.table(hits.join(rank, "node").select("sig", "node", "size", "rank"), "ranked")
     champions = ranked.groupBy("sig").agg(F.max(F.struct("rank", F.col("node").alias("hub"))).alias("best"))
     votes = ranked.join(champions, "sig").groupBy("node", "best").agg(F.count("*").alias("votes"))
     hubs = votes.groupBy("node").agg(F.max_by("best.hub", F.struct("votes", "best")).alias("hub"))
@@ -184,11 +246,15 @@ def _groups(hits: DataFrame, sizes: DataFrame, scratch: Scratch) -> DataFrame:
         common = ranked.join(hubs, "node").groupBy("sig", "hub").agg(F.count("*").alias("c")).groupBy("sig").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub"))
         counted = ranked.select("sig", "node").join(common, "sig").groupBy("node", "hub").agg(F.count("*").alias("c"))
         hubs = scratch.table(counted.groupBy("node").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub")), "hub")
-    met = ranked.join(hubs, "node").select("sig", "hub").distinct()
-    member = hits.select("sig", "node").join(met, "sig").select("node", "hub").distinct()
+    met = ranked.join(hubs, "node").groupBy("sig", "hub").agg(F.min("size").alias("least"), F.max("size").alias("most"))
+    # a node meets the hub of another node of its bucket if one of that hub's nodes there is near it in size
+    near = (F.col("least") * num <= F.col("size") * den) & (F.col("size") * num <= F.col("most") * den)
+    member = ranked.select("sig", "node", "size").join(met, "sig").filter(near).select("node", "hub").distinct()
     # two nodes of different hubs meet under the smaller of them
     own = member.join(hubs.withColumnRenamed("hub", "own"), "node").withColumn("owned", F.col("own") == F.col("hub"))
-    return own.filter("(owned or own > hub) and node <> hub").select("hub", "node", "owned")
+    groups = scratch.table(own.filter("(owned or own > hub) and node <> hub").select("hub", "node", "owned"), "groups")
+    scratch.drop(ranked)
+    return groups
 
 
 def _rest(near: DataFrame, num: int, den: int) -> DataFrame:
@@ -208,6 +274,21 @@ def _rest(near: DataFrame, num: int, den: int) -> DataFrame:
     return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
 
 
+def _compared(texts: DataFrame, groups: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    """Every (hub, node) compared as whole sets. A hub of many nodes is sent to as many parts, so no task holds them all."""
+    counts = groups.groupBy("hub").agg(F.ceil(F.count("*") / GROUP_PART).alias("parts"))
+    part = F.pmod(F.xxhash64("node"), F.col("parts"))
+    members = groups.join(counts, "hub").select("node", F.struct("hub", part.alias("part"), F.lit(True).alias("member"), "owned").alias("t"))
+    every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
+    leads = counts.select("hub", every).select(F.col("hub").alias("node"), F.struct("hub", "part", F.lit(False).alias("member"), F.lit(True).alias("owned")).alias("t"))
+    targets = members.unionByName(leads).groupBy("node").agg(F.collect_list("t").alias("targets"))
+    sent = texts.join(targets, F.col("doc_id") == F.col("node")).select("doc_id", "text", "targets")
+    sent = sent.mapInArrow(_send(n), "hub long, part long, member boolean, node long, owned boolean, features array<long>")
+    return sent.repartition("hub", "part").sortWithinPartitions("hub", "part", "member").mapInArrow(
+        _against_hub(num, den), "hub long, node long, owned boolean, size long, linked boolean, apart long, most long, first array<long>"
+    )
+
+
 def similar_sets(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
 
@@ -226,34 +307,35 @@ def similar_sets(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> Dat
     measure = _per_text(n, lambda i, f: [[0 if i is None else i], [len(f)], *([x] for x in fingerprint(f))], long4)
     sets = scratch.table(known.mapInArrow(measure, "doc_id long, n_shingles long, set_a long, set_b long"), "sets")
     classes = scratch.table(sets.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("size")), "classes")
-    two = pa.schema([("sig", pa.int64()), ("set_a", pa.int64())])
+    two = pa.schema([("sig", pa.int64()), ("node", pa.int64())])
 
-    def sign(_, f):
-        s, name = signatures(f, num, den)
-        return [s.view(np.int64), np.repeat(name.view(np.int64), len(s))]
+    def sign(i, f):
+        s = signatures(f, num, den)
+        return [s.view(np.int64), np.repeat(np.int64(i), len(s))]
 
-    signed = known.mapInArrow(_per_text(n, sign, two), "sig long, set_a long")
-    shared = scratch.table(signed.groupBy("sig").agg(F.min("set_a").alias("lo"), F.max("set_a").alias("hi")).filter("lo < hi").select("sig"), "shared")
-    hits = scratch.table(signed.join(shared.hint("shuffle_hash"), "sig").select("sig", "set_a"), "hits")
-    hits = scratch.table(hits.join(classes.select("set_a", "node"), "set_a").select("sig", "node").distinct(), "nodes")
+    # one text of each node signs
+    nodes = classes.select("node").distinct()
+    signers = known.join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
+    signed = signers.mapInArrow(_per_text(n, sign, two), "sig long, node long")
+    hits = scratch.table(signed.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(_shared, "sig long, node long"), "hits")
     sizes = classes.groupBy("node").agg(F.max("size").alias("size"))
-    groups = scratch.table(_groups(hits, sizes, scratch), "groups")
+    groups = _groups(hits, sizes, num, den, scratch)
+    scratch.drop(hits)
 
-    row = pa.schema([("node", pa.int64()), ("features", pa.list_(pa.int64()))])
-    wanted = known.join(hits.select("node").distinct(), F.col("doc_id") == F.col("node"), "left_semi")
-    features = wanted.mapInArrow(_per_text(n, lambda i, f: [[i], [f]], row), "node long, features array<long>").filter(F.size("features") > 0)
-    features = scratch.table(features, "features")
-    whole = groups.join(features, "node").join(features.select(F.col("node").alias("hub"), F.col("features").alias("hub_features")), "hub")
-    near = whole.select("hub", "node", "features", "hub_features", "owned").mapInArrow(
-        _against_hub(num, den), "hub long, node long, owned boolean, size long, linked boolean, apart long, most long, first array<long>"
-    )
-    near = scratch.table(near, "near")
+    near = scratch.table(_compared(known, groups, n, num, den), "near")
+    scratch.drop(groups)
     pairs = scratch.table(_rest(near, num, den), "pairs")
+    row = pa.schema([("node", pa.int64()), ("features", pa.list_(pa.int64()))])
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    features = known.join(ends, F.col("doc_id") == F.col("node"), "left_semi").mapInArrow(_per_text(n, lambda i, f: [[i], [f]], row), "node long, features array<long>")
+    features = scratch.table(features.filter(F.size("features") > 0), "features")
     left, right = (features.select(F.col("node").alias(k), F.col("features").alias(f"f{k}")) for k in "ab")
     checked = pairs.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("fa", "fb")))
     checked = checked.filter(F.col("both") * den >= (F.size("fa") + F.size("fb") - F.col("both")) * num).select("a", "b")
     stars = near.filter("linked").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     labels = components(stars.unionByName(checked).distinct(), scratch)
+    for done in (near, pairs, features):
+        scratch.drop(done)
 
     member = sets.filter("n_shingles > 0").join(classes, ["set_a", "set_b"]).join(labels, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
     member = member.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
