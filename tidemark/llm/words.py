@@ -64,8 +64,8 @@ class Words(NamedTuple):
     data: np.ndarray
 
 
-def slices(texts: pa.Array, lower: bool) -> Iterator[Words]:
-    """The words ``[^\\x20\\x09-\\x0D]+`` of each text; null counts as empty."""
+def slices(texts: pa.Array, lower: bool, size: int = SLICE_BYTES) -> Iterator[Words]:
+    """The words ``[^\\x20\\x09-\\x0D]+`` of each text, about ``size`` bytes at once; null counts as empty."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -76,7 +76,7 @@ def slices(texts: pa.Array, lower: bool) -> Iterator[Words]:
     whole = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
     at = 0
     while at < rows:
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE_BYTES, "right")) - 1)
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
         data = whole[offsets[at] : offsets[to]]
         if lower:
             data = _LOWER[data]
