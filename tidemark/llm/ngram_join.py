@@ -8,7 +8,7 @@ signatures are the hashes of a set on every two of a partition's three parts. Tw
 element, in so many partitions that they still share a signature if each leaves out the few that
 stand for empty parts only, which would bring strangers together.
 
-Sets that are equal are one node, and only one text of each node signs. Signature rows are shuffled once: sorted by signature, a
+Sets that are equal are one node, and a task signs for each only once. Signature rows are shuffled once: sorted by signature, a
 streaming pass keeps those that two nodes share. A node's hub is the one that most of its signatures point to as the most typical.
 Every node is compared as a whole with its hub and with those of the nodes that it shares a signature with. What is left are pairs under one
 hub of which one is not linked with the hub. Such a pair's sets differ from the hub's in sets of elements that overlap by a known least amount if the
@@ -35,6 +35,8 @@ _SHINGLES = Powers(0xD1342543DE82EF95)
 LABEL_ROUNDS = 2
 #: Nodes of one hub that a task compares with it.
 GROUP_PART = 1 << 10
+#: Sets that a task remembers to have signed for.
+REMEMBERED = 1 << 19
 _OUT_ROWS = 1 << 16
 
 
@@ -145,8 +147,30 @@ def _column(parts: list, kind: pa.DataType) -> pa.Array:
     return pa.array(np.concatenate([np.asarray(p, dtype=np.int64) for p in parts]))
 
 
+def _sign(n: int, num: int, den: int) -> Callable:
+    """A mapInArrow function over (doc_id, text): signatures and the set's name. Copies that a task has signed for lately are passed over."""
+    schema = pa.schema([("sig", pa.int64()), ("set_a", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[tuple[int, int]] = set()
+
+        def rows(_, f):
+            name = fingerprint(f)
+            if name in seen:
+                return [np.zeros(0, np.int64)] * 2
+            if len(seen) >= REMEMBERED:
+                seen.clear()  # signing again is harmless
+            seen.add(name)
+            s = signatures(f, num, den)
+            return [s.view(np.int64), np.repeat(np.int64(name[0]), len(s))]
+
+        yield from _per_text(n, rows, schema)(batches)
+
+    return run
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows (sig, node) in order, each once, those whose signature another node has too; only one row waits at a time."""
+    """Of rows (sig, set_a) in order, each once, those whose signature another set has too; only one row waits at a time."""
     wait, last, out = None, None, None  # the first row of an unfinished run, the last row seen, the signature already found shared
     for batch in batches:
         sig, node = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
@@ -167,7 +191,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wait = None if keep[-1] else (sig[-1], node[-1])
         out = sig[-1] if keep[-1] else None
         rows = np.repeat(keep, count)
-        yield pa.record_batch([pa.array(sig[rows]), pa.array(node[rows])], names=["sig", "node"])
+        yield pa.record_batch([pa.array(sig[rows]), pa.array(node[rows])], names=["sig", "set_a"])
 
 
 def _send(n: int) -> Callable:
@@ -274,14 +298,15 @@ def _rest(near: DataFrame, num: int, den: int) -> DataFrame:
     return met.select(F.least("node_x", "node_y").alias("a"), F.greatest("node_x", "node_y").alias("b")).distinct()
 
 
-def _compared(texts: DataFrame, groups: DataFrame, n: int, num: int, den: int) -> DataFrame:
+def _compared(texts: DataFrame, groups: DataFrame, n: int, num: int, den: int, scratch: Scratch) -> DataFrame:
     """Every (hub, node) compared as whole sets. A hub of many nodes is sent to as many parts, so no task holds them all."""
     counts = groups.groupBy("hub").agg(F.ceil(F.count("*") / GROUP_PART).alias("parts"))
     part = F.pmod(F.xxhash64("node"), F.col("parts"))
     members = groups.join(counts, "hub").select("node", F.struct("hub", part.alias("part"), F.lit(True).alias("member"), "owned").alias("t"))
     every = F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")
     leads = counts.select("hub", every).select(F.col("hub").alias("node"), F.struct("hub", "part", F.lit(False).alias("member"), F.lit(True).alias("owned")).alias("t"))
-    targets = members.unionByName(leads).groupBy("node").agg(F.collect_list("t").alias("targets"))
+    # written, so that the join with the texts knows their size
+    targets = scratch.table(members.unionByName(leads).groupBy("node").agg(F.collect_list("t").alias("targets")), "targets")
     sent = texts.join(targets, F.col("doc_id") == F.col("node")).select("doc_id", "text", "targets")
     sent = sent.mapInArrow(_send(n), "hub long, part long, member boolean, node long, owned boolean, features array<long>")
     return sent.repartition("hub", "part").sortWithinPartitions("hub", "part", "member").mapInArrow(
@@ -307,22 +332,16 @@ def similar_sets(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> Dat
     measure = _per_text(n, lambda i, f: [[0 if i is None else i], [len(f)], *([x] for x in fingerprint(f))], long4)
     sets = scratch.table(known.mapInArrow(measure, "doc_id long, n_shingles long, set_a long, set_b long"), "sets")
     classes = scratch.table(sets.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("size")), "classes")
-    two = pa.schema([("sig", pa.int64()), ("node", pa.int64())])
-
-    def sign(i, f):
-        s = signatures(f, num, den)
-        return [s.view(np.int64), np.repeat(np.int64(i), len(s))]
-
-    # one text of each node signs
-    nodes = classes.select("node").distinct()
-    signers = known.join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
-    signed = signers.mapInArrow(_per_text(n, sign, two), "sig long, node long")
-    hits = scratch.table(signed.repartition("sig").sortWithinPartitions("sig", "node").mapInArrow(_shared, "sig long, node long"), "hits")
+    signed = known.mapInArrow(_sign(n, num, den), "sig long, set_a long")
+    shared = signed.repartition("sig").sortWithinPartitions("sig", "set_a").mapInArrow(_shared, "sig long, set_a long")
+    shared = scratch.table(shared, "shared")
+    hits = scratch.table(shared.join(classes.select("set_a", "node"), "set_a").select("sig", "node").distinct(), "hits")
+    scratch.drop(shared)
     sizes = classes.groupBy("node").agg(F.max("size").alias("size"))
     groups = _groups(hits, sizes, num, den, scratch)
     scratch.drop(hits)
 
-    near = scratch.table(_compared(known, groups, n, num, den), "near")
+    near = scratch.table(_compared(known, groups, n, num, den, scratch), "near")
     scratch.drop(groups)
     pairs = scratch.table(_rest(near, num, den), "pairs")
     row = pa.schema([("node", pa.int64()), ("features", pa.list_(pa.int64()))])
