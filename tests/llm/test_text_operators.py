@@ -5,6 +5,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -74,6 +76,24 @@ def test_similar_sets(spark, n, num, den):
     assert got == linked(rows, n, num, den)
 
 
+def test_similar_sets_of_buckets_that_are_too_large_for_pairs(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BUCKET", 1)
+    rows = corpus(11, 50)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.similar_sets(frame(spark, rows), 4, 85, 100).collect()}
+    assert got == linked(rows, 4, 85, 100)
+
+
+def test_bit_maps_bound_the_difference():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(0, 2**63, int(n), dtype=np.uint64)) for n in (1, 5, 40, 300, 900, 40_000)]
+    sets += [np.unique(np.concatenate([s[: len(s) * 9 // 10], rng.integers(0, 2**63, len(s) // 10, dtype=np.uint64)])) for s in sets] + [np.zeros(0, np.uint64)]
+    maps = ngram_join.Maps(pa.array([ngram_join.bit_map(s) for s in sets], pa.binary()))
+    i, j = (x.ravel() for x in np.meshgrid(range(len(sets)), range(len(sets))))
+    exact = np.array([len(np.setxor1d(sets[a], sets[b])) for a, b in zip(i, j, strict=True)])
+    least = maps.apart(i, j)
+    assert (least <= exact).all() and (least[exact > 0] > 0).mean() > 0.9
+
+
 def test_similar_sets_nulls_and_empty(spark):
     got = ngram_join.similar_sets(spark.createDataFrame([(None, "a b c d e"), (7, "a b c d e"), (7, "a b c d e")], S)).collect()
     assert sorted((r["doc_id"] or -1, r["n_shingles"], r["component_id"]) for r in got) == [(-1, 1, None), (7, 1, 7), (7, 1, 7)]

@@ -9,11 +9,17 @@ element, in so many partitions that they still share a signature if each leaves
 stand for empty parts only, which would bring strangers together.
 
 Sets that are equal are one node, and a task signs for each only once. Signature rows are shuffled once: sorted by signature, a
-streaming pass keeps those that two nodes share. A node's hub is the one that most of its signatures point to as the most typical.
-Every node is compared as a whole with its hub and with those of the nodes that it shares a signature with. What is left are pairs under one
+streaming pass keeps those that two sets share. A node's hub is the one that most of its signatures point to as the most typical.
+Every set has a parity bit map, of two bits or more for each element: the bits in which two maps differ are at most the elements in which the sets
+differ, so pairs with too many are no link, which a few bytes tell.
+
+Nodes near enough to their hub by the maps are compared with it as whole sets, so a large group of near copies costs a star, not all its
+pairs. Other nodes of one bucket are set against each other by their maps, inside the task that holds the bucket; only pairs that
+pass, and that no star has joined, are written and compared as whole sets. Buckets of more than :data:`BUCKET` nodes take another exact way: a node is
+compared with the hubs of its bucket, and what is left are pairs under one
 hub of which one is not linked with the hub. Such a pair's sets differ from the hub's in sets of elements that overlap by a known least amount if the
 two are linked, so they share one of the first few of those elements (those the hub lacks come first); pairs that do
-are compared as a whole. So a large group of near copies costs a star, not all its pairs, and no link is lost.
+are compared as a whole. No link is lost.
 """
 
 from __future__ import annotations
@@ -33,6 +39,10 @@ from .words import Powers, U, Words, mix, slices, windows
 _SHINGLES = Powers(0xD1342543DE82EF95)
 #: Rounds in which nodes take over the hub that prevails in their buckets.
 LABEL_ROUNDS = 2
+#: Largest bit map.
+MAP_BITS = 1 << 16
+#: Most nodes of a bucket whose maps are set against each other, and rows held for it.
+BUCKET, HELD = 1 << 12, 1 << 15
 #: Nodes of one hub that a task compares with it.
 GROUP_PART = 1 << 10
 #: Sets that a task remembers to have signed for.
@@ -59,6 +69,102 @@ def fingerprint(f: np.ndarray) -> tuple[int, int]:
     return int(a[0].view(np.int64)), int(a[1].view(np.int64))
 
 
+def bit_map(f: np.ndarray) -> bytes:
+    """Of each bit, whether an odd number of elements fall on it. There are two to four bits for each element; of very large sets fewer, which tell less."""
+    m = min(MAP_BITS, max(64, 1 << (2 * len(f) - 1).bit_length())) if len(f) else 64
+    return np.packbits((np.bincount((f & U(m - 1)).astype(np.int64), minlength=m) & 1).astype(np.uint8), bitorder="little").tobytes()
+
+
+class Maps:
+    """Bit maps of many sets, folded to each smaller size as well: half a map upon the other is the map of half the size."""
+
+    def __init__(self, maps: pa.Array):
+        ends = maps.cast(pa.large_binary())
+        offsets = np.frombuffer(ends.buffers()[1], np.int64)[ends.offset : ends.offset + len(ends) + 1]
+        data = np.frombuffer(ends.buffers()[2], np.uint8)
+        self.words = np.diff(offsets) // 8
+        self.levels: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        row, bits = np.zeros(0, np.int64), None
+        size = int(self.words.max(initial=0))
+        while size:
+            if bits is not None:
+                bits = bits[:, :size] ^ bits[:, size:]
+            own = np.flatnonzero(self.words == size)
+            fresh = data[offsets[own][:, None] + np.arange(8 * size)].view(U) if len(own) else np.zeros((0, size), U)
+            row, bits = np.append(row, own), fresh if bits is None else np.concatenate([bits, fresh])
+            place = np.full(len(self.words), -1, np.int64)
+            place[row] = np.arange(len(row))
+            self.levels[size] = place, bits
+            if not (self.words < size).any():
+                break
+            size //= 2
+
+    def apart(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """At least so many elements are in one of the sets i and j only."""
+        out, size = np.zeros(len(i), np.int64), np.minimum(self.words[i], self.words[j])
+        for level in np.unique(size):
+            place, bits = self.levels[int(level)]
+            for at in np.array_split(np.flatnonzero(size == level), 1 + len(i) * int(level) // (1 << 21)):
+                out[at] = np.bitwise_count(bits[place[i[at]]] ^ bits[place[j[at]]]).sum(1)
+        return out
+
+
+def _may_link(apart: np.ndarray, x: np.ndarray, y: np.ndarray, num: int, den: int) -> np.ndarray:
+    return np.maximum(apart, np.abs(x - y)) * (den + num) <= (den - num) * (x + y)
+
+
+def _near_hub(num: int, den: int) -> Callable:
+    """A mapInArrow function over (hub, node, size, bits, hub_size, hub_bits): the nodes that may be linked with their hub."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            maps = Maps(pa.concat_arrays([batch.column(3), batch.column(5)]))
+            apart = maps.apart(np.arange(n), np.arange(n, 2 * n))
+            keep = _may_link(apart, batch.column(2).to_numpy(), batch.column(4).to_numpy(), num, den)
+            yield pa.record_batch([batch.column(0), batch.column(1)], names=["hub", "node"]).filter(pa.array(keep))
+
+    return run
+
+
+def _bucket_pairs(num: int, den: int) -> Callable:
+    """A mapInArrow function over (sig, node, star, size, bits) in order of sig: pairs of a bucket that may be linked and that no star joins."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+
+    def pairs(table: pa.Table) -> pa.RecordBatch:
+        table = table.combine_chunks()
+        sig, node, star, size = (table[c].to_numpy() for c in ("sig", "node", "star", "size"))
+        begin = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
+        count = np.diff(np.append(begin, len(sig)))
+        after = np.repeat(begin + count, count) - np.arange(len(sig))  # rows of the bucket from this one on
+        maps, found = Maps(table["bits"].chunk(0)), []
+        for d in range(1, int(count.max())):
+            i = np.flatnonzero(after > d)
+            i = i[star[i] != star[i + d]]
+            i = i[_may_link(np.zeros(len(i), np.int64), size[i], size[i + d], num, den)]
+            i = i[_may_link(maps.apart(i, i + d), size[i], size[i + d], num, den)]
+            found.append(np.column_stack([np.minimum(node[i], node[i + d]), np.maximum(node[i], node[i + d])]))
+        both = np.unique(np.concatenate(found), axis=0) if found else np.zeros((0, 2), np.int64)
+        return pa.record_batch([pa.array(both[:, 0]), pa.array(both[:, 1])], schema=schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            held.append(batch)
+            last = batch.column(0)[batch.num_rows - 1].as_py()
+            table = pa.Table.from_batches(held)
+            whole = int(np.searchsorted(table["sig"].to_numpy(), last))  # rows of buckets that are complete
+            if whole >= HELD:
+                yield pairs(table.slice(0, whole))
+                held = table.slice(whole).combine_chunks().to_batches()
+        if held:
+            yield pairs(pa.Table.from_batches(held))
+
+    return run
+
+
 @lru_cache(maxsize=16)
 def bands(num: int, den: int) -> tuple[np.ndarray, np.ndarray]:
     """Last size of each band, and the most differences of two similar sets up to that size."""
@@ -140,6 +246,8 @@ def _per_text(n: int, rows: Callable, schema: pa.Schema) -> Callable:
 
 
 def _column(parts: list, kind: pa.DataType) -> pa.Array:
+    if pa.types.is_binary(kind):
+        return pa.array([x for p in parts for x in p], kind)
     if pa.types.is_list(kind):
         flat = [x for p in parts for x in p]
         ends = np.cumsum([0, *map(len, flat)], dtype=np.int32)
@@ -251,14 +359,12 @@ def _in(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
 
 
-def _groups(hits: DataFrame, sizes: DataFrame, num: int, den: int, scratch: Scratch) -> DataFrame:
-    """(hub, node, owned): every node with its own hub, and with the smaller hubs of nodes that it shares a signature with.
+def _hubs(ranked: DataFrame, scratch: Scratch) -> DataFrame:
+    """(node, hub): every node's own hub.
 
     A bucket's champion is its node that shares the largest part of its signatures, so one with few differences from the others.
     A node's hub is the champion of most of its buckets, then that one's hub in turn, then what prevails around it.
     """
-    rank = hits.groupBy("node").agg(F.count("*").alias("n")).join(sizes, "node").select("node", "size", (F.col("n") / F.col("size")).alias("rank"))
-    ranked = scratch.table(hits.join(rank, "node").select("sig", "node", "size", "rank"), "ranked")
     champions = ranked.groupBy("sig").agg(F.max(F.struct("rank", F.col("node").alias("hub"))).alias("best"))
     votes = ranked.join(champions, "sig").groupBy("node", "best").agg(F.count("*").alias("votes"))
     hubs = votes.groupBy("node").agg(F.max_by("best.hub", F.struct("votes", "best")).alias("hub"))
@@ -270,15 +376,18 @@ def _groups(hits: DataFrame, sizes: DataFrame, num: int, den: int, scratch: Scra
         common = ranked.join(hubs, "node").groupBy("sig", "hub").agg(F.count("*").alias("c")).groupBy("sig").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub"))
         counted = ranked.select("sig", "node").join(common, "sig").groupBy("node", "hub").agg(F.count("*").alias("c"))
         hubs = scratch.table(counted.groupBy("node").agg(F.max_by("hub", F.struct("c", "hub")).alias("hub")), "hub")
+    return hubs
+
+
+def _under_hubs(ranked: DataFrame, hubs: DataFrame, num: int, den: int) -> DataFrame:
+    """(hub, node, owned): every node with its own hub, and with the smaller hubs of nodes that it shares a signature with."""
     met = ranked.join(hubs, "node").groupBy("sig", "hub").agg(F.min("size").alias("least"), F.max("size").alias("most"))
     # a node meets the hub of another node of its bucket if one of that hub's nodes there is near it in size
     near = (F.col("least") * num <= F.col("size") * den) & (F.col("size") * num <= F.col("most") * den)
     member = ranked.select("sig", "node", "size").join(met, "sig").filter(near).select("node", "hub").distinct()
     # two nodes of different hubs meet under the smaller of them
     own = member.join(hubs.withColumnRenamed("hub", "own"), "node").withColumn("owned", F.col("own") == F.col("hub"))
-    groups = scratch.table(own.filter("(owned or own > hub) and node <> hub").select("hub", "node", "owned"), "groups")
-    scratch.drop(ranked)
-    return groups
+    return own.filter("(owned or own > hub) and node <> hub").select("hub", "node", "owned")
 
 
 def _rest(near: DataFrame, num: int, den: int) -> DataFrame:
@@ -328,22 +437,36 @@ def similar_sets(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> Dat
     scratch = Scratch(docs.sparkSession)
     texts = doc_text(docs)
     known = texts.filter(F.col("doc_id").isNotNull())
-    long4 = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64())])
-    measure = _per_text(n, lambda i, f: [[0 if i is None else i], [len(f)], *([x] for x in fingerprint(f))], long4)
-    sets = scratch.table(known.mapInArrow(measure, "doc_id long, n_shingles long, set_a long, set_b long"), "sets")
-    classes = scratch.table(sets.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("size")), "classes")
+    long4 = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("set_a", pa.int64()), ("set_b", pa.int64()), ("bits", pa.binary())])
+    kept = "doc_id long, n_shingles long, set_a long, set_b long, bits binary"
+    measure = _per_text(n, lambda i, f: [[0 if i is None else i], [len(f)], *([x] for x in fingerprint(f)), [bit_map(f)]], long4)
+    sets = scratch.table(known.mapInArrow(measure, kept), "sets")
+    classes = scratch.table(sets.filter("n_shingles > 0").groupBy("set_a", "set_b").agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("size"), F.first("bits").alias("bits")), "classes")
     signed = known.mapInArrow(_sign(n, num, den), "sig long, set_a long")
     shared = signed.repartition("sig").sortWithinPartitions("sig", "set_a").mapInArrow(_shared, "sig long, set_a long")
     shared = scratch.table(shared, "shared")
     hits = scratch.table(shared.join(classes.select("set_a", "node"), "set_a").select("sig", "node").distinct(), "hits")
     scratch.drop(shared)
-    sizes = classes.groupBy("node").agg(F.max("size").alias("size"))
-    groups = _groups(hits, sizes, num, den, scratch)
-    scratch.drop(hits)
-
-    near = scratch.table(_compared(known, groups, n, num, den, scratch), "near")
-    scratch.drop(groups)
-    pairs = scratch.table(_rest(near, num, den), "pairs")
+    # a doc_id with several texts may stand for several sets
+    about = scratch.table(classes.join(hits.select("node").distinct(), "node", "left_semi").select("node", "size", "bits"), "about")
+    rank = hits.groupBy("node").agg(F.count("*").alias("n")).join(about.groupBy("node").agg(F.max("size").alias("size")), "node")
+    ranked = scratch.table(hits.join(rank.select("node", "size", (F.col("n") / F.col("size")).alias("rank")), "node").select("sig", "node", "size", "rank"), "ranked")
+    hubs = _hubs(ranked, scratch)
+
+    of_hub = about.select(F.col("node").alias("hub"), F.col("size").alias("hub_size"), F.col("bits").alias("hub_bits"))
+    star = hubs.filter("node <> hub").join(about, "node").join(of_hub, "hub").select("hub", "node", "size", "bits", "hub_size", "hub_bits")
+    star = scratch.table(star.mapInArrow(_near_hub(num, den), "hub long, node long").distinct().withColumn("owned", F.lit(True)), "star")
+    near = scratch.table(_compared(known, star, n, num, den, scratch), "near")
+    joined = scratch.table(near.filter("linked").groupBy("node").agg(F.min("hub").alias("star")), "joined")
+    big = scratch.table(hits.groupBy("sig").agg(F.count("*").alias("c")).filter(F.col("c") > BUCKET).select("sig"), "big")
+    bucket = hits.join(big, "sig", "left_anti").join(joined, "node", "left").select("sig", "node", F.coalesce("star", "node").alias("star")).join(about, "node")
+    pairs = bucket.select("sig", "node", "star", "size", "bits").repartition("sig").sortWithinPartitions("sig").mapInArrow(_bucket_pairs(num, den), "a long, b long")
+    pairs = scratch.table(pairs.filter("a <> b").distinct(), "pairs")
+    if not big.isEmpty():
+        groups = scratch.table(_under_hubs(ranked.join(big, "sig", "left_semi"), hubs, num, den), "groups")
+        more = scratch.table(_compared(known, groups, n, num, den, scratch), "more")
+        pairs = scratch.table(pairs.unionByName(_rest(more, num, den)).distinct(), "pairs")
+        near = near.unionByName(more)
     row = pa.schema([("node", pa.int64()), ("features", pa.list_(pa.int64()))])
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     features = known.join(ends, F.col("doc_id") == F.col("node"), "left_semi").mapInArrow(_per_text(n, lambda i, f: [[i], [f]], row), "node long, features array<long>")
@@ -353,13 +476,11 @@ def similar_sets(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> Dat
     checked = checked.filter(F.col("both") * den >= (F.size("fa") + F.size("fb") - F.col("both")) * num).select("a", "b")
     stars = near.filter("linked").select(F.col("node").alias("a"), F.col("hub").alias("b"))
     labels = components(stars.unionByName(checked).distinct(), scratch)
-    for done in (near, pairs, features):
-        scratch.drop(done)
 
     member = sets.filter("n_shingles > 0").join(classes, ["set_a", "set_b"]).join(labels, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
     member = member.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
     result = sets.join(member, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    nameless = texts.filter(F.col("doc_id").isNull()).select(F.lit(0).cast("long").alias("doc_id"), "text").mapInArrow(measure, "doc_id long, n_shingles long, set_a long, set_b long")
+    nameless = texts.filter(F.col("doc_id").isNull()).select(F.lit(0).cast("long").alias("doc_id"), "text").mapInArrow(measure, kept)
     return result.unionByName(nameless.select(F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("component_id")))
 
 
