@@ -107,6 +107,74 @@ def test_dead_letters(spark, pipeline):
     assert pipeline.store.log("dead_letters").count() == 5
 
 
+def many(op_rows):
+    """The same events for four tables, each with a letter of its own."""
+    rows = []
+    for i, table in enumerate(("orders", "items", "stores", "cities")):
+        t = op_rows()
+        t.raw(None, f"broken {table}")
+        rows += [(f"shop.public.{table}", i, *r[2:]) for r in t.rows]
+    return rows
+
+
+RAW = "topic string, partition long, offset long, key string, value string"
+
+
+def test_many_tables_in_one_batch(spark, tmp_path):
+    p = CdcPipeline(TableStore(spark, str(tmp_path)), {"cities": [], "stores": ["cities"]})
+    rows = many(lambda: Topic().put("c", 1, 100).put("c", 2, 110).put("d", 2, 120).put("t", None, 90))
+    for batch in (0, 1):  # the second changes nothing
+        p(spark.createDataFrame(rows, RAW), batch)
+        for table in ("orders", "items", "stores", "cities"):
+            assert {r["order_id"]: r["_is_deleted"] for r in p.store.read(f"silver_{table}").collect()} == {1: False, 2: True}
+            assert p.store.log(f"bronze_{table}").count() == 3
+        assert sorted(r["value"] for r in p.store.log("dead_letters").collect()) == [f"broken {t}" for t in ("cities", "items", "orders", "stores")]
+        assert p.store.log("truncates").count() == 4
+    again = CdcPipeline(p.store, p.parents)  # a new process: records without a schema are read by the one seen before
+    bare = json.dumps({"payload": {"op": "u", "ts_ms": AT, "source": {"ts_ms": AT, "lsn": 300}, "after": {"order_id": 1, "status": "late"}}})
+    again(spark.createDataFrame([("shop.public.items", 0, 99, json.dumps({"payload": {"order_id": 1}}), bare)], RAW), 2)
+    assert {r["order_id"]: r["status"] for r in p.store.read("silver_items").collect()}[1] == "late"
+    assert p.store.log("metrics").filter("batch = 0").agg(F.sum("records")).first()[0] == len(rows)
+
+
+def test_crash_between_write_and_publish(spark, tmp_path, monkeypatch):
+    p = CdcPipeline(TableStore(spark, str(tmp_path)), {}, parallel=1)
+    p(spark.createDataFrame(Topic().put("c", 1, 100).put("c", 2, 100).rows, RAW), 0)
+    rows = Topic().put("u", 1, 200, status="packed").rows
+    monkeypatch.setattr(p.store, "_load", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        p(spark.createDataFrame(rows, RAW), 1)
+    monkeypatch.undo()
+    state = lambda: {r["order_id"]: r["status"] for r in p.store.read("silver_orders").collect()}
+    assert state() == {1: "placed", 2: "placed"}
+    p(spark.createDataFrame(rows, RAW), 1)
+    assert state() == {1: "packed", 2: "placed"} and p.store.log("bronze_orders").count() == 3
+
+
+def test_only_touched_buckets_are_written(spark, tmp_path):
+    p = CdcPipeline(TableStore(spark, str(tmp_path)), {}, buckets=8)
+    t = Topic()
+    for k in range(40):
+        t.put("c", k, 100 + k)
+    p(spark.createDataFrame(t.rows, RAW), 0)
+    store, name = p.store, "silver_orders"
+    before = store._load(name, store._pointers(name)[-1])
+    p(spark.createDataFrame(Topic().put("u", 3, 500, status="x").rows, RAW), 1)
+    after = store._load(name, store._pointers(name)[-1])
+    assert len(before) > 3 and before.keys() == after.keys() and sum(before[k] != after[k] for k in before) == 1
+    assert store.read(name).count() == 40 and store.read(name).filter("status = 'x'").count() == 1
+    for b in range(2, 5):
+        p(spark.createDataFrame(Topic().put("u", 3, 500 + b, status=f"x{b}").rows, RAW), b)
+    assert len(store._pointers(name)) == 2 and store.read(name).count() == 40
+
+
+def test_compaction(spark, tmp_path):
+    store = TableStore(spark, str(tmp_path))
+    store.publish("t", spark.range(1000).repartition(7))
+    store.compact("t")
+    assert store.read("t").count() == 1000 and len(store.read("t").inputFiles()) == 1
+
+
 def test_stream_equals_batch(spark, tmp_path):
     t = Topic().put("c", 1, 100).put("u", 1, 200, status="packed").put("c", 2, 210).put("d", 2, 220)
     t.take(spark).coalesce(1).write.json(str(tmp_path / "in"))
@@ -121,13 +189,20 @@ def test_levels_put_parents_first():
 
 
 def test_schema_rules():
-    of = lambda **k: cdc.Field.of({"field": "x", **k})
-    assert of(type="int16").column() == T.IntegerType() and of(type="bytes").column() == T.BinaryType()
-    assert of(type="int32", name="io.debezium.time.Date").column() == T.DateType()
-    assert of(type="string", parameters={"__debezium.source.column.type": "NUMERIC"}).column() == T.DecimalType(38, 10)
-    assert of(type="array", items={"type": "int64"}).column() == T.ArrayType(T.LongType())
-    with pytest.raises(cdc.UnsupportedSchema):
-        of(type="bytes", name="org.apache.kafka.connect.data.Decimal").column()
+    of = lambda **k: cdc.wire({"field": "x", **k}).type
+    number = lambda n, s: of(type="string", parameters={cdc.SOURCE_TYPE: "NUMERIC", cdc.SOURCE_LENGTH: n, cdc.SOURCE_SCALE: s})
+    assert of(type="int16") == T.IntegerType() and of(type="bytes") == T.BinaryType() and of(type="float") == T.FloatType()
+    assert of(type="int32", name="io.debezium.time.Date") == T.DateType() and of(type="int64", name="my.own.Timestamp") == T.LongType()
+    assert of(type="string", parameters={cdc.SOURCE_TYPE: "NUMERIC"}) == T.DecimalType(38, 10)
+    assert [number(*x) for x in (("10", "2"), ("0", "0"), ("39", "2"), ("4", "6"), ("131089", "0"))] == [T.DecimalType(10, 2)] + [T.DecimalType(38, 10)] * 4
+    assert of(type="array", items={"type": "int64"}) == T.ArrayType(T.LongType()) and of(type="map", values={"type": "string"}) == T.MapType(T.StringType(), T.StringType())
+    assert of(type="struct", fields=[{"field": "a b", "type": "bytes"}]) == T.StructType([T.StructField("a b", T.BinaryType())])
+    for bad in ({"type": "bytes", "name": "org.apache.kafka.connect.data.Decimal"}, {"type": "what"}):
+        with pytest.raises(cdc.UnsupportedSchema):
+            of(**bad)
+    assert cdc.schema_of('{"type":"struct","fields":[]}', None) is None
+    narrow, wide = (cdc.TableSchema({"a": cdc.Wire(k, k)}, key) for k, key in (("int", []), ("bigint", ["a"])))
+    assert cdc.merge_schemas([narrow, wide, narrow]) == cdc.TableSchema({"a": cdc.Wire("bigint", "bigint")}, ["a"])
     assert cdc.widen(T.IntegerType(), T.LongType()) == T.LongType() and cdc.widen(T.DecimalType(8, 2), T.DecimalType(10, 2)) == T.DecimalType(10, 2)
     assert cdc.widen(T.StringType(), T.LongType()) is None and cdc.widen(T.DecimalType(8, 2), T.DecimalType(10, 3)) is None
     a, b = T.StructType([T.StructField("a", T.IntegerType())]), T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
@@ -135,9 +210,9 @@ def test_schema_rules():
 
 
 def test_nanoseconds_are_exact(spark):
-    f = cdc.Field("x", "int64", "io.debezium.time.NanoTimestamp")
+    f = cdc.wire({"field": "x", "type": "int64", "name": "io.debezium.time.NanoTimestamp"})
     ns = 1_788_220_800_123_456_789
-    assert spark.createDataFrame([(ns,)], "x long").select(f.decode(F.col("x"))).first()[0].microsecond == 123456
+    assert spark.createDataFrame([(ns,)], "x long").select(f.read(F.col("x"))).first()[0].microsecond == 123456
 
 
 def test_fold_is_the_sequential_model(spark):

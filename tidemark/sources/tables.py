@@ -1,67 +1,103 @@
-"""Tables as Parquet snapshots: a version is a new folder, published by renaming a one-line pointer into place."""
+"""Tables as Parquet folders behind a pointer: a version lists the folder of each hash bucket, and the newest pointer holds."""
 
 from __future__ import annotations
 
+import json
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+BUCKET = "_bucket"
+
+
+def bucket_of(keys: list[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(BUCKET)
+
 
 class TableStore:
-    """Named tables below one folder of any file system that Spark writes."""
+    """Named tables below one folder of any file system that Spark writes.
+
+    A pointer is a new file each time, renamed into place under the next number, so there is always one; the last two, and the folders that they
+    name, are kept for readers.
+    """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
     def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return jvm, p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
-    def _pointer(self, name: str) -> str:
-        return f"{self.root}/{name}/_current"
+    def _children(self, name: str) -> list[str]:
+        p, fs = self._fs(f"{self.root}/{name}")
+        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
-    def exists(self, name: str) -> bool:
-        _, p, fs = self._fs(self._pointer(name))
-        return fs.exists(p)
+    def _pointers(self, name: str) -> list[str]:
+        return [c for c in self._children(name) if c.startswith("_pointer-")]
 
-    def read(self, name: str) -> DataFrame | None:
-        if not self.exists(name):
-            return None
-        jvm, p, fs = self._fs(self._pointer(name))
+    def _load(self, name: str, pointer: str) -> dict[str, str]:
+        p, fs = self._fs(f"{self.root}/{name}/{pointer}")
         stream = fs.open(p)
         try:
-            version = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
         finally:
             stream.close()
-        return self.spark.read.parquet(f"{self.root}/{name}/{version}")
-
-    def publish(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
-        """The frame as the table's next version. It may read the present one, which stays until readers are done."""
-        version = uuid.uuid4().hex
-        w = df.write.option("compression", "zstd")
-        (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{self.root}/{name}/{version}")
-        jvm, p, fs = self._fs(self._pointer(name))
-        tmp = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}/_next-{version}")
+
+    def exists(self, name: str) -> bool:
+        return bool(self._pointers(name))
+
+    def read(self, name: str, buckets: list[int] | None = None) -> DataFrame | None:
+        """The table, or some of its buckets; None while there is nothing of them."""
+        known = self._pointers(name)
+        parts = self._load(name, known[-1]) if known else {}
+        paths = [f"{self.root}/{name}/{p}" for b, p in parts.items() if buckets is None or not b or int(b) in buckets]
+        return self.spark.read.option("mergeSchema", True).parquet(*paths) if paths else None
+
+    def publish(self, name: str, df: DataFrame, bucket: Column | None = None, touched: list[int] | None = None) -> None:
+        """The frame as the table's next version, or as that of the touched buckets. It may read the present one."""
+        known, version = self._pointers(name), uuid.uuid4().hex
+        w = (df if bucket is None else df.withColumn(BUCKET, bucket).repartition(BUCKET)).write.option("compression", "zstd")
+        (w if bucket is None else w.partitionBy(BUCKET)).parquet(f"{self.root}/{name}/{version}")
+        if bucket is None:
+            parts = {"": version}
+        else:
+            written = [c for c in self._children(f"{name}/{version}") if c.startswith(f"{BUCKET}=")]
+            old = self._load(name, known[-1]) if known and touched is not None else {}
+            parts = {b: p for b, p in old.items() if b and int(b) not in touched} | {c.partition("=")[2]: f"{version}/{c}" for c in written}
+        number = int(known[-1].rpartition("-")[2]) + 1 if known else 0
+        tmp, fs = self._fs(f"{self.root}/{name}/_next-{version}")
         out = fs.create(tmp, True)
-        out.write(bytearray(version.encode()))
+        out.write(bytearray(json.dumps(parts).encode()))
         out.close()
-        fs.delete(p, False)
-        fs.rename(tmp, p)
+        target, _ = self._fs(f"{self.root}/{name}/_pointer-{number:012d}")
+        if not fs.rename(tmp, target):
+            raise OSError(f"{target.toString()} exists: another writer was first")
+        self._forget(name)
+
+    def _forget(self, name: str) -> None:
+        pointers = self._pointers(name)
+        used = {p.partition("/")[0] for k in pointers[-2:] for p in self._load(name, k).values()}
+        for c in self._children(name):
+            if c in pointers[:-2] or (not c.startswith("_") and c != "log" and c not in used):
+                p, fs = self._fs(f"{self.root}/{name}/{c}")
+                fs.delete(p, True)
 
     def append(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
-        """Rows added to the table in place; later columns are read as null in earlier files."""
+        """Rows added to the table in place, by one writer at a time; later columns are read as null in earlier files."""
         w = df.write.mode("append").option("compression", "zstd")
         (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{self.root}/{name}/log")
 
     def log(self, name: str) -> DataFrame | None:
-        jvm, p, fs = self._fs(f"{self.root}/{name}/log")
+        p, fs = self._fs(f"{self.root}/{name}/log")
         return self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/{name}/log") if fs.exists(p) else None
 
-    def compact(self, name: str, files: int) -> None:
-        self.publish(name, self.read(name).repartition(files))
+    def compact(self, name: str, target_bytes: int = 128 << 20) -> None:
+        """A bucketless table again in files of about a size; the older versions go with the next ones."""
+        known = self._pointers(name)
+        total = sum(fs.getContentSummary(p).getLength() for p, fs in (self._fs(f"{self.root}/{name}/{v}") for v in self._load(name, known[-1]).values()))
+        self.publish(name, self.read(name).repartition(max(1, -(-total // target_bytes))))
 
 
 def optional_table(spark: SparkSession, store: TableStore, name: str, schema: str) -> DataFrame:
@@ -76,9 +112,9 @@ def json_items(spark: SparkSession, path: str, schema: str, items: str) -> DataF
     return pages.select(F.explode(items).alias("item")).select("item.*")
 
 
-def change_stream(spark: SparkSession, path: str | None = None, kafka: dict | None = None, per_trigger: int = 100_000) -> DataFrame:
-    """A stream of raw records: from Kafka topics, or from files of the five raw columns."""
+def change_stream(spark: SparkSession, path: str | None = None, kafka: dict | None = None, per_trigger: int = 100_000, topics: str = r"[^.]+\.[^.]+\.[^.]+") -> DataFrame:
+    """A stream of raw records: from the Kafka topics that match (server.schema.table), or from files of the five raw columns."""
     if kafka:
-        reader = spark.readStream.format("kafka").options(startingOffsets="earliest", failOnDataLoss="true", maxOffsetsPerTrigger=str(per_trigger), **kafka)
-        return reader.load()
+        options = {"startingOffsets": "earliest", "failOnDataLoss": "true", "maxOffsetsPerTrigger": str(per_trigger), "subscribePattern": topics} | kafka
+        return spark.readStream.format("kafka").options(**options).load()
     return spark.readStream.schema("topic string, partition long, offset long, key string, value string").json(path)

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+from collections import deque
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from tidemark.operators import cdc
-from tidemark.sources.tables import TableStore
+from tidemark.sources.tables import TableStore, bucket_of
 
 
 def levels(tables: list[str], parents: dict[str, list[str]]) -> list[list[str]]:
@@ -24,14 +27,19 @@ def levels(tables: list[str], parents: dict[str, list[str]]) -> list[list[str]]:
 
 @dataclass
 class CdcPipeline:
-    """Writes the change log, current state and dead letters of each table that a batch touches; a repeated batch changes nothing."""
+    """Writes the change log, current state and dead letters of each table that a batch touches; a repeated batch changes nothing.
+
+    The log is partitioned by day of ingestion, the state by hash buckets of the key, of which only touched ones are written again. What all
+    tables share (dead letters, truncates, schemas, metrics) is collected and appended once for each batch.
+    """
 
     store: TableStore
     parents: dict[str, list[str]] = field(default_factory=dict)
     ignored: tuple = ("cdc_signal",)
     schemas: dict[str, cdc.TableSchema] = field(default_factory=dict)
     parallel: int = 4
-    metrics: list[dict] = field(default_factory=list)
+    buckets: int = 16
+    metrics: deque = field(default_factory=lambda: deque(maxlen=10_000))  # the newest; all are in the table of that name
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         raw = cdc.raw_projection(batch).persist()
@@ -41,46 +49,98 @@ class CdcPipeline:
             for r in found:
                 if r["table"] not in self.ignored:
                     by_table.setdefault(r["table"], []).append(r)
+            letters: list[DataFrame] = []
+            cuts: list[tuple] = []
+            seen: list[tuple] = []
             for level in levels(list(by_table), self.parents):
                 with ThreadPoolExecutor(self.parallel) as pool:
-                    list(pool.map(lambda t: self._table(raw, t, by_table[t], batch_id), level))
+                    for bad, cut, new in pool.map(lambda t: self._table(raw, t, by_table[t], batch_id), level):
+                        letters.append(bad)
+                        cuts += cut
+                        seen += new
+            self._append("dead_letters", reduce(DataFrame.unionByName, letters) if letters else None, ["topic", "partition", "offset"])
+            self._append("truncates", self._rows(cuts, "table string, lsn long, at timestamp"), ["table", "lsn"])
+            self._append("schemas", self._rows(seen, "table string, value_schema string, key_schema string"), None)
+            counts = [(batch_id, t, r["op"], r["records"]) for t, rows in by_table.items() for r in rows]
+            self.metrics.extend({"batch": b, "table": t, "op": o, "records": n} for b, t, o, n in counts)
+            self._append("metrics", self._rows(counts, "batch long, table string, op string, records long"), ["batch", "table"])
         finally:
             raw.unpersist()
 
-    def _table(self, raw: DataFrame, table: str, rows: list, batch_id: int) -> None:
+    def _rows(self, rows: list[tuple], schema: str) -> DataFrame | None:
+        return self.store.spark.createDataFrame(rows, schema) if rows else None
+
+    def _append(self, name: str, rows: DataFrame | None, keys: list[str] | None) -> None:
+        """Rows whose keys the log does not hold yet."""
+        if rows is None:
+            return
+        known = self.store.log(name)
+        if keys and known is not None:
+            rows = rows.join(known.select(*keys).distinct(), keys, "left_anti")
+        rows = rows if name == "metrics" or keys is None else rows.dropDuplicates(keys)
+        if not rows.isEmpty():
+            self.store.append(name, rows)
+
+    def _known(self, table: str) -> list[cdc.TableSchema]:
+        """The table's schema so far; after a restart, from the schemas that earlier batches left."""
+        if table not in self.schemas and (log := self.store.log("schemas")) is not None:
+            past = [cdc.schema_of(r["value_schema"], r["key_schema"]) for r in log.filter(F.col("table") == table).collect()]  # as many as schema versions
+            if past:
+                self.schemas[table] = cdc.merge_schemas([s for s in past if s is not None])
+        return [self.schemas[table]] if table in self.schemas else []
+
+    def _table(self, raw: DataFrame, table: str, rows: list, batch_id: int) -> tuple[DataFrame, list, list]:
+        """Writes log and state; gives the dead letters, truncates and new schemas."""
         own = raw.filter(F.col("topic").isin(sorted({r["topic"] for r in rows})))
         now = F.current_timestamp()
-        versions = [cdc.schema_of(r["value_schema"], r["key_schema"]) for r in rows if r["value_schema"] and '"after"' in r["value_schema"]]
-        known = [self.schemas[table]] if table in self.schemas else []
-        if not (versions or known):
-            self._letters(cdc.unreadable(own, now))
-            return
-        schema = cdc.merge_schemas(known + versions)
+        known = self._known(table)
+        versions = [(s, r) for r in rows if r["value_schema"] and (s := cdc.schema_of(r["value_schema"], r["key_schema"])) is not None]
+        schema = cdc.merge_schemas(known + [s for s, _ in versions]) if known or versions else None
+        if schema is None or not schema.key:
+            return cdc.unreadable(own, now), [], []
+        new = [] if known and schema == known[0] else [(table, r["value_schema"], r["key_schema"]) for _, r in versions]
         self.schemas[table] = schema
-        if not schema.key:
-            self._letters(cdc.unreadable(own, now))
-            return
         decoded = cdc.decode_changes(own, schema, batch_id, now).persist()
         try:
-            self._letters(cdc.dead_letters(decoded))
             changes = cdc.valid_changes(decoded)
-            log = self.store.log(f"bronze_{table}")
+            log, day = self.store.log(f"bronze_{table}"), "_ingest_day"
             lsns = [r["min_lsn"] for r in rows if r["min_lsn"] is not None]
             if log is not None:
                 log = cdc.align_to_schema(log, changes.select(*schema.key, "_lsn", "_op").schema)
-            self.store.append(f"bronze_{table}", cdc.append_unseen(log, changes, schema.key, min(lsns, default=None)))
+            fresh = cdc.append_unseen(log, changes, schema.key, min(lsns, default=None))
+            if not fresh.isEmpty():
+                self.store.append(f"bronze_{table}", fresh.withColumn(day, F.to_date("_ingested_at")), [day])
             cut = cdc.truncates(decoded)
-            current = self.store.read(f"silver_{table}")
-            self.store.publish(f"silver_{table}", cdc.fold_latest(current, changes, schema.key, cut))
-            self.metrics += [{"batch": batch_id, "table": table, "op": r["op"], "records": r["records"]} for r in rows]
+            at = cut.first()
+            bucket = bucket_of(schema.key, self.buckets)
+            touched = None if at["t_lsn"] is not None else [b for (b,) in changes.select(bucket).distinct().collect()]  # at most so many as buckets
+            if touched is None or touched:
+                current = self.store.read(f"silver_{table}", touched)
+                if current is not None:  # a key's type may have widened
+                    current = cdc.align_to_schema(current, changes.select(*schema.key).schema)
+                self.store.publish(f"silver_{table}", cdc.fold_latest(current, changes, schema.key, cut), bucket, touched)
+            # written values, not the cached frame, go on to the letters
+            return cdc.dead_letters(cdc.decode_changes(own, schema, batch_id, now)), [] if at["t_lsn"] is None else [(table, at["t_lsn"], at["t_ts"])], new
         finally:
             decoded.unpersist()
 
-    def _letters(self, letters: DataFrame) -> None:
-        known = self.store.log("dead_letters")
-        keys = ["topic", "partition", "offset"]
-        fresh = letters.dropDuplicates(keys)
-        self.store.append("dead_letters", fresh if known is None else fresh.join(known.select(*keys), keys, "left_anti"))
+
+class Progress(StreamingQueryListener):
+    """Keeps, of the newest micro-batches, how many rows they had and how far behind their source they were."""
+
+    def __init__(self, keep: int = 1000):
+        self.batches: deque = deque(maxlen=keep)
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        behind = [float(s.metrics.get("maxOffsetsBehindLatest", 0)) for s in p.sources]
+        self.batches.append({"batch": p.batchId, "rows": p.numInputRows, "seconds": p.batchDuration / 1000, "behind": max(behind, default=0.0)})
+
+    def onQueryTerminated(self, event) -> None:
+        pass
 
 
 def run_stream(source: DataFrame, pipeline: CdcPipeline, checkpoint: str, available_now: bool = True, every: str = "15 seconds"):
