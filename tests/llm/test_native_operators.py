@@ -1,10 +1,15 @@
 """Pseudonyms, preference formatting and licence scan."""
 
+import datetime as dt
+import hashlib
 import re
+import textwrap
+
+import duckdb
 
 from pyspark.sql import functions as F
 
-from tidemark.llm import chat_format, license_scan, pii
+from tidemark.llm import chat_format, license_scan, pii, quality_rules, queries
 
 S = "doc_id long, text string"
 
@@ -68,7 +73,13 @@ def test_preference_pairs(spark):
     assert got[8]["chosen_text"] == "" and got[8]["chosen_spans"] == [] and got[8]["n_shared"] == 4
     assert got[9]["n_shared"] == 1 and got[9]["chosen_text"] == ""
     near = chat_format.format_neighbours(df).collect()
-    assert [(r["chosen"], r["rejected"]) for r in near] == [(2, 3)]
+    assert sorted((r["pair_id"], r["chosen"], r["rejected"], r["n_shared"]) for r in near) == [(0, None, 1, 0), (1, 2, 3, 1)]
+    alone = next(r for r in near if r["pair_id"] == 0)
+    assert alone["prompt"] == "" and alone["chosen_text"] is None and alone["chosen_spans"] is None and alone["rejected_text"].startswith("<|user|>") and len(alone["rejected_spans"]) == 2
+    wide = chat_format.format_neighbours(spark.createDataFrame([(c, 0, "user", str(c)) for c in (2**60 + 2, 2**60 + 3, -4, -3)], df.schema.fields and "conv_id long, turn long, role string, text string")).collect()
+    assert sorted((r["chosen"], r["rejected"]) for r in wide) == [(-4, -3), (2**60 + 2, 2**60 + 3)]
+    long = spark.createDataFrame([(0, i, "user" if i % 2 else "assistant", "x" * 5000) for i in range(300)] + [(1, 0, "assistant", "x" * 5000)], "conv_id long, turn long, role string, text string")
+    assert [(r["n_shared"], len(r["chosen_spans"])) for r in chat_format.format_neighbours(long).collect()] == [(1, 149)]
     assert chat_format.format_neighbours(df.limit(0)).count() == 0
 
 
@@ -77,3 +88,100 @@ def test_license_scan(spark):
     texts = ["Copyright (c) 2020 Some One\n\n" + mit.upper().replace(",", " ,"), "words\nlicenced under the APACHE licence, version 2.0\nmore", None, "Released under the MIT License.", "nothing"]
     got = {r["doc_id"]: (r["license"], r["notices"]) for r in license_scan.scan(spark.createDataFrame(list(enumerate(texts)), S).withColumn("license", F.lit(1))).collect()}
     assert got == {0: ("MIT", []), 1: (None, ["Apache-2.0"]), 2: (None, []), 3: ("MIT", ["MIT"]), 4: (None, [])}
+
+
+def test_whole_licences_in_every_guise(spark):
+    heads = ["Copyright (c) 2019-2021, Some One <a@b.c>\n", "\u00a9 2020 Some One. All rights reserved.\n\n", "(c) 2001 X\nAll rights reserved.\n", "Portions Copyright 1999 by Y\n", ""]
+    whole = [(n, t) for n, t in license_scan.KNOWN if len(t) > 200]
+    texts, want = [], []
+    for i, (name, text) in enumerate(whole):
+        t = heads[i % len(heads)] + "\n".join("# " + x for line in text.split("\n") for x in textwrap.wrap(line, 60 + i))
+        texts += [t, t + "\nand more"]
+        want += [name, None]
+    df = spark.createDataFrame([*enumerate(texts), (None, texts[0]), (5, texts[5])], S)
+    got = license_scan.scan(df).collect()
+    assert [r["license"] for r in sorted(got, key=lambda r: (r["doc_id"] is None, r["doc_id"]))][: len(texts) + 1] == want[:6] + want[5:]
+    assert len(got) == len(texts) + 2 and len({n for n, _ in whole}) >= 10
+    own = spark.createDataFrame([(hashlib.md5(b"purple monkey dishwasher").hexdigest(), n) for n in ("zz", "mine")], "digest string, license string")
+    assert license_scan.scan(spark.createDataFrame([(1, "Purple, monkey...\n DISHWASHER")], S), own).first()["license"] == "mine"
+    assert license_scan.scan(df.limit(0)).count() == 0
+
+
+def same_as_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "conversations"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '/root/testdata/sf0.001/{t}.parquet'")
+    cur = con.execute(queries.ORACLE_SQL[name])
+    cols = [d[0] for d in cur.description]
+    df = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert sorted(df.columns) == sorted(cols)
+    mine, theirs = ([tuple(map(str, r)) for r in rows] for rows in (df.select(*cols).collect(), cur.fetchall()))
+    assert mine and sorted(mine) == sorted(theirs)
+
+
+def test_license_query_equals_its_sql(spark):
+    same_as_sql(spark, "op5_license_scan")
+
+
+def test_preference_query_equals_its_sql(spark):
+    same_as_sql(spark, "op7_preference_format")
+
+
+def test_base_statistics_equal_sql(spark):
+    sql = r"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+        t AS (SELECT doc_id, i, w[i:i+2] AS g, w FROM d, unnest(range(1, len(w) - 1)) AS u(i)),
+        a AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM t) WHERE c > 1),
+        r AS (SELECT doc_id, count(*) AS n FROM (SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS i FROM a) GROUP BY 1),
+        l AS (SELECT doc_id, count(*) - count(DISTINCT x) AS n FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x FROM d) WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY 1)
+        SELECT doc_id, len(w), length(regexp_replace(text, '[\x20\x09-\x0D]', '', 'g')), length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')), coalesce(l.n, 0), coalesce(r.n, 0) FROM d LEFT JOIN l USING (doc_id) LEFT JOIN r USING (doc_id)"""
+    con = duckdb.connect()
+    con.execute("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.001/documents.parquet'")
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    got = quality_rules.judge(docs, labels).select("doc_id", *quality_rules.STATS).collect()
+    assert sorted(tuple(r) for r in got) == sorted(tuple(map(int, r)) for r in con.execute(sql).fetchall())
+    assert quality_rules.judge(docs.limit(0), labels).count() == 0
+    long = spark.createDataFrame([(1, "word " * 100_000)], S)
+    assert quality_rules.judge(long, labels).first()["n_repeat_words"] == 100_000
+
+
+def feistel(left, right, m, n, key, tag):
+    for i in range(pii.ROUNDS):
+        half = right if i % 2 == 0 else left
+        f = int(hashlib.sha256(f"{key}|{tag}|{i}|{half}".encode()).hexdigest()[:12], 16)
+        left, right = ((left + f) % m, right) if i % 2 == 0 else (left, (right + f) % n)
+    return left, right
+
+
+def test_pseudonyms_equal_plain_feistel(spark):
+    ssn, days = ["123-45-6789", "001-01-0001", "899-99-9999", "667-20-0003"], ["2024-02-29", "1800-01-01", "2199-12-31"]
+    got = pseudonyms(spark, ssn + days)
+    for i, s in enumerate(ssn):
+        a, g, n = map(int, s.split("-"))
+        x, y = feistel((a - 1 - (a > 666)) * 99 + g - 1, n - 1, 898 * 99, 9999, "k", "ssn")
+        a = x // 99 + 1
+        assert got[i][0] == f"{a + (a >= 666):03d}-{x % 99 + 1:02d}-{y + 1:04d}"
+    for i, d in enumerate(days, len(ssn)):
+        at = (dt.date.fromisoformat(d) - dt.date(1800, 1, 1)).days
+        x, y = feistel(at // 773, at % 773, 189, 773, "k", "date")
+        assert got[i][0] == str(dt.date(1800, 1, 1) + dt.timedelta(x * 773 + y))
+
+
+def test_pseudonyms_stay_valid_and_apart(spark):
+    ssn = [f"{a:03d}-{g:02d}-{n:04d}" for a in range(1, 900, 7) if a != 666 for g in (1, 50, 99) for n in (1, 9999)]
+    got = [t for _, (t, _) in sorted(pseudonyms(spark, ssn).items())]
+    assert len(set(got)) == len(ssn) and not any(re.search("^(000|666|9)|-00-|-0000$", x) for x in got)
+    every = [dt.date(2000, 1, 1) + dt.timedelta(i) for i in range(366)]
+    slash = [f"{d.day:02d}/{d.month:02d}/{d.year}" for d in every] + [f"{d.month:02d}/{d.day:02d}/{d.year}" for d in every if d.day > 12]
+    got = [t for _, (t, _) in sorted(pseudonyms(spark, slash).items())]
+    assert len(set(got)) == len(slash) and all(int(x[3:5]) > 12 for x in got[366:])
+    secret = "0badf00d" * 4 + "0badf00e"
+    one, two = (pseudonyms(spark, [x])[0][0] for x in (secret, secret[:-1] + "d"))
+    assert re.fullmatch("[0-9a-f]{40}", one) and len({one[i : i + 8] for i in range(0, 40, 8)}) == 5
+    assert all(one[i : i + 8] != two[i : i + 8] for i in range(0, 40, 8))
+
+
+def test_pseudonyms_of_odd_tables(spark):
+    df = spark.createDataFrame([(1, "card 4417744280351547"), (1, "card 4417744280351547"), (None, "x " * 200_000 + "31.12.1999")], S)
+    got = pii.pseudonymise(df, "k").collect()
+    assert len(got) == 3 and all(r["n_replaced"] == 1 for r in got) and len({r["text"] for r in got}) == 2
+    assert pii.pseudonymise(df.limit(0), "k").count() == 0

@@ -263,6 +263,43 @@ def test_packing(spark):
         assert max(Counter(source[d] for d in b).values()) <= packing.PER_SOURCE
 
 
+def best_fit(pieces, capacity, per_source):
+    """Bins by trying every open one: the tightest that is compatible, of equal ones the oldest."""
+    bins, out = [], []
+    for size, cluster, source in pieces:
+        fit = [(capacity - b["n"], i) for i, b in enumerate(bins) if b["n"] + size <= capacity and b["n"] < capacity and cluster not in b["c"] and b["s"][source] < per_source]
+        i = min(fit)[1] if fit else len(bins)
+        if not fit:
+            bins.append({"n": 0, "c": set(), "s": Counter()})
+        bins[i]["n"] += size
+        bins[i]["c"].add(cluster)
+        bins[i]["s"][source] += 1
+        out.append(i)
+    return out
+
+
+def test_best_fit_against_every_bin():
+    rng = random.Random(4)
+    for _ in range(30):
+        pieces = [(rng.randint(1, 30), rng.randrange(40), rng.randrange(4)) for _ in range(200)]
+        bins = packing.Bins(40, 2)
+        assert [bins.put(*p)[0] for p in pieces] == best_fit(pieces, 40, 2)
+
+
+def test_packing_of_repeated_long_and_empty_rows(spark):
+    five = " ".join(f"w{i % 91}" for i in range(5000))
+    rows = [(1, five, "a"), (1, five, "a"), (None, five, None), (None, five, None), (2, "short", "a"), (2, "short", "a"), (3, None, "b"), (3, " ", "b")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("bin", F.lit(1)).withColumn("copies", F.lit(1))
+    got = packing.pack(df).collect()
+    held = defaultdict(int)
+    for r in got:
+        if r["bin_id"] is not None:
+            held[r["bin_id"]] += r["n_words"]
+    assert max(held.values()) <= packing.CAPACITY and sum(held.values()) == 4 * 5000 + 2
+    assert sum(n == packing.CAPACITY for n in held.values()) == 8 and sum(r["bin_id"] is None for r in got) == 2 and len(got) == 4 * 3 + 2 + 2
+    assert packing.pack(df.limit(0)).count() == 0 and packing.pack(df.drop("source")).count() == len(got)
+
+
 def test_best_fit_takes_the_tightest_compatible_bin():
     b = packing.Bins(10, 1)
     assert [b.put(7, "a", "x"), b.put(8, "b", "y"), b.put(2, "c", "z")] == [(0, 0), (1, 0), (1, 1)]
@@ -295,6 +332,43 @@ def test_decontamination(spark):
     assert not any(r["contaminated"] for r in decontaminate.flag(frame(spark, docs), bench.limit(0)).collect())
 
 
+def test_decontamination_recall_against_all_pairs(spark):
+    """Items told again with words left out, changed and put in: what a common subsequence over all pairs of item and text finds."""
+    rng = random.Random(12)
+    vocab = [f"v{int(rng.paretovariate(0.4)) % 3000}" for _ in range(20_000)]
+    draw = lambda n: [rng.choice(vocab) for _ in range(n)]
+    items = [(i, draw(rng.randint(8, 70))) for i in range(40)]
+    docs = []
+    for d in range(160):
+        i, keep = d % 40, rng.choice([0.5, 0.7, 0.85, 1.0])
+        told = [w for x in items[i][1] for w in ([x] if rng.random() < keep else draw(rng.randint(0, 2)))]
+        docs.append((d, draw(rng.randint(0, 80)) + told + draw(rng.randint(0, 80))))
+    name = {w: k for k, w in enumerate(sorted({w for _, t in items + docs for w in t}))}
+    num = lambda t: [name[w] for w in t]
+    want, strict = set(), set()
+    for d, t in docs:
+        for i, x in items:
+            n = len(x)
+            # a leak in some stretch of three halves of the item's words, and one in the whole text
+            if any(decontaminate.leaks(decontaminate.common_subsequence(num(x), num(t[a : a + n * 3 // 2])))[0] for a in range(0, len(t), max(1, n // 8))):
+                strict.add((d, i))
+            if decontaminate.leaks(decontaminate.common_subsequence(num(x), num(t)))[0]:
+                want.add((d, i))
+    text = lambda rows: [(i, " ".join(w)) for i, w in rows]
+    got = decontaminate.flag(spark.createDataFrame(text(docs), S), spark.createDataFrame(text(items), "item_id long, text string")).collect()
+    found = {(r["doc_id"], i) for r in got for i in r["item_ids"]}
+    assert found <= want and len(strict) > 60 and len(found & strict) >= 0.95 * len(strict)
+
+
+def test_decontamination_of_odd_tables(spark):
+    bench = spark.createDataFrame([(1, "alpha beta gamma delta epsilon zeta eta theta iota kappa")], "item_id long, text string")
+    hit = "word " * 50_000 + "alpha beta gamma delta epsilon zeta eta theta iota kappa" + " word" * 50_000
+    df = spark.createDataFrame([(1, hit), (1, hit), (None, hit), (None, None)], S).withColumn("row", F.lit("x")).withColumn("slot", F.lit(1))
+    got = decontaminate.flag(df, bench).collect()
+    assert sorted(r["contaminated"] for r in got) == [False, True, True, True]
+    assert decontaminate.flag(df.limit(0), bench).count() == 0 and decontaminate.keep_clean(df, bench).count() == 1
+
+
 def test_decontamination_of_long_and_short_items(spark):
     """A passage's cosine with a long item is low, and so is that of a full passage with a short item."""
     rng = random.Random(8)
@@ -384,6 +458,10 @@ def test_pipeline_stages(spark):
     docs = spark.createDataFrame([(d, t, "en", "s", len(t or "")) for d, t in corpus(n=30)], "doc_id long, text string, lang string, source string, n_chars long")
     lines = corpus_pipeline.lines(spark, docs, "")
     assert lines.columns == docs.columns and lines.count() == docs.count()
+    packed = corpus_pipeline.packed(spark, docs, "")
+    assert {r["doc_id"] for r in packed.collect()} == {r["doc_id"] for r in docs.collect()}
+    for stage in (corpus_pipeline.lines, corpus_pipeline.near_duplicates, corpus_pipeline.packed):
+        assert stage(spark, docs.limit(0), "").count() == 0
     one = corpus_pipeline.near_duplicates(spark, docs, "")
     assert one.columns == docs.columns
     assert sorted(r["doc_id"] for r in one.collect()) == sorted(d for d, (_, c) in linked(corpus(n=30), 5, 4, 5).items() if d == c)
@@ -392,3 +470,22 @@ def test_pipeline_stages(spark):
 def test_hash_of_kept_text(spark):
     r = spark.createDataFrame([("é",)], "t string").select(F.sha2("t", 256)).first()[0]
     assert r == hashlib.sha256("é".encode()).hexdigest()
+
+
+def test_pipeline_run_is_its_stages(spark):
+    import corpus_pipeline
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    verdicts = {r["doc_id"]: r["kept"] for r in quality_rules.judge(docs, spark.read.parquet(f"{sf}/labels.parquet")).collect()}
+    good = corpus_pipeline.quality(spark, docs, sf)
+    assert good.columns == docs.columns
+    left = {r["doc_id"]: r["text"] for r in good.collect()}
+    assert set(left) == {d for d, k in verdicts.items() if k}
+    lines = {d: t for d, t, _, _ in kept_lines(sorted(left.items()))}
+    single = {d for d, (_, c) in linked(sorted(lines.items()), 5, 4, 5).items() if d == c}
+    rows = [(d, lines[d]) for d in sorted(single)]
+    flagged = decontaminate.flag(spark.createDataFrame(rows, S), spark.read.parquet(f"{sf}/benchmark.parquet"))
+    clean = {r["doc_id"] for r in flagged.collect() if not r["contaminated"]}
+    out = corpus_pipeline.run(spark, sf).collect()
+    assert {r["doc_id"] for r in out} == clean and sum(r["n_words"] for r in out) == sum(len(words(lines[d])) for d in clean)

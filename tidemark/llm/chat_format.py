@@ -64,24 +64,26 @@ def format_pairs(turns: DataFrame, pairs: DataFrame) -> DataFrame:
 
 
 def format_neighbours(turns: DataFrame) -> DataFrame:
-    """:func:`format_pairs` of the pairs (2k, 2k + 1): the even conv_id as chosen, the odd one as rejected, by one shuffle more than the turns' own."""
-    convs = conversations_of(turns).withColumn("pair_id", F.floor(F.col("conv_id") / 2))
-    even = F.pmod(F.col("conv_id"), F.lit(2)) == 0
-    wide = convs.groupBy("pair_id").agg(
+    """:func:`format_pairs` of the pairs (2k, 2k + 1): the even conv_id as chosen, the odd one as rejected, by one shuffle more than the turns' own.
+
+    A conversation without its partner shares no turn: the prompt is empty, its text is the completion, and the other side's columns are null.
+    """
+    convs = conversations_of(turns).withColumn("pair_id", F.shiftright(F.col("conv_id"), 1))
+    even = F.col("conv_id").bitwiseAND(F.lit(1)) == 0
+    return _render(convs.groupBy("pair_id").agg(
         F.max(F.when(even, F.col("conv_id"))).alias("chosen"), F.max(F.when(~even, F.col("conv_id"))).alias("rejected"),
         F.max(F.when(even, F.col("turns"))).alias("c"), F.max(F.when(~even, F.col("turns"))).alias("r"),
-    )
-    return _render(wide.filter("c is not null and r is not null"))
+    ))
 
 
 def _render(wide: DataFrame) -> DataFrame:
     c, r = F.col("c"), F.col("r")
-    both = F.least(F.size(c), F.size(r))
+    both = F.when(c.isNull() | r.isNull(), 0).otherwise(F.least(F.size(c), F.size(r)))
     same = lambda i: (F.get(c, i)["role"] == F.get(r, i)["role"]) & (F.get(c, i)["text"] == F.get(r, i)["text"])
-    first = F.array_min(F.filter(F.sequence(F.lit(0), both - 1), lambda i: ~same(i)))
+    first = F.when(both > 0, F.array_min(F.filter(F.sequence(F.lit(0), F.greatest(both - 1, F.lit(0))), lambda i: ~same(i))))
     wide = wide.withColumn("n_shared", F.coalesce(first, both))
     after = lambda x: F.slice(x, F.col("n_shared") + 1, F.greatest(F.size(x) - F.col("n_shared"), F.lit(0)))
-    wide = wide.withColumns({"p": F.slice(c, F.lit(1), F.col("n_shared")), "c": after(c), "r": after(r)})
+    wide = wide.withColumns({"p": F.slice(F.coalesce(c, r), F.lit(1), F.col("n_shared")), "c": after(c), "r": after(r)})
     text = lambda x: F.array_join(F.transform(x, _turn), "")
     return wide.select(
         "pair_id", "chosen", "rejected", F.col("n_shared").cast("long").alias("n_shared"), text("p").alias("prompt"), text("c").alias("chosen_text"), text("r").alias("rejected_text"),

@@ -1,10 +1,15 @@
-"""Licence scan by canonical digests: normalised entire texts, hash-joined to the digests of known licences."""
+"""Licence scan by canonical digests: normalised entire texts, and entire lines of them, hash-joined to the digests of known licences."""
 
 from __future__ import annotations
 
+import re
+from hashlib import md5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import Scratch, row_key
+
 #: Words that mean the same in a licence.
 EQUIVALENT = [("licence", "license"), ("licenced", "licensed"), ("sub license", "sublicense"), ("non commercial", "noncommercial"), ("per cent", "percent"), ("copyright owner", "copyright holder"), ("http", "https"), ("acknowledgement", "acknowledgment"), ("favour", "favor"), ("fulfil", "fulfill"), ("analogue", "analog")]
 #: Names and texts of short licences and notices.
@@ -19,6 +24,30 @@ Permission is granted to anyone to use this software for any purpose, including
 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required.
 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software.
 3. This notice may not be removed or altered from any source distribution."""),
+    ("BSD-2-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("BSD-3-Clause", """Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.
+3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."""),
+    ("MIT-0", """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("0BSD", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted.
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."""),
+    ("BSL-1.0", """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so, all subject to the following:
+The copyright notices in the Software and this entire statement, including the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of machine-executable object code generated by a source language processor.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE, TITLE AND NON-INFRINGEMENT. IN NO EVENT SHALL THE COPYRIGHT HOLDERS OR ANYONE DISTRIBUTING THE SOFTWARE BE LIABLE FOR ANY DAMAGES OR OTHER LIABILITY, WHETHER IN CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""),
+    ("Unlicense", """This is free and unencumbered software released into the public domain.
+Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.
+In jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law.
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+For more information, please refer to <https://unlicense.org>"""),
+    ("Apache-2.0", """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at
+http://www.apache.org/licenses/LICENSE-2.0
+Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."""),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Licensed under the MIT License."),
@@ -34,49 +63,60 @@ Permission is granted to anyone to use this software for any purpose, including
     ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
     ("AllRightsReserved", "All rights reserved."),
 ]
-#: Lines that only name who holds the rights, or head a licence.
-_NOTICE = r"^(copyright|c copyright|portions copyright)( |$).*$|^(the )?(mit|isc|zlib) license( mit| isc| zlib)?$"
+#: Normalised lines that only name who holds the rights, or head a licence.
+_NOTICE = r"^(portions )?(copyright( c)*|c) (by )?[0-9]{4}( .*)?$|^(portions )?copyright c( .*)?$|^copyright( [^ ]+){1,8} all rights reserved$|^all rights reserved$|^(the )?(mit|isc|zlib|unlicense|boost software|bsd [23] clause) license( mit| isc| zlib)?$"
+_OTHER = "[^a-z0-9]+"
 
 
 def _line(c: Column) -> Column:
-    """A line in lower case with runs of other than letters and digits as one space."""
-    out = F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " "))
-    same = out
+    """A line in lower case, the copyright sign as the word, with runs of other than letters and digits as one space."""
+    return F.trim(F.regexp_replace(F.replace(F.lower(c), F.lit("\u00a9"), F.lit(" copyright ")), _OTHER, " "))
+
+
+def _spelled(c: Column) -> Column:
+    """Normalised words with one spelling of each."""
+    same = c
     for a, b in EQUIVALENT:
-        same = F.regexp_replace(same, f"(^| ){a}(?= |$)", f"$1{b}")
-    return F.when(out.rlike("|".join(a for a, _ in EQUIVALENT)), same).otherwise(out)
+        same = F.regexp_replace(same, rf"\b{a}\b", b)
+    return F.when(c.rlike(rf"\b({'|'.join(a for a, _ in EQUIVALENT)})\b"), same).otherwise(c)
 
 
-def canonical(text: Column) -> Column:
-    """The text's lines so normalised, without copyright lines, as one line."""
-    lines = F.filter(F.transform(F.split(text, "\n", -1), _line), lambda x: (x != "") & ~x.rlike(_NOTICE))
-    return F.array_join(lines, " ")
+def canonical_of(text: str) -> str:
+    """The canonical form of a known text, on the driver; :func:`scan` has the same for columns."""
+    lines = [re.sub(_OTHER, " ", x.lower().replace("\u00a9", " copyright ")).strip() for x in text.split("\n")]
+    out = " ".join(x for x in lines if x and not re.search(_NOTICE, x)) or " ".join(filter(None, lines))
+    for a, b in EQUIVALENT:
+        out = re.sub(rf"\b{a}\b", b, out)
+    return out
 
 
-def known_licenses(spark) -> DataFrame:
-    """(digest, license): as many rows as :data:`KNOWN` has digests, so its size is fixed."""
-    table = spark.createDataFrame(KNOWN, "license string, text string")
-    return table.select(F.md5(canonical(F.col("text"))).alias("digest"), "license").groupBy("digest").agg(F.min("license").alias("license"))
+def known_digests() -> list[tuple[str, str]]:
+    """(digest, license) of each of :data:`KNOWN`."""
+    out: dict[str, str] = {}
+    for name, text in KNOWN:
+        d = md5(canonical_of(text).encode()).hexdigest()
+        out[d] = min(out.get(d, name), name)
+    return sorted(out.items())
 
 
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, digest, license, notices.
 
-    ``license`` names the known licence that the entire text is, else null; ``digest`` is that of the canonical text. ``notices`` names, sorted
-    and once each, the licences that a whole line of the text is. Null or empty text: the digest of nothing, no
-    licence, no notices. A null doc_id stays null. Repeated rows come back as often as they came. Other columns are not read.
+    ``license`` names the known licence that the entire text is, its copyright lines aside, else null; ``digest`` is that of the
+    canonical text. ``notices`` names, sorted and once each, the licences that an entire line of the text is. ``known`` (digest, license)
+    is a table of any size; where it names two licences for a digest the first by name holds. Null or empty text: the digest of nothing, no
+    licence, no notices. A null doc_id stays null. Repeated rows come back as often as they came. Other columns are not read. An empty table gives no rows.
     """
-    known = known_licenses(docs.sparkSession) if known is None else known
-    hint = r"(?i)licen[sc]e|copyright|released under|rights reserved|permission|warranty"
-    base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    base = base.withColumn("digest", F.md5(canonical(F.col("text"))))
-    # the known digests as one small map: their number is fixed by KNOWN, or checked here
-    pairs = known.select("digest", "license").limit(100_001).collect()
-    if len(pairs) > 100_000:
-        raise ValueError("more than 100,000 known digests: join them as a table")
-    lines = F.transform(F.filter(F.split("text", "\n", -1), lambda x: x.rlike(hint)), lambda x: F.md5(_line(x)))
-    each = base.select("doc_id", "digest", F.array_distinct(lines).alias("lines"))
-    names = F.create_map(*(F.lit(x) for r in pairs for x in (r["digest"], r["license"]))) if pairs else F.create_map().cast("map<string,string>")
-    notices = F.array_sort(F.array_distinct(F.filter(F.transform("lines", lambda d: F.try_element_at(names, d)), lambda x: x.isNotNull())))
-    whole = each.join(F.broadcast(known.select("digest", "license")), "digest", "left")
-    return whole.select("doc_id", "digest", "license", notices.alias("notices"))
+    spark = docs.sparkSession
+    known = spark.createDataFrame(known_digests(), "digest string, license string") if known is None else known
+    known = known.dropna(subset=["digest", "license"]).groupBy("digest").agg(F.min("license").alias("license"))
+    base = docs.select(*row_key(), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    base = base.withColumn("lines", F.filter(F.transform(F.split("text", "\n", -1), _line), lambda x: x != ""))
+    whole = F.md5(_spelled(F.array_join(F.filter("lines", lambda x: ~x.rlike(_NOTICE)), " ")))
+    each = F.array_distinct(F.transform("lines", lambda x: F.md5(_spelled(x))))
+    # texts are normalised once; what the joins read are digests
+    digests = Scratch(spark).table(base.select("id", "text_hash", "doc_id", whole.alias("digest"), each.alias("lines")), "digests")
+    hits = digests.select("id", "text_hash", F.explode("lines").alias("digest")).join(known, "digest")
+    notices = hits.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set("license")).alias("notices"))
+    out = digests.drop("lines").join(known, "digest", "left").join(notices, ["id", "text_hash"], "left")
+    return out.select("doc_id", "digest", "license", F.coalesce("notices", F.array().cast("array<string>")).alias("notices"))

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 #: Rounds of the network. Eight suffice for values of a few digits.
 ROUNDS = 8
+#: Turns of a cycle walk; three in five dates are after the 12th, so not one walk in 10**25 is longer.
+LONGEST_WALK = 64
 _EMAIL = r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63})*\.[A-Za-z]{2,24}(?![A-Za-z0-9])"
 _IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?)(?![A-Za-z0-9])"
 _SECRET = r"(?<![A-Za-z0-9])[0-9a-f]{32,64}(?![A-Za-z0-9])"
@@ -109,29 +111,48 @@ def _ip(m: Column, key: str) -> Column:
     return F.when(F.forall(o, lambda x: x <= 255), text).otherwise(m)
 
 
-def _date(m: Column, key: str, java_format: str) -> Column:
+def _turned_day(at: Column, key: str) -> Column:
     """Days of a 400-year calendar cycle (146097 = 189 x 773 of them, 1800 to 2199) permuted among themselves."""
-    day = F.to_date(F.try_to_timestamp(m, F.lit(java_format)))
-    at = F.datediff(day, F.lit("1800-01-01").cast("date"))
     out = _feistel(F.floor(at / 773), at % 773, F.lit(189), F.lit(773), key, "date")
-    fresh = F.transform(F.array(out), lambda x: F.date_format(F.date_add(F.lit("1800-01-01").cast("date"), (x["l"] * 773 + x["r"]).cast("int")), java_format))[0]
-    return F.when(day.isNotNull() & at.between(0, 146096), fresh).otherwise(m)
+    return F.transform(F.array(out), lambda x: x["l"] * 773 + x["r"])[0]
 
 
-def _secret(m: Column, key: str) -> Column:
-    """Eight hexadecimal digits at a time, each under a key of the value's other parts and its place: still a bijection of the whole by position."""
+def _day(at: Column) -> Column:
+    return F.date_add(F.lit("1800-01-01").cast("date"), at.cast("int"))
+
+
+def _date(m: Column, key: str, java_format: str, late: bool = False) -> Column:
+    """The date's pseudonym in its own format. ``late``: dates after the 12th of a month stay such, by turning again until one is (a
+    cycle walk, still a bijection), so that a text read month first never becomes one that is read day first."""
+    day = F.to_date(F.try_to_timestamp(m, F.lit(java_format)))
+    at = F.datediff(day, F.lit("1800-01-01").cast("date")).cast("long")
+    fresh = _turned_day(at, key)
+    if late:
+        fresh = F.aggregate(F.sequence(F.lit(1), F.lit(LONGEST_WALK)), fresh, lambda x, _: F.when(F.dayofmonth(_day(x)) > 12, x).otherwise(_turned_day(x, key)))
+    return F.when(day.isNotNull() & at.between(0, 146096), F.date_format(_day(fresh), java_format)).otherwise(m)
+
+
+def _chained(m: Column, key: str, tag: str) -> Column:
+    """Eight hexadecimal digits after the other, each under a key of all that came out before: invertible from the front."""
     n = F.char_length(m)
     parts = F.transform(F.sequence(F.lit(1), F.floor((n + 7) / 8).cast("int")), lambda i: F.substr(m, (i - 1) * 8 + 1, F.lit(8)))
 
-    def turn(part: Column, i: Column) -> Column:
+    def turn(before: Column, part: Column) -> Column:
         size = F.char_length(part)
         half = F.floor(size / 2).cast("int")
         p = lambda k: F.pow(F.lit(16.0), k).cast("long")
         num = lambda s: F.coalesce(F.conv(s, 16, 10).cast("long"), F.lit(0))
-        out = _feistel(num(F.substr(part, F.lit(1), half)), num(F.substr(part, half + 1)), p(half), p(size - half), key, F.concat(F.lit("hex:"), i.cast("string"), F.lit(":"), n.cast("string")))
-        return F.transform(F.array(out), lambda x: F.concat(F.lpad(F.lower(F.hex(x["l"])), half, "0"), F.lpad(F.lower(F.hex(x["r"])), size - half, "0")))[0]
+        out = _feistel(num(F.substr(part, F.lit(1), half)), num(F.substr(part, half + 1)), p(half), p(size - half), key, F.concat_ws(":", F.lit(tag), n.cast("string"), before))
+        return F.transform(F.array(out), lambda x: F.concat(before, F.lpad(F.lower(F.hex(x["l"])), half, "0"), F.lpad(F.lower(F.hex(x["r"])), size - half, "0")))[0]
+
+    return F.aggregate(parts, F.lit(""), turn)
+
 
-    return F.when(m.rlike("[0-9]") & m.rlike("[a-f]"), F.array_join(F.transform(parts, turn), "")).otherwise(m)
+def _secret(m: Column, key: str) -> Column:
+    """Chained from the front and then from the end, so that every digit depends on every other: a bijection of the whole."""
+    front = _chained(m, key, "hex")
+    whole = F.transform(F.array(front), lambda x: F.reverse(_chained(F.reverse(x), key, "xeh")))[0]
+    return F.when(m.rlike("[0-9]") & m.rlike("[a-f]"), whole).otherwise(m)
 
 
 def _phone(m: Column, key: str) -> Column:
@@ -143,7 +164,17 @@ def _phone(m: Column, key: str) -> Column:
 
 
 def _ssn(m: Column, key: str) -> Column:
-    return F.when(~m.rlike("^(000|666|9..)|-00-|-0000$"), _refill(m, permute_digits(_digits(m), key, "ssn"))).otherwise(m)
+    """Valid numbers have an area of 001 to 899 but 666, a group from 01 and a serial number from 0001; they are permuted among themselves."""
+    area, group, serial = (F.substr(m, F.lit(i), F.lit(n)).try_cast("long") for i, n in ((1, 3), (5, 2), (8, 4)))
+    at = area - 1 - (area > 666).cast("long")
+    out = _feistel(at * 99 + group - 1, serial - 1, F.lit(898 * 99), F.lit(9999), key, "ssn")
+
+    def text(x: Column) -> Column:
+        a = F.floor(x["l"] / 99) + 1
+        pad = lambda v, n: F.lpad(v.cast("string"), n, "0")
+        return F.concat_ws("-", pad(a + (a >= 666).cast("long"), 3), pad(x["l"] % 99 + 1, 2), pad(x["r"] + 1, 4))
+
+    return F.when(~m.rlike("^(000|666|9..)|-00-|-0000$"), F.transform(F.array(out), text)[0]).otherwise(m)
 
 
 def _email(m: Column, key: str) -> Column:
@@ -161,7 +192,7 @@ def pseudonym(m: Column, key: str) -> Column:
         .when(whole(r"[0-9]{1,3}(\.[0-9]{1,3}){3}"), _ip(m, key))
         .when(whole("[0-9]{4}-[0-9]{2}-[0-9]{2}"), _date(m, key, "yyyy-MM-dd"))
         .when(whole(r"[0-9]{2}\.[0-9]{2}\.[0-9]{4}"), _date(m, key, "dd.MM.yyyy"))
-        .when(whole("[0-9]{2}/[0-9]{2}/[0-9]{4}"), F.when(F.try_to_timestamp(m, F.lit("dd/MM/yyyy")).isNotNull(), _date(m, key, "dd/MM/yyyy")).otherwise(_date(m, key, "MM/dd/yyyy")))
+        .when(whole("[0-9]{2}/[0-9]{2}/[0-9]{4}"), F.when(F.try_to_timestamp(m, F.lit("dd/MM/yyyy")).isNotNull(), _date(m, key, "dd/MM/yyyy")).otherwise(_date(m, key, "MM/dd/yyyy", late=True)))
         .when(whole("[0-9]{3}-[0-9]{2}-[0-9]{4}"), _ssn(m, key))
         .when(m.rlike(r"^[0-9]") & F.char_length(_digits(m)).between(13, 19), _card(m, key))
         .otherwise(_phone(m, key))

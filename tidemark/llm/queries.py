@@ -9,8 +9,8 @@ from . import chat_format, decontaminate, html_text, license_scan, line_dedup, n
 from .common import LOWER, UPPER, documents
 
 
-#: Stands in for a deployment's secret.
-PSEUDONYM_KEY = "tidemark-demo-key"
+#: The setting that names a deployment's secret; without it, a word for demonstrations.
+KEY_SETTING, DEMO_KEY = "spark.tidemark.pseudonymKey", "demonstration"
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -18,7 +18,7 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(documents(spark, sf_dir), key=PSEUDONYM_KEY)
+    return pii.pseudonymise(documents(spark, sf_dir), key=spark.conf.get(KEY_SETTING, DEMO_KEY))
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,7 +31,7 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return license_scan.scan(documents(spark, sf_dir))
+    return license_scan.scan(documents(spark, sf_dir)).withColumn("notices", F.array_join("notices", ","))
 
 
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +40,9 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_preference_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversations 2k and 2k + 1 as chosen and rejected: the table has no pairs of its own."""
-    return chat_format.format_neighbours(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    out = chat_format.format_neighbours(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    ranges = lambda c: F.array_join(F.transform(c, lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))), ",")
+    return out.withColumns({c: ranges(c) for c in ("chosen_spans", "rejected_spans")})
 
 
 def op8_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +74,39 @@ QUERIES = {
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
+def _spelled(column: str) -> str:
+    for a, b in license_scan.EQUIVALENT:
+        column = f"regexp_replace({column}, '\\b{a}\\b', '{b}', 'g')"
+    return column
+
+
+_KNOWN = ", ".join(f"('{d}', '{n}')" for d, n in license_scan.known_digests())
+_SIDE = "string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '' ORDER BY i) FILTER (WHERE side = {0} AND i > n_shared)"
+_SPANS = "string_agg((z - length(text) - 8) || '-' || z, ',' ORDER BY i) FILTER (WHERE side = {0} AND i > n_shared AND role = 'assistant')"
+
 ORACLE_SQL: dict[str, str] = {
+    "op5_license_scan": f"""
+        WITH known(digest, license) AS (VALUES {_KNOWN}),
+        l AS (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(regexp_replace(replace(lower(x), chr(169), ' copyright '), '[^a-z0-9]+', ' ', 'g'))), lambda x: x <> '') AS lines FROM documents),
+        w AS (SELECT doc_id, lines, coalesce(array_to_string(list_filter(lines, lambda x: NOT regexp_matches(x, '{license_scan._NOTICE}')), ' '), '') AS whole FROM l),
+        d AS (SELECT doc_id, md5({_spelled('whole')}) AS digest, lines FROM w),
+        e AS (SELECT doc_id, unnest(lines) AS line FROM l),
+        n AS (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS notices FROM (SELECT doc_id, md5({_spelled('line')}) AS digest FROM e) JOIN known USING (digest) GROUP BY 1)
+        SELECT doc_id, digest, license, coalesce(notices, '') AS notices FROM d LEFT JOIN known USING (digest) LEFT JOIN n USING (doc_id)""",
+    "op7_preference_format": f"""
+        WITH t AS (SELECT DISTINCT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+        n AS (SELECT *, conv_id >> 1 AS pair_id, conv_id & 1 AS side, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS i FROM t),
+        f AS (SELECT pair_id, min(i) - 1 AS n_shared FROM (SELECT coalesce(a.pair_id, b.pair_id) AS pair_id, coalesce(a.i, b.i) AS i,
+                  a.role IS DISTINCT FROM b.role OR a.text IS DISTINCT FROM b.text AS differs
+              FROM (SELECT * FROM n WHERE side = 0) a FULL JOIN (SELECT * FROM n WHERE side = 1) b ON a.pair_id = b.pair_id AND a.i = b.i) WHERE differs GROUP BY 1),
+        s AS (SELECT pair_id, min(c) AS shorter FROM (SELECT pair_id, side, count(*) AS c FROM n GROUP BY 1, 2) GROUP BY 1),
+        m AS (SELECT n.*, coalesce(n_shared, shorter) AS n_shared FROM n JOIN s USING (pair_id) LEFT JOIN f USING (pair_id)),
+        p AS (SELECT *, sum(CASE WHEN i > n_shared THEN length(role) + length(text) + 13 ELSE 0 END) OVER (PARTITION BY conv_id ORDER BY i) AS z FROM m),
+        g AS (SELECT pair_id, max(CASE side WHEN 0 THEN conv_id END) AS chosen, max(CASE side WHEN 1 THEN conv_id END) AS rejected, CAST(max(n_shared) AS bigint) AS n_shared,
+                  string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '' ORDER BY i) FILTER (WHERE side = 0 AND i <= n_shared) AS prompt,
+                  {_SIDE.format(0)} AS c, {_SIDE.format(1)} AS r, {_SPANS.format(0)} AS cs, {_SPANS.format(1)} AS rs FROM p GROUP BY 1)
+        SELECT pair_id, chosen, rejected, n_shared, coalesce(prompt, '') AS prompt, CASE WHEN chosen IS NOT NULL THEN coalesce(c, '') END AS chosen_text, CASE WHEN rejected IS NOT NULL THEN coalesce(r, '') END AS rejected_text,
+               CASE WHEN chosen IS NOT NULL THEN coalesce(cs, '') END AS chosen_spans, CASE WHEN rejected IS NOT NULL THEN coalesce(rs, '') END AS rejected_spans FROM g""",
     "op4_substring_dedup": f"""
         WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
         p AS (SELECT doc_id, unnest(range(1, len(w) - 33)) AS i, w FROM d WHERE len(w) >= 35),
