@@ -124,6 +124,22 @@ def checksum(df: DataFrame, name: str, exclude: tuple = VOLATILE) -> DataFrame:
     return df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.xxhash64(F.struct(*cols)).cast("decimal(20,0)")), F.lit(0)).cast("string").alias("digest")).select(F.lit(name).alias("table"), "rows", "digest")
 
 
+def layer_checksums(tables: dict[str, DataFrame], leave_out: tuple = ("cdc_heartbeat",)) -> DataFrame:
+    """:func:`checksum` of every table of a layer, by name."""
+    return reduce(DataFrame.unionByName, [checksum(df, n) for n, df in sorted(tables.items()) if n not in leave_out])
+
+
+def fence_visible(heartbeat: DataFrame, token: str, fence_id: int = 1) -> DataFrame:
+    """One row: whether the current state of the heartbeat table shows the token, so that all events before it are there."""
+    return heartbeat.filter(F.col("id") == fence_id).agg(F.coalesce(F.bool_or(F.col("token").eqNullSafe(token)), F.lit(False)).alias("visible"))
+
+
+def check_not_over(parts: DataFrame, key: str, part: str, wholes: DataFrame, whole: str) -> DataFrame:
+    """Wholes whose parts add up to more than them, as refunds of an order must not."""
+    sums = parts.groupBy(key).agg(F.sum(part).alias("parts"))
+    return wholes.select(key, whole).join(sums, key).filter(F.col("parts") > F.col(whole))
+
+
 def checksum_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     """Tables whose rows or digest differ, or that only one side has."""
     a, b = before.select("table", F.struct("rows", "digest").alias("a")), after.select("table", F.struct("rows", "digest").alias("b"))

@@ -456,3 +456,6 @@ def _(t):
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["cdc_fold_log"](spark, sf_dir)
+
+
+from tidemark.plans import staging_queries  # noqa: E402,F401  (registers its queries beside these)

@@ -36,12 +36,12 @@ def normalise_observations(items: DataFrame) -> dict[str, DataFrame]:
     })
     grade = F.col("product.nutriscore_grade")
     products = newest(good.filter("product is not null"), "product_id", {
-        "market_product_id": F.col("product_id"), "code": F.coalesce("product.code", "product_code", F.lit("")), "name": F.coalesce(text("product.product_name"), text("product_name")),
+        "market_product_id": F.col("product_id"), "code": F.coalesce(F.nullif("product.code", F.lit("")), "product_code", F.lit("")), "name": F.coalesce(text("product.product_name"), text("product_name")),
         "brand": clean_text(F.get(F.split("product.brands", ","), F.lit(0)), 80), "category_tag": first_en_tag(F.col("product.categories_tags")), "store_category": category_of(F.col("product.categories_tags")),
         "quantity": F.bround(F.col("product.product_quantity").cast("decimal(38,10)"), 3).cast("decimal(12,3)"), "quantity_unit": text("product.product_quantity_unit", 10), "nutriscore_grade": F.when(grade.isin(*GRADES), grade),
     })
     prices = newest(good, "id", {
-        "price_id": F.col("id"), "market_product_id": F.when(F.col("product").isNotNull(), F.col("product_id")), "location_id": F.when(F.col("location").isNotNull(), F.col("location_id")), "product_code": text("product_code", 80),
+        "price_id": F.col("id"), "market_product_id": F.when(F.col("product").isNotNull(), F.col("product_id")), "location_id": F.when(F.col("location").isNotNull(), F.col("location_id")), "product_code": text("product_code", 40),
         "category_tag": text("category_tag", 80), "price": F.col("_price"), "currency": F.col("_currency"), "is_discounted": F.coalesce("price_is_discounted", F.lit(False)), "price_without_discount": _money("price_without_discount"),
         "price_per": text("price_per", 20), "observed_on": F.substring("date", 1, 10).try_cast("date"), "source_created_at": F.col("created").try_cast("timestamp"),
     })
