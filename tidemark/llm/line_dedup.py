@@ -1,6 +1,6 @@
 """Reversible, incremental line deduplication: sharded cuckoo filters before exact reference-count tables.
 
-State is three tables in one folder, a generation each time it changes:
+State is three tables, written anew each time they change:
 
 * ``postings`` (shard, key_a, key_b, doc_id): which document holds which line key;
 * ``counts`` (shard, key_a, key_b, n_docs, keeper): exact reference counts, and the smallest doc_id;
@@ -9,7 +9,9 @@ State is three tables in one folder, a generation each time it changes:
 A batch of new documents asks the filters first. Keys that no filter has are new: they are counted from the batch
 alone. Only the others meet the exact counts. Deleting documents takes their references away, and their last one
 takes the key out of its filter, so dropped lines come back. Shards are chosen by key hash and number so many that
-each holds a bounded number of keys; a line that many documents share is one row there.
+each holds a bounded number of keys; a line that many documents share is one row there. When the keys outgrow the
+shards, the index is dealt over twice as many as it needs, and the filters are built again from the exact counts.
+``save`` and ``load`` hand an index from one job to the next.
 """
 
 from __future__ import annotations
@@ -22,12 +24,14 @@ from pyspark.sql import functions as F
 from .common import SPACES, Scratch, ascii_lower
 from .words import U, mix
 
-#: Expected keys in a shard's filter; the number of shards follows from it.
-KEYS_PER_SHARD = 1 << 16
+#: Most keys that a shard has on average; the number of shards follows from it.
+KEYS_PER_SHARD = 1 << 13
 SLOTS = 4
 MIN_CHARS = 10
 KEY = ["key_a", "key_b"]
-_POSTING = "key_a long, key_b long, doc_id long"
+_FILTER = "shard int, buckets binary"
+_STATE = {"postings": "key_a long, key_b long, doc_id long", "counts": "shard int, key_a long, key_b long, n_docs long, keeper long", "filters": _FILTER}
+_SHAPE = "shards long, min_chars long, keys_per_shard long"
 
 
 class CuckooFilter:
@@ -136,15 +140,46 @@ def _key(key: Column) -> list[Column]:
 class LineIndex:
     """The index of one corpus. ``insert`` and ``delete`` change it, ``apply`` drops lines by it."""
 
-    def __init__(self, spark: SparkSession, shards: int, min_chars: int = MIN_CHARS, scratch: Scratch | None = None):
-        self.spark, self.shards, self.min_chars, self.scratch = spark, shards, min_chars, scratch or Scratch(spark)
+    def __init__(self, spark: SparkSession, shards: int, min_chars: int = MIN_CHARS, keys_per_shard: int = KEYS_PER_SHARD):
+        self.spark, self.shards, self.min_chars, self.keys_per_shard, self.scratch = spark, shards, min_chars, keys_per_shard, Scratch(spark)
         self.postings = self.counts = self.filters = None
 
     @classmethod
     def for_docs(cls, docs: DataFrame, min_chars: int = MIN_CHARS, keys_per_shard: int = KEYS_PER_SHARD) -> LineIndex:
         """An empty index with as many shards as these documents' lines (an upper bound of their keys) ask for."""
         n = docs.select(F.sum(F.size(lines_of(F.col("text"))))).first()[0] or 0
-        return cls(docs.sparkSession, max(1, -(-int(n) // keys_per_shard)), min_chars)
+        return cls(docs.sparkSession, max(1, -(-int(n) // keys_per_shard)), min_chars, keys_per_shard)
+
+    def save(self, path: str) -> None:
+        """Write the index to a new folder; an existing one is an error. What is written last marks it as whole."""
+        for name, schema in _STATE.items():
+            table = getattr(self, name)
+            (self.spark.createDataFrame([], schema) if table is None else table).write.parquet(f"{path}/{name}")
+        self.spark.createDataFrame([(self.shards, self.min_chars, self.keys_per_shard)], _SHAPE).write.parquet(f"{path}/shape")
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> LineIndex:
+        """The index that :meth:`save` wrote; fails where the writing did not end. The folder is read, never changed."""
+        index = cls(spark, *spark.read.schema(_SHAPE).parquet(f"{path}/shape").first())
+        for name, schema in _STATE.items():
+            setattr(index, name, spark.read.schema(schema).parquet(f"{path}/{name}"))
+        return index
+
+    def _grow(self) -> None:
+        """Deal keys that outgrew the shards over more of them. Fingerprints do not tell their keys; the counts do."""
+        n = self.counts.count()
+        if n <= self.shards * self.keys_per_shard:
+            return
+        self.shards, room = -(-2 * n // self.keys_per_shard), self.keys_per_shard
+
+        def build(key: tuple, rows: pa.Table) -> pa.Table:
+            keys = np.unique(rows["key_a"].to_numpy())
+            f = CuckooFilter.sized(max(len(keys), room))
+            f.insert(keys)
+            return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "buckets": pa.array([f.to_bytes()], pa.binary())})
+
+        self.counts = self.scratch.table(self._sharded(self.counts.drop("shard")).select("shard", *KEY, "n_docs", "keeper"), "counts")
+        self.filters = self.scratch.table(self.counts.select("shard", "key_a").groupBy("shard").applyInArrow(build, _FILTER), "filters")
 
     def _sharded(self, df: DataFrame) -> DataFrame:
         return df.withColumn("shard", F.pmod(F.col("key_a"), F.lit(self.shards)).cast("int"))
@@ -153,10 +188,11 @@ class LineIndex:
         """Documents whose doc_id the index does not hold yet."""
         new = self.scratch.table(_postings(docs, self.min_chars).distinct(), "postings")
         batch = self._sharded(new.groupBy(*KEY).agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("keeper")))
-        filters = self.filters if self.filters is not None else self.spark.createDataFrame([], "shard int, buckets binary")
+        filters = self.filters if self.filters is not None else self.spark.createDataFrame([], _FILTER)
+        room = self.keys_per_shard
 
         def ask(key: tuple, rows: pa.Table, old: pa.Table) -> pa.Table:
-            f = CuckooFilter.from_bytes(old["buckets"][0].as_py()) if len(old) else CuckooFilter.sized(max(len(rows), KEYS_PER_SHARD // 8))
+            f = CuckooFilter.from_bytes(old["buckets"][0].as_py()) if len(old) else CuckooFilter.sized(max(len(rows), room))
             keys = rows["key_a"].to_numpy()
             seen = f.contains(keys)
             f.insert(np.unique(keys[~seen]))
@@ -173,6 +209,7 @@ class LineIndex:
         if self.counts is None:
             # the filters were empty: what they have seen are chance meetings of two new keys
             self.counts, self.postings = fresh.unionByName(seen), new
+            self._grow()
             return
         # keys that the filters claim by chance get fingerprints of their own, or a deletion would take another key's
         chance = self.scratch.table(seen.join(self.counts, ["shard", *KEY], "left_anti").select("shard", "key_a"), "chance")
@@ -183,10 +220,11 @@ class LineIndex:
                 f.insert(np.unique(rows["key_a"].to_numpy()))
                 return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "buckets": [f.to_bytes()]})
 
-            self.filters = self.scratch.table(chance.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(add, "shard int, buckets binary"), "filters")
+            self.filters = self.scratch.table(chance.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(add, _FILTER), "filters")
         both = self.counts.unionByName(seen).unionByName(fresh).groupBy("shard", *KEY).agg(F.sum("n_docs").alias("n_docs"), F.min("keeper").alias("keeper"))
         self.counts = self.scratch.table(both, "counts")
         self.postings = self.scratch.table(self.postings.unionByName(new), "all-postings")
+        self._grow()
 
     def delete(self, doc_ids: DataFrame) -> None:
         """Take back every reference of these documents (doc_id)."""
@@ -202,7 +240,7 @@ class LineIndex:
             f.delete(rows["key_a"].to_numpy())
             return pa.table({"shard": pa.array([key[0].as_py()], pa.int32()), "buckets": [f.to_bytes()]})
 
-        self.filters = self.scratch.table(dead.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(forget, "shard int, buckets binary"), "filters")
+        self.filters = self.scratch.table(dead.groupBy("shard").cogroup(self.filters.groupBy("shard")).applyInArrow(forget, _FILTER), "filters")
         self.postings = left
 
     def drops(self) -> DataFrame:
