@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, html_text, line_dedup, ngram_join, packing, quality_rules, substring_dedup
+from tidemark.llm import common, decontaminate, html_text, line_dedup, ngram_join, packing, quality_rules, substring_dedup
 
 S = "doc_id long, text string"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -138,6 +138,23 @@ def test_remove_repeats_of_a_phrase_said_back_to_back(spark, seed):
     assert sorted(map(tuple, substring_dedup.remove_repeats(spark.createDataFrame(rows, S).coalesce(1), 35).collect())) == repeats(rows, 35)
 
 
+@pytest.mark.parametrize("few", [1, 3])
+def test_remove_repeats_of_hot_windows(spark, monkeypatch, few):
+    monkeypatch.setattr(common, "FEW", few)
+    monkeypatch.setattr(common, "SHARES", 1000)
+    rows = corpus(seed=6) + [(1000 + i, f"own{i} " + " ".join(f"hot{j}" for j in range(20)) + f" end{i}") for i in range(30)]
+    got = sorted(map(tuple, substring_dedup.remove_repeats(frame(spark, rows), 12).collect()))
+    assert got == repeats(rows, 12)
+
+
+def test_rows_with(spark, monkeypatch):
+    monkeypatch.setattr(common, "FEW", 2)
+    rows = spark.createDataFrame([(k, i) for i, k in enumerate([1] * 5 + [2] * 2 + [3] + [4] * 9)], "k long, i long")
+    found = rows.groupBy("k").agg(F.count("*").alias("n")).filter("k <> 4")
+    assert sorted(r["i"] for r in common.rows_with(rows, found, ["k"]).collect()) == list(range(8))
+    assert common.rows_with(rows, found.filter("n > 99"), ["k"]).count() == 0
+
+
 def kept_lines(rows):
     key = lambda x: x.strip(" \t\n\x0b\f\r").translate(LOW)
     held = defaultdict(set)
@@ -177,11 +194,35 @@ def test_line_index_is_reversible(spark):
     assert sorted(map(tuple, index.apply(spark.createDataFrame(rows, S)).collect())) == kept_lines(rows)
 
 
+def test_line_index_grows_and_is_saved(spark, tmp_path):
+    rows = [(i, f"a line that all have\na line of number {i // 2}\nand one of number {i} alone") for i in range(60)]
+    a, b, c = rows[:5], rows[5:40], rows[40:]
+    index = line_dedup.LineIndex(spark, 1, keys_per_shard=8)
+    for i, part in enumerate((a, b)):
+        index.insert(spark.createDataFrame(part, S))
+        index.save(str(tmp_path / str(i)))
+        index = line_dedup.LineIndex.load(spark, str(tmp_path / str(i)))
+    assert index.shards > 1 and index.keys_per_shard == 8
+    kept = index.counts.groupBy("shard").agg(F.collect_list("key_a").alias("keys")).join(index.filters, "shard").collect()
+    assert sum(len(r["keys"]) for r in kept) == index.counts.count() > 8
+    assert all(line_dedup.CuckooFilter.from_bytes(bytes(r["buckets"])).contains(np.array(r["keys"])).all() for r in kept)
+    index.delete(spark.createDataFrame([(d,) for d, _ in a], "doc_id long"))
+    index.insert(spark.createDataFrame(c, S))
+    assert sorted(map(tuple, index.apply(spark.createDataFrame(b + c, S)).collect())) == kept_lines(b + c)
+    with pytest.raises(Exception):
+        index.save(str(tmp_path / "0"))
+    empty = line_dedup.LineIndex(spark, 1)
+    empty.save(str(tmp_path / "empty"))
+    again = line_dedup.LineIndex.load(spark, str(tmp_path / "empty"))
+    again.insert(spark.createDataFrame(a, S))
+    assert sorted(map(tuple, again.apply(spark.createDataFrame(a, S)).collect())) == kept_lines(a)
+
+
 def test_line_index_keeps_keys_that_share_a_fingerprint(spark):
     import numpy as np
 
     lines = spark.range(120_000).select(F.concat(F.lit("a long line, number "), "id").alias("line")).withColumn("key", F.xxhash64("line")).collect()
-    mark, one, two = line_dedup.CuckooFilter.sized(line_dedup.KEYS_PER_SHARD // 8)._place(np.array([r["key"] for r in lines]))
+    mark, one, two = line_dedup.CuckooFilter.sized(line_dedup.KEYS_PER_SHARD)._place(np.array([r["key"] for r in lines]))
     seen, pair = {}, None
     for i, place in enumerate(zip(mark.tolist(), np.minimum(one, two).tolist())):
         if place in seen:

@@ -57,6 +57,28 @@ class Scratch:
         path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+#: A key with more than one in ``SHARES`` of all rows is hot, so fewer than ``SHARES`` keys are; small keys never are.
+SHARES, FEW = 10_000, 4_096
+_PARTS, _PART = "__tidemark_parts", "__tidemark_part"
+
+
+def rows_with(rows: DataFrame, found: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows whose ``keys`` are in ``found``, which has each of its keys once with ``n``, the number of rows that have it.
+
+    Rows of a hot key are dealt by their hash over as many parts as leave each a small share of all rows, and the key is
+    repeated for every part. Hot keys and their parts are bounded in number whatever the input, so they are broadcast.
+    """
+    total, most = found.agg(F.sum("n"), F.max("n")).first()
+    limit = max(FEW, (total or 0) // SHARES)
+    if (most or 0) <= limit:
+        return rows.join(found.select(*keys).hint("shuffle_hash"), keys)
+    parts = F.floor(F.col("n") / limit).cast("long") + 1
+    hot = found.filter(F.col("n") > limit).select(*keys, parts.alias(_PARTS))
+    dealt = rows.join(F.broadcast(hot), keys, "left").withColumn(_PART, F.coalesce(F.pmod(F.xxhash64(*rows.columns), F.col(_PARTS)), F.lit(0).cast("long")))
+    each = found.select(*keys, F.explode(F.when(F.col("n") > limit, F.sequence(F.lit(0).cast("long"), parts - 1)).otherwise(F.array(F.lit(0).cast("long")))).alias(_PART))
+    return dealt.join(each.hint("shuffle_hash"), [*keys, _PART]).select(*rows.columns)
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

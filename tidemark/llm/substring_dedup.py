@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, row_key
+from .common import Scratch, row_key, rows_with
 from .words import Powers, U, Words, mix, slices, windows
 
 _NEAR, _WIDE_A, _WIDE_B = Powers(0x2545F4914F6CDD1D), Powers(0x9FB21C651E98DF25), Powers(0xE7037ED1A0B428DB)
@@ -216,17 +216,21 @@ def remove_repeats(docs: DataFrame, width: int = 50) -> DataFrame:
     classes = keys.groupBy("text_hash", "other_hash").agg(F.min("id").alias("id"), F.count("*").alias("copies"))
     classes = scratch.table(classes, "classes")
     names = scratch.table(texts.select("id", "text_hash", "text").mapInArrow(_names(width), "id long, text_hash long, name long, again boolean"), "names")
-    twice = names.groupBy("name").agg(F.min("text_hash").alias("lo"), F.max("text_hash").alias("hi"), F.max("again").alias("again")).filter("lo < hi or again").select("name")
-    by_text = names.join(twice.hint("shuffle_hash"), "name").join(classes.select("id", "text_hash"), ["id", "text_hash"], "left_semi")
+    twice = names.groupBy("name").agg(F.min("text_hash").alias("lo"), F.max("text_hash").alias("hi"), F.max("again").alias("again"), F.count("*").alias("n"))
+    twice = scratch.table(twice.filter("lo < hi or again").select("name", "n"), "twice")
+    by_text = rows_with(names, twice, ["name"]).join(classes.select("id", "text_hash"), ["id", "text_hash"], "left_semi")
     by_text = scratch.table(by_text.groupBy("id", "text_hash").agg(F.collect_set("name").alias("names")), "by-text")
     scratch.drop(names)
+    scratch.drop(twice)
     wide = texts.select("id", "text_hash", "text").join(by_text, ["id", "text_hash"]).select("id", "text_hash", "text", "names")
     starts = scratch.table(wide.mapInArrow(_windows(width), "id long, text_hash long, start long, wide_a long, wide_b long"), "windows")
-    again = starts.groupBy("wide_a", "wide_b").agg(F.count("*").alias("c")).filter("c > 1").select("wide_a", "wide_b")
-    marks = starts.join(again.hint("shuffle_hash"), ["wide_a", "wide_b"]).groupBy("id", "text_hash").agg(F.collect_list(F.col("start")).alias("starts"))
-    copies = keys.join(classes.filter("copies > 1").select("text_hash", "other_hash"), ["text_hash", "other_hash"], "left_semi").select("id", "text_hash").distinct()
+    again = scratch.table(starts.groupBy("wide_a", "wide_b").agg(F.count("*").alias("n")).filter("n > 1"), "again")
+    marks = rows_with(starts, again, ["wide_a", "wide_b"]).groupBy("id", "text_hash").agg(F.collect_list(F.col("start")).alias("starts"))
+    copied = classes.filter("copies > 1").select("text_hash", "other_hash", F.col("copies").alias("n"))
+    copies = rows_with(keys, copied, ["text_hash", "other_hash"]).select("id", "text_hash").distinct()
     marks = scratch.table(marks.join(copies.withColumn("copy", F.lit(True)), ["id", "text_hash"], "full").select("id", "text_hash", "starts", F.coalesce("copy", F.lit(False)).alias("copy")), "marks")
     scratch.drop(starts)
+    scratch.drop(again)
     return texts.join(marks, ["id", "text_hash"], "left").select("doc_id", "text", "starts", F.coalesce("copy", F.lit(False)).alias("copy")).mapInArrow(
         _kept(width), "doc_id long, n_words long, n_removed long, kept_text string"
     )
