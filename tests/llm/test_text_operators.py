@@ -59,28 +59,54 @@ def linked(rows, n, num, den):
             x = root[x]
         return x
 
-    ids = sorted(sets)
+    ids, links = sorted(sets), Counter()
     for i, a in enumerate(ids):
         for b in ids[:i]:
             both = len(sets[a] & sets[b])
             if both and den * both >= num * len(sets[a] | sets[b]):
                 x, y = find(a), find(b)
                 root[max(x, y)] = min(x, y)
-    return {d: (len(sets[d]), find(d)) for d in ids}
+                links.update([a, b])
+    return {d: (len(sets[d]), find(d), links[d]) for d in ids}
+
+
+def similar(spark, rows, n, num, den):
+    return {r["doc_id"]: (r["n_shingles"], r["component_id"], r["n_links"]) for r in ngram_join.similar_sets(frame(spark, rows), n, num, den, links=True).collect()}
+
+
+def chains(seed=11, groups=4, each=18):
+    """Groups of copies whose words change one after another, so that not all of a group are linked, and some that are equal."""
+    rng, rows = random.Random(seed), [(0, None), (1, "  ")]
+    for _ in range(groups):
+        t = [str(rng.randrange(10**6)) for _ in range(rng.choice([40, 90, 200]))]
+        for _ in range(each):
+            t = list(t)
+            if rng.random() < 0.8:
+                t[rng.randrange(len(t))] = str(rng.randrange(10**6))
+            rows.append((len(rows), " ".join(t)))
+    return rows
 
 
 @pytest.mark.parametrize("n,num,den", [(4, 85, 100), (5, 4, 5), (2, 1, 2)])
 def test_similar_sets(spark, n, num, den):
     rows = corpus()
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.similar_sets(frame(spark, rows), n, num, den).collect()}
-    assert got == linked(rows, n, num, den)
+    assert similar(spark, rows, n, num, den) == linked(rows, n, num, den)
 
 
 def test_similar_sets_of_buckets_that_are_too_large_for_pairs(spark, monkeypatch):
     monkeypatch.setattr(ngram_join, "BUCKET", 1)
-    rows = corpus(11, 50)
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in ngram_join.similar_sets(frame(spark, rows), 4, 85, 100).collect()}
-    assert got == linked(rows, 4, 85, 100)
+    monkeypatch.setattr(ngram_join, "GROUP_PART", 3)
+    rows = chains()
+    assert similar(spark, rows, 4, 85, 100) == linked(rows, 4, 85, 100)
+
+
+def test_links_of_groups_are_counted_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "GROUP_PART", 3)
+    monkeypatch.setattr(ngram_join, "COLUMNS", 4)
+    rows = chains(5)
+    expected = linked(rows, 4, 85, 100)
+    assert max(x[2] for x in expected.values()) > 8
+    assert similar(spark, rows, 4, 85, 100) == expected
 
 
 def test_bit_maps_bound_the_difference():
@@ -95,9 +121,12 @@ def test_bit_maps_bound_the_difference():
 
 
 def test_similar_sets_nulls_and_empty(spark):
-    got = ngram_join.similar_sets(spark.createDataFrame([(None, "a b c d e"), (7, "a b c d e"), (7, "a b c d e")], S)).collect()
-    assert sorted((r["doc_id"] or -1, r["n_shingles"], r["component_id"]) for r in got) == [(-1, 1, None), (7, 1, 7), (7, 1, 7)]
-    assert ngram_join.similar_sets(spark.createDataFrame([], S)).count() == 0
+    texts = [(None, "a b c d e"), (7, "a b c d e"), (7, "a b c d e"), (8, "A b c d e"), (9, "a b c d e"), (9, "f g h i j"), (10, "f g h i j")]
+    got = ngram_join.similar_sets(spark.createDataFrame(texts, S), links=True).collect()
+    assert sorted((r["doc_id"] or -1, r["n_shingles"], r["component_id"], r["n_links"]) for r in got) == [
+        (-1, 1, None, None), (7, 1, 7, 2), (7, 1, 7, 2), (8, 1, 7, 2), (9, 1, 7, None), (9, 1, 7, None), (10, 1, 7, 1),
+    ]
+    assert ngram_join.similar_sets(spark.createDataFrame([], S), links=True).count() == 0
 
 
 def repeats(rows, width):

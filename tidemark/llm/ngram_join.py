@@ -20,6 +20,10 @@ compared with the hubs of its bucket, and what is left are pairs under one
 hub of which one is not linked with the hub. Such a pair's sets differ from the hub's in sets of elements that overlap by a known least amount if the
 two are linked, so they share one of the first few of those elements (those the hub lacks come first); pairs that do
 are compared as a whole. No link is lost.
+
+Links are counted, if asked for, without a row for each pair of a group: nodes that are linked with one hub are known by the few elements in which
+they differ from it, and two of them differ in what is in one of these lists only, so a task counts the links of some with some others and
+gives one number for each node.
 """
 
 from __future__ import annotations
@@ -45,6 +49,8 @@ MAP_BITS = 1 << 16
 BUCKET, HELD = 1 << 12, 1 << 15
 #: Nodes of one hub that a task compares with it.
 GROUP_PART = 1 << 10
+#: Elements in which the nodes of a part differ from their hub, about, and how many of them are counted at once.
+PART_ELEMENTS, COLUMNS = 1 << 18, 1 << 11
 #: Sets that a task remembers to have signed for.
 REMEMBERED = 1 << 19
 _OUT_ROWS = 1 << 16
@@ -359,6 +365,88 @@ def _in(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x
 
 
+def _common(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many elements each list of ``left`` has in common with each of ``right``."""
+    sides = [(np.concatenate(s), np.repeat(np.arange(len(s)), [len(x) for x in s])) for s in (left, right)]
+    (x, _), (y, _) = sides
+    shared, out = np.intersect1d(x, y), np.zeros((len(left), len(right)), np.float32)
+    if left is right:  # what only one has is common to none
+        shared, count = np.unique(x, return_counts=True)
+        shared = shared[count > 1]
+    for lo in range(0, len(shared), COLUMNS):
+        some = shared[lo : lo + COLUMNS]
+        has = []
+        for flat, row in sides:
+            m, hit = np.zeros((int(row.max(initial=-1)) + 1, len(some)), np.float32), _in(flat, some)
+            m[row[hit], np.searchsorted(some, flat[hit])] = 1
+            has.append(m)
+        out[: len(has[0]), : len(has[1])] += has[0] @ has[1].T
+    return out.astype(np.int64)
+
+
+def _inside(num: int, den: int, count: bool) -> Callable:
+    """A mapInArrow function over (hub, i, j, part, node, star, owned, docs, size, first) in order of hub, i, j: links of part i with part j.
+
+    With ``count``, of each node the documents that it is linked with; else the pairs of different stars of which the hub owns one.
+    """
+    names = ("node", "n") if count else ("a", "b")
+
+    def links(rows: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(rows).combine_chunks()
+        part, node, star, docs, size = (table[c].to_numpy() for c in ("part", "node", "star", "docs", "size"))
+        owned = table["owned"].to_numpy()
+        first = table["first"].chunk(0)
+        ends, flat = first.offsets.to_numpy(), first.values.to_numpy()
+        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        x, y = np.flatnonzero(part == i), np.flatnonzero(part == j)
+        left = [flat[ends[r] : ends[r + 1]] for r in x]
+        right = left if i == j else [flat[ends[r] : ends[r + 1]] for r in y]
+        if not len(x) or not len(y):
+            return pa.record_batch([pa.array([], pa.int64())] * 2, names=names)
+        lengths = np.diff(ends)
+        apart = lengths[x][:, None] + lengths[y] - 2 * _common(left, right)
+        linked = apart * (den + num) <= (den - num) * (size[x][:, None] + size[y])
+        linked &= node[x][:, None] < node[y] if i == j else node[x][:, None] != node[y]
+        if count:
+            cols = np.concatenate([node[x], node[y]]), np.concatenate([linked @ docs[y], docs[x] @ linked])
+        else:
+            linked &= (star[x][:, None] != star[y]) & (owned[x][:, None] | owned[y])
+            a, b = np.nonzero(linked)
+            cols = np.minimum(node[x[a]], node[y[b]]), np.maximum(node[x[a]], node[y[b]])
+        return pa.record_batch([pa.array(c) for c in cols], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            key = np.column_stack([batch.column(c).to_numpy() for c in range(3)])
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]).any(1)) + 1).tolist(), len(key)]
+            for lo, hi in zip(cuts, cuts[1:], strict=False):
+                block = tuple(key[lo])
+                if held and block != now:
+                    yield links(held)
+                    held = []
+                held.append(batch.slice(lo, hi - lo))
+                now = block
+        if held:
+            yield links(held)
+
+    return run
+
+
+def _links_inside(near: DataFrame, stars: DataFrame, docs: DataFrame, num: int, den: int, count: bool) -> DataFrame:
+    """Links of nodes that are linked with one hub, by :func:`_inside`: every part of a hub's nodes meets every other in a task of its own."""
+    linked = near.filter("linked").groupBy("hub", "node").agg(F.min(F.struct("apart", "size", "first")).alias("x"), F.max("owned").alias("owned"))
+    linked = linked.select("hub", "node", "owned", "x.*").join(stars, "node", "left").withColumn("star", F.coalesce("star", "node")).join(docs, "node")
+    # nodes of one hub, by their number and by the elements that a task would hold
+    counts = near.filter("linked").groupBy("hub").agg(F.count("*").alias("c"), F.greatest(F.ceil(F.count("*") / GROUP_PART), F.ceil(F.sum("apart") / PART_ELEMENTS)).alias("parts")).filter("c > 1")
+    dealt = linked.join(counts, "hub").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    dealt = dealt.select("hub", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "part", "node", "star", "owned", "docs", "size", "first")
+    return dealt.repartition("hub", "i", "j").sortWithinPartitions("hub", "i", "j").mapInArrow(_inside(num, den, count), "node long, n long" if count else "a long, b long")
+
+
 def _hubs(ranked: DataFrame, scratch: Scratch) -> DataFrame:
     """(node, hub): every node's own hub.
 
@@ -423,16 +511,28 @@ def _compared(texts: DataFrame, groups: DataFrame, n: int, num: int, den: int, s
     )
 
 
-def similar_sets(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:
-    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id.
+def _degrees(found: DataFrame, within: DataFrame, stars: DataFrame, docs: DataFrame) -> DataFrame:
+    """(node, n): the documents of other nodes that a node is linked with. ``within`` has the links of nodes with one star, so pairs of these do not count again."""
+    for k in "ab":
+        found = found.join(stars.select(F.col("node").alias(k), F.col("star").alias(f"star_{k}")), k, "left").withColumn(f"star_{k}", F.coalesce(f"star_{k}", k))
+    counted = (F.col("star_a") == F.col("star_b")) & (F.col("a") != F.col("star_a")) & (F.col("b") != F.col("star_a"))
+    found = found.filter(~counted)
+    both = found.select(F.col("a").alias("to"), F.col("b").alias("node")).unionByName(found.select(F.col("b").alias("to"), F.col("a").alias("node")))
+    apart = both.join(docs, "node").groupBy(F.col("to").alias("node")).agg(F.sum("docs").alias("n"))
+    return apart.unionByName(within).groupBy("node").agg(F.sum("n").alias("n"))
+
+
+def similar_sets(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5, links: bool = False) -> DataFrame:
+    """Per row of ``docs`` (doc_id, text): doc_id, n_shingles, component_id, and if ``links``, n_links.
 
     Words are runs of other than ASCII white space, A-Z lower-cased; a document's set holds its distinct
     ``n``-word shingles, or its whole sequence if it has fewer words. Documents link if their sets have a Jaccard
-    similarity of at least ``num/den``; component_id is the smallest doc_id reachable by links.
+    similarity of at least ``num/den``; component_id is the smallest doc_id reachable by links and n_links the number of
+    other documents that the document is linked with.
 
     Null, empty or blank text: 0 shingles, linked with nothing, its own component. A null doc_id: a row with
-    component_id null, linked with nothing. Rows with one doc_id are one document and may have several
-    texts. Repeated rows come back as often as they came. Other columns are not read. An empty table gives no rows.
+    component_id and n_links null, linked with nothing. Rows with one doc_id are one document and may have several
+    texts; such a one has no n_links, and its links count once for each of its sets. Repeated rows come back as often as they came, and count once. Other columns are not read. An empty table gives no rows.
     """
     scratch = Scratch(docs.sparkSession)
     texts = doc_text(docs)
@@ -462,10 +562,17 @@ def similar_sets(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> Dat
     bucket = hits.join(big, "sig", "left_anti").join(joined, "node", "left").select("sig", "node", F.coalesce("star", "node").alias("star")).join(about, "node")
     pairs = bucket.select("sig", "node", "star", "size", "bits").repartition("sig").sortWithinPartitions("sig").mapInArrow(_bucket_pairs(num, den), "a long, b long")
     pairs = scratch.table(pairs.filter("a <> b").distinct(), "pairs")
+    within = between = None
+    if links:
+        sizes = sets.filter("n_shingles > 0").select("doc_id", "set_a", "set_b").distinct().groupBy("set_a", "set_b").agg(F.count("*").alias("docs"))
+        docs_of = scratch.table(sizes.join(classes, ["set_a", "set_b"]).groupBy("node").agg(F.sum("docs").alias("docs")), "docs")
+        within = _links_inside(near, joined, docs_of, num, den, True)
     if not big.isEmpty():
         groups = scratch.table(_under_hubs(ranked.join(big, "sig", "left_semi"), hubs, num, den), "groups")
         more = scratch.table(_compared(known, groups, n, num, den, scratch), "more")
         pairs = scratch.table(pairs.unionByName(_rest(more, num, den)).distinct(), "pairs")
+        if links:
+            between = _links_inside(more, joined, docs_of, num, den, False)
         near = near.unionByName(more)
     row = pa.schema([("node", pa.int64()), ("features", pa.list_(pa.int64()))])
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
@@ -474,14 +581,27 @@ def similar_sets(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> Dat
     left, right = (features.select(F.col("node").alias(k), F.col("features").alias(f"f{k}")) for k in "ab")
     checked = pairs.join(left, "a").join(right, "b").withColumn("both", F.size(F.array_intersect("fa", "fb")))
     checked = checked.filter(F.col("both") * den >= (F.size("fa") + F.size("fb") - F.col("both")) * num).select("a", "b")
-    stars = near.filter("linked").select(F.col("node").alias("a"), F.col("hub").alias("b"))
-    labels = components(stars.unionByName(checked).distinct(), scratch)
-
-    member = sets.filter("n_shingles > 0").join(classes, ["set_a", "set_b"]).join(labels, "node", "left").select("doc_id", F.coalesce("component", "node").alias("component_id"))
-    member = member.groupBy("doc_id").agg(F.min("component_id").alias("component_id"))
-    result = sets.join(member, "doc_id", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    found = near.filter("linked").select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).unionByName(checked)
+    found = scratch.table((found if between is None else found.unionByName(between)).distinct(), "links")
+    # sets of one document are one component
+    one, held = F.struct("set_a", "set_b"), sets.filter("n_shingles > 0")
+    several = held.groupBy("doc_id").agg(F.min(one).alias("lo"), F.max(one).alias("hi")).filter("lo <> hi").select("doc_id")
+    several = scratch.table(held.join(several, "doc_id", "left_semi").join(classes, ["set_a", "set_b"]).select("doc_id", F.col("node").alias("b")).distinct(), "several")
+    bridges = several.join(several.groupBy("doc_id").agg(F.min("b").alias("a")), "doc_id").select("a", "b")
+    labels = components(found.unionByName(bridges), scratch)
+
+    member = held.join(classes, ["set_a", "set_b"]).join(labels, "node", "left")
+    each = [F.min(F.coalesce("component", "node")).alias("component_id")]
+    out = ["doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id")]
+    if links:
+        member = member.join(_degrees(found, within, joined, docs_of), "node", "left").join(docs_of, "node")
+        each.append(F.when(F.min(one) == F.max(one), F.max(F.coalesce("n", F.lit(0)) + F.col("docs") - 1)).otherwise(F.lit(-1)).alias("n_links"))
+        # none of a document without a set, null of one with several
+        out.append(F.when(F.col("n_links") >= 0, F.col("n_links")).when(F.col("n_links").isNull(), F.lit(0).cast("long")).alias("n_links"))
+    result = sets.join(member.groupBy("doc_id").agg(*each), "doc_id", "left").select(*out)
     nameless = texts.filter(F.col("doc_id").isNull()).select(F.lit(0).cast("long").alias("doc_id"), "text").mapInArrow(measure, kept)
-    return result.unionByName(nameless.select(F.lit(None).cast("long").alias("doc_id"), "n_shingles", F.lit(None).cast("long").alias("component_id")))
+    null = F.lit(None).cast("long")
+    return result.unionByName(nameless.select(null.alias("doc_id"), "n_shingles", null.alias("component_id"), *([null.alias("n_links")] if links else [])))
 
 
 def keep_one_of_each(docs: DataFrame, n: int = 5, num: int = 4, den: int = 5) -> DataFrame:

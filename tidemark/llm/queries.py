@@ -14,7 +14,7 @@ KEY_SETTING, DEMO_KEY = "spark.tidemark.pseudonymKey", "demonstration"
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.similar_sets(documents(spark, sf_dir), n=4, num=85, den=100)
+    return ngram_join.similar_sets(documents(spark, sf_dir), n=4, num=85, den=100, links=True)
 
 
 def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
