@@ -534,7 +534,7 @@ def test_pipeline_stages(spark):
         assert stage(spark, docs.limit(0), "").count() == 0
     one = corpus_pipeline.near_duplicates(spark, docs, "")
     assert one.columns == docs.columns
-    assert sorted(r["doc_id"] for r in one.collect()) == sorted(d for d, (_, c) in linked(corpus(n=30), 5, 4, 5).items() if d == c)
+    assert sorted(r["doc_id"] for r in one.collect()) == sorted(d for d, (_, c, _) in linked(corpus(n=30), 5, 4, 5).items() if d == c)
 
 
 def test_hash_of_kept_text(spark):
@@ -553,7 +553,7 @@ def test_pipeline_run_is_its_stages(spark):
     left = {r["doc_id"]: r["text"] for r in good.collect()}
     assert set(left) == {d for d, k in verdicts.items() if k}
     lines = {d: t for d, t, _, _ in kept_lines(sorted(left.items()))}
-    single = {d for d, (_, c) in linked(sorted(lines.items()), 5, 4, 5).items() if d == c}
+    single = {d for d, (_, c, _) in linked(sorted(lines.items()), 5, 4, 5).items() if d == c}
     rows = [(d, lines[d]) for d in sorted(single)]
     flagged = decontaminate.flag(spark.createDataFrame(rows, S), spark.read.parquet(f"{sf}/benchmark.parquet"))
     clean = {r["doc_id"] for r in flagged.collect() if not r["contaminated"]}
