@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_format, decontaminate, html_text, license_scan, line_dedup, ngram_join, packing, pii, quality_rules, substring_dedup
+from . import alignment, chat_format, decontaminate, html_text, license_scan, line_dedup, ngram_join, packing, pii, quality_rules, substring_dedup
 from .common import LOWER, UPPER, documents
 
 
 #: The setting that names a deployment's secret; without it, a word for demonstrations.
 KEY_SETTING, DEMO_KEY = "spark.tidemark.pseudonymKey", "demonstration"
+#: The setting that names the folder of tokenizer files, on every machine, and where it is otherwise.
+TOKENIZERS_SETTING, TOKENIZERS = "spark.tidemark.tokenizers", "/opt/tokenizers"
 
 
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -58,6 +60,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = spark.conf.get(TOKENIZERS_SETTING, TOKENIZERS)
+    return alignment.report(documents(spark, sf_dir), f"{folder}/byte_bpe_50k.json", f"{folder}/piece_bpe_32k.model")
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_pii_pseudonyms": op2_pii_pseudonyms,
@@ -69,6 +76,7 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_html_main_text": op9_html_main_text,
     "op10_line_dedup": op10_line_dedup,
+    "op12_token_alignment": op12_token_alignment,
 }
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
