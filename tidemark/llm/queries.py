@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, chat_format, decontaminate, html_text, license_scan, line_dedup, ngram_join, packing, pii, quality_rules, substring_dedup
+from . import alignment, chat_format, decontaminate, html_text, license_scan, line_dedup, ngram_join, packing, pii, quality_rules, substring_dedup, whitening
 from .common import LOWER, UPPER, documents
 
 
@@ -60,6 +60,10 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), most=4)
+
+
 def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = spark.conf.get(TOKENIZERS_SETTING, TOKENIZERS)
     return alignment.report(documents(spark, sf_dir), f"{folder}/byte_bpe_50k.json", f"{folder}/piece_bpe_32k.model")
@@ -76,6 +80,7 @@ QUERIES = {
     "op8_benchmark_decontamination": op8_benchmark_decontamination,
     "op9_html_main_text": op9_html_main_text,
     "op10_line_dedup": op10_line_dedup,
+    "op11_embedding_whitening": op11_embedding_whitening,
     "op12_token_alignment": op12_token_alignment,
 }
 
