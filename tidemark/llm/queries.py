@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import alignment, chat_format, decontaminate, html_text, license_scan, line_dedup, ngram_join, packing, pii, quality_rules, substring_dedup, whitening
+from . import alignment, chat_format, decontaminate, html_text, language_id, license_scan, line_dedup, ngram_join, packing, pii, quality_rules, substring_dedup, whitening
 from .common import LOWER, UPPER, documents
 
 
@@ -69,6 +69,10 @@ def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.report(documents(spark, sf_dir), f"{folder}/byte_bpe_50k.json", f"{folder}/piece_bpe_32k.model")
 
 
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.report(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_ngram_jaccard_join": op1_ngram_jaccard_join,
     "op2_pii_pseudonyms": op2_pii_pseudonyms,
@@ -82,6 +86,7 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
     "op11_embedding_whitening": op11_embedding_whitening,
     "op12_token_alignment": op12_token_alignment,
+    "op13_language_id": op13_language_id,
 }
 
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
