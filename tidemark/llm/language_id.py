@@ -32,7 +32,7 @@ ODD = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F, 0x165667B1)
 class Penalties:
     """Follow-the-regularised-leader: learning rate, smoothing of its fall, and the weights of both penalties."""
 
-    alpha: float = 0.5
+    alpha: float = 0.2
     beta: float = 1.0
     l1: float = 0.02
     l2: float = 0.02
@@ -92,12 +92,12 @@ def _presence(bits: int):
 
 
 def weighted(text: str | None, idf: np.ndarray, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
-    """TF-IDF of a text as features and values of length one, and the bias, which is the last feature; a term counts by its count's logarithm.
+    """TF-IDF of a text as features and values of length one, and the bias, which is the last feature.
 
     Features of no training text are left out.
     """
     at, n = _counted(text, bits)
-    v = (1 + np.log(n)) * idf[at]
+    v = n * idf[at]
     at, v = at[v > 0], v[v > 0]
     return np.append(at, 1 << bits), np.append(v / max(np.sqrt(v @ v), 1e-300), 1.0)
 
