@@ -1,109 +1,75 @@
-"""Tables as Parquet folders behind a pointer: a version lists the folder of each hash bucket, and the newest pointer holds."""
+"""Tables as partitioned Parquet folders, read by one stated schema whatever types their files were written with."""
 
 from __future__ import annotations
 
-import json
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-BUCKET = "_bucket"
+BUCKET, DAY, BLOCK = "_bucket", "_ingest_day", "_block"
+#: Offsets of a topic's partition that share a folder of dead letters.
+BLOCK_OFFSETS = 1 << 20
+
 
+def canonical(c: Column, kind: T.DataType) -> Column:
+    """A key column in a form that a legal widening of its type does not change."""
+    if isinstance(kind, T.IntegralType):
+        return c.cast("long")
+    if isinstance(kind, T.FractionalType):
+        return c.cast(T.DecimalType(38, kind.scale) if isinstance(kind, T.DecimalType) else "double")
+    return c
 
-def bucket_of(keys: list[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias(BUCKET)
 
+def bucket_of(schema: T.StructType, keys: list[str], buckets: int) -> Column:
+    """The hash bucket of a key, the same under every version of the table's schema."""
+    return F.pmod(F.xxhash64(*(canonical(F.col(f"`{k}`"), schema[k].dataType) for k in keys)), F.lit(buckets)).cast("int").alias(BUCKET)
 
-class TableStore:
-    """Named tables below one folder of any file system that Spark writes.
 
-    A pointer is a new file each time, renamed into place under the next number, so there is always one; the last two, and the folders that they
-    name, are kept for readers.
+class Tables:
+    """Named tables below one folder of any file system that Spark writes; one writer for each name.
+
+    Files keep the types that they were written with. The reader is given the schema that holds now: Parquet's reader widens integers, floats and
+    decimals, and columns that a file lacks are null. No footers are merged.
     """
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def _fs(self, path: str):
-        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return p, p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
-    def _children(self, name: str) -> list[str]:
-        p, fs = self._fs(f"{self.root}/{name}")
-        return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
-
-    def _pointers(self, name: str) -> list[str]:
-        return [c for c in self._children(name) if c.startswith("_pointer-")]
-
-    def _load(self, name: str, pointer: str) -> dict[str, str]:
-        p, fs = self._fs(f"{self.root}/{name}/{pointer}")
-        stream = fs.open(p)
-        try:
-            return json.loads(self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
-
-    def exists(self, name: str) -> bool:
-        return bool(self._pointers(name))
-
-    def read(self, name: str, buckets: list[int] | None = None) -> DataFrame | None:
-        """The table, or some of its buckets; None while there is nothing of them."""
-        known = self._pointers(name)
-        parts = self._load(name, known[-1]) if known else {}
-        paths = [f"{self.root}/{name}/{p}" for b, p in parts.items() if buckets is None or not b or int(b) in buckets]
-        return self.spark.read.option("mergeSchema", True).parquet(*paths) if paths else None
-
-    def publish(self, name: str, df: DataFrame, bucket: Column | None = None, touched: list[int] | None = None) -> None:
-        """The frame as the table's next version, or as that of the touched buckets. It may read the present one."""
-        known, version = self._pointers(name), uuid.uuid4().hex
-        w = (df if bucket is None else df.withColumn(BUCKET, bucket).repartition(BUCKET)).write.option("compression", "zstd")
-        (w if bucket is None else w.partitionBy(BUCKET)).parquet(f"{self.root}/{name}/{version}")
-        if bucket is None:
-            parts = {"": version}
-        else:
-            written = [c for c in self._children(f"{name}/{version}") if c.startswith(f"{BUCKET}=")]
-            old = self._load(name, known[-1]) if known and touched is not None else {}
-            parts = {b: p for b, p in old.items() if b and int(b) not in touched} | {c.partition("=")[2]: f"{version}/{c}" for c in written}
-        number = int(known[-1].rpartition("-")[2]) + 1 if known else 0
-        tmp, fs = self._fs(f"{self.root}/{name}/_next-{version}")
-        out = fs.create(tmp, True)
-        out.write(bytearray(json.dumps(parts).encode()))
-        out.close()
-        target, _ = self._fs(f"{self.root}/{name}/_pointer-{number:012d}")
-        if not fs.rename(tmp, target):
-            raise OSError(f"{target.toString()} exists: another writer was first")
-        self._forget(name)
-
-    def _forget(self, name: str) -> None:
-        pointers = self._pointers(name)
-        used = {p.partition("/")[0] for k in pointers[-2:] for p in self._load(name, k).values()}
-        for c in self._children(name):
-            if c in pointers[:-2] or (not c.startswith("_") and c != "log" and c not in used):
-                p, fs = self._fs(f"{self.root}/{name}/{c}")
-                fs.delete(p, True)
-
-    def append(self, name: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
-        """Rows added to the table in place, by one writer at a time; later columns are read as null in earlier files."""
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def parts(self, name: str) -> list[str]:
+        """The folders and files of a table; none while it does not exist."""
+        p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return [n for s in (fs.listStatus(p) if fs.exists(p) else []) if not (n := s.getPath().getName()).startswith((".", "_temporary", "_SUCCESS"))]
+
+    def values(self, name: str, partition: str) -> list[str]:
+        return [n.partition("=")[2] for n in self.parts(name) if n.startswith(f"{partition}=")]
+
+    def read(self, name: str, schema: T.StructType | str) -> DataFrame | None:
+        """The table by a schema that names its partition columns too; None while it does not exist."""
+        return self.spark.read.schema(schema).parquet(self.path(name)) if self.parts(name) else None
+
+    def append(self, name: str, df: DataFrame, partition_by: list[str] = (), keys: list[str] = ()) -> None:
+        """More rows. Row groups get Bloom filters on ``keys``, for later reads of single keys."""
         w = df.write.mode("append").option("compression", "zstd")
-        (w.partitionBy(*partition_by) if partition_by else w).parquet(f"{self.root}/{name}/log")
+        for k in keys:
+            w = w.option(f"parquet.bloom.filter.enabled#{k}", "true")
+        (w.partitionBy(*partition_by) if partition_by else w).parquet(self.path(name))
 
-    def log(self, name: str) -> DataFrame | None:
-        p, fs = self._fs(f"{self.root}/{name}/log")
-        return self.spark.read.option("mergeSchema", True).parquet(f"{self.root}/{name}/log") if fs.exists(p) else None
+    def replace(self, name: str, df: DataFrame, partition_by: list[str]) -> None:
+        """The frame in place of those partitions of which it has rows. It may read the table: what goes is deleted once all is written.
 
-    def compact(self, name: str, target_bytes: int = 128 << 20) -> None:
-        """A bucketless table again in files of about a size; the older versions go with the next ones."""
-        known = self._pointers(name)
-        total = sum(fs.getContentSummary(p).getLength() for p, fs in (self._fs(f"{self.root}/{name}/{v}") for v in self._load(name, known[-1]).values()))
-        self.publish(name, self.read(name).repartition(max(1, -(-total // target_bytes))))
+        Each partition is replaced whole. A driver lost while it replaces them may leave one missing, never one in part.
+        """
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*partition_by).parquet(self.path(name))
 
 
-def optional_table(spark: SparkSession, store: TableStore, name: str, schema: str) -> DataFrame:
+def optional_table(tables: Tables, name: str, schema: str) -> DataFrame:
     """The table, or an empty one of the schema while it does not exist."""
-    found = store.read(name)
-    return spark.createDataFrame([], T._parse_datatype_string(schema)) if found is None else found
+    found = tables.read(name, schema)
+    return tables.spark.createDataFrame([], T._parse_datatype_string(schema)) if found is None else found
 
 
 def json_items(spark: SparkSession, path: str, schema: str, items: str) -> DataFrame:
@@ -112,9 +78,11 @@ def json_items(spark: SparkSession, path: str, schema: str, items: str) -> DataF
     return pages.select(F.explode(items).alias("item")).select("item.*")
 
 
-def change_stream(spark: SparkSession, path: str | None = None, kafka: dict | None = None, per_trigger: int = 100_000, topics: str = r"[^.]+\.[^.]+\.[^.]+") -> DataFrame:
-    """A stream of raw records: from the Kafka topics that match (server.schema.table), or from files of the five raw columns."""
+def change_stream(spark: SparkSession, path: str | None = None, kafka: dict | None = None, per_trigger: int = 100_000, topics: str = r"[^.]+\.[^.]+\.[^.]+", files_per_trigger: int | None = None) -> DataFrame:
+    """A stream of raw records: from the Kafka topics that match (server.schema.table), at most ``per_trigger`` offsets a batch,
+    or from files of the five raw columns, oldest first and at most ``files_per_trigger`` a batch."""
     if kafka:
         options = {"startingOffsets": "earliest", "failOnDataLoss": "true", "maxOffsetsPerTrigger": str(per_trigger), "subscribePattern": topics} | kafka
         return spark.readStream.format("kafka").options(**options).load()
-    return spark.readStream.schema("topic string, partition long, offset long, key string, value string").json(path)
+    reader = spark.readStream.schema("topic string, partition long, offset long, key string, value string")
+    return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).json(path)
