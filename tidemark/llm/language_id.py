@@ -77,12 +77,19 @@ def _counted(text: str | None, bits: int = BITS) -> tuple[np.ndarray, np.ndarray
     return at, n[at]
 
 
+def _slices(batches, rows: int = 256):
+    """Batches in small parts, so that a task never holds the features of many texts at once."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+
+
 def _presence(bits: int):
     """A mapInArrow function over (text): in how many texts each feature is."""
 
     def presence(batches):
         n = np.zeros(1 << bits, np.int64)
-        for batch in batches:
+        for batch in _slices(batches):
             for text in batch.column(0).to_pylist():
                 n[_counted(text, bits)[0]] += 1
         at = np.flatnonzero(n)
@@ -135,9 +142,9 @@ def _features(idf, bits: int):
     """A mapInArrow function over (shard, h, label, text)."""
 
     def features(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             found = [weighted(t, idf.value, bits) for t in batch.column(3).to_pylist()]
-            packed = [pa.array([x.astype(kind).tobytes() for x in column], pa.binary()) for column, kind in zip(zip(*found, strict=True), ("<i4", "<f4"), strict=True)] if found else [pa.array([], pa.binary())] * 2
+            packed = [pa.array([x.astype(kind).tobytes() for x in column], pa.binary()) for column, kind in zip(zip(*found, strict=True), ("<i4", "<f4"), strict=True)]
             yield pa.record_batch([*(batch.column(i) for i in range(3)), *packed], names=["shard", "h", "label", "at", "v"])
 
     return features
@@ -153,8 +160,9 @@ def _shard_pass(state, penalties: Penalties):
     def one_pass(key, table):
         z, n = state.value
         leader = Leader(z.copy(), n.copy(), penalties)
-        for row in table.sort_by([("h", "ascending"), ("label", "ascending")]).to_pylist():
-            leader.learn(*_unpacked(row))
+        for part in _slices(table.sort_by([("h", "ascending"), ("label", "ascending")]).to_batches()):
+            for row in part.to_pylist():
+                leader.learn(*_unpacked(row))
         return pa.table({"z": pa.array([leader.z.tobytes()], pa.binary()), "n": pa.array([leader.n.tobytes()], pa.binary())})
 
     return one_pass
@@ -164,7 +172,7 @@ def _logits(weights):
     """A mapInArrow function over features: label and logits."""
 
     def logits(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             rows = [_unpacked(r) for r in batch.to_pylist()]
             yield pa.record_batch({"label": pa.array([r[2] for r in rows], pa.int32()), "logits": pa.array([(v @ weights.value[at]).tolist() for at, v, _ in rows], pa.list_(pa.float64()))})
 
@@ -217,7 +225,7 @@ def train(labelled: DataFrame, per_language: int = PER_LANGUAGE, penalties: Pena
         return Model([], np.zeros(size - 1), np.zeros((size, 0)), 1.0, bits)
     languages, total = [r["lang"] for r in found], sum(r["n"] for r in found)
     have = np.zeros(size - 1)
-    for r in rows.select("text").mapInArrow(_presence(bits), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).toLocalIterator():
+    for r in rows.select("text").mapInArrow(_presence(bits), "feature long, n long").groupBy("feature").agg(F.sum("n").alias("n")).collect():  # no more rows than features
         have[r["feature"]] = r["n"]
     idf = np.where(have > 0, np.log((1 + total) / (1 + have)) + 1, 0)
     share = spark.createDataFrame([(r["lang"], i, min(1.0, per_language / max(1, r["texts"]))) for i, r in enumerate(found)], "lang string, label int, share double")
@@ -246,7 +254,7 @@ def identify(rows: DataFrame, model: Model, text: str = "text") -> DataFrame:
     kept = [f for f in rows.schema if f.name not in out]
 
     def predict(batches):
-        for batch in batches:
+        for batch in _slices(batches):
             found = [shared.value.predict(t) for t in batch.column(batch.schema.get_field_index(name)).to_pylist()]
             more = [pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64())]
             yield pa.record_batch([*batch.columns, *more], names=[*batch.schema.names, *out])
