@@ -32,11 +32,32 @@ def scd2(changes: DataFrame, keys: list[str], tracked: list[str], valid_from: st
     )
 
 
+#: A key with more than one in ``SHARES`` of all facts, and with more than ``FEW``, is dealt over several tasks.
+SHARES, FEW = 1_000, 100_000
+
+
 def scd2_lookup_asof(facts: DataFrame, history: DataFrame, keys: list[str], at: str, columns: list[str]) -> DataFrame:
-    """Each fact with the version that was valid at its time, null where none was: an equi-join on the keys with a range filter."""
-    h = history.select(*(F.col(k).alias(f"_h_{k}") for k in keys), "valid_from", "valid_to", *columns)
-    on = [F.col(k) == F.col(f"_h_{k}") for k in keys] + [F.col(at) >= F.col("valid_from"), F.col("valid_to").isNull() | (F.col(at) < F.col("valid_to"))]
-    return facts.join(h, on, "left").drop(*(f"_h_{k}" for k in keys), "valid_from", "valid_to")
+    """Each fact with the version that was valid at its time, null where none was.
+
+    Facts and versions are put into one order of time for each key, in which each fact takes the last version before it: no fact ever meets all
+    versions of its key. Facts of a hot key are dealt over parts, each with the key's versions; such keys are fewer than ``SHARES``.
+    """
+    counts = facts.groupBy(*keys).agg(F.count("*").alias("_n"))
+    total, most = counts.agg(F.sum("_n"), F.max("_n")).first()
+    limit = max(FEW, (total or 0) // SHARES)
+    version = F.struct("valid_from", "valid_to", *columns)
+    rows = facts.select(*keys, F.col(at).alias("_at"), F.lit(1).alias("_kind"), F.lit(0).alias("_turn"), F.lit(0).cast("long").alias("_part"), F.struct("*").alias("_fact"), F.lit(None).cast(history.select(version.alias("v")).schema["v"].dataType).alias("_version"))
+    turn = F.col("version") if "version" in history.columns else F.lit(0)
+    past = history.select(*keys, F.col("valid_from").alias("_at"), F.lit(0).alias("_kind"), turn.alias("_turn"), F.lit(0).cast("long").alias("_part"), F.lit(None).cast(facts.select(F.struct("*").alias("f")).schema["f"].dataType).alias("_fact"), version.alias("_version"))
+    if (most or 0) > limit:
+        hot = counts.filter(F.col("_n") > limit).select(*keys, (F.floor(F.col("_n") / limit) + 1).alias("_parts"))
+        dealt = lambda df, part: df.join(F.broadcast(hot), keys, "left").withColumn("_part", F.coalesce(part, F.lit(0).cast("long"))).drop("_parts")
+        rows = dealt(rows, F.pmod(F.xxhash64("_fact"), F.col("_parts")))
+        past = dealt(past, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1)))
+    w = Window.partitionBy(*keys, "_part").orderBy("_at", "_kind", "_turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    seen = rows.unionByName(past).withColumn("_last", F.last("_version", ignorenulls=True).over(w)).filter("_kind = 1")
+    valid = F.col("_last.valid_to").isNull() | (F.col("_at") < F.col("_last.valid_to"))
+    return seen.select("_fact.*", *(F.when(valid, F.col(f"_last.{c}")).alias(c) for c in columns))
 
 
 def scd2_validate(history: DataFrame, keys: list[str]) -> DataFrame:

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import distinct_from
+from tidemark.sources.tables import Tables
 
 
 def touched_keys(frames: list[DataFrame], key: str, since: Column, seen: str = "_ingested_at") -> DataFrame:
@@ -44,6 +46,32 @@ def after_cursor(df: DataFrame, column: str, cursor: Column) -> DataFrame:
     return df.filter(F.col(column) >= cursor)
 
 
+CURSORS = "cursor string, source string"
+
+
+def read_cursor(store: Tables, source: str) -> str | None:
+    """How far a source was read by the last run that ended."""
+    known = store.read("cursors", CURSORS)
+    row = known and known.filter(F.col("source") == source).first()
+    return row and row["cursor"]
+
+
+def run_from_cursor(store: Tables, source: str, rows: DataFrame, column: str, apply: Callable[[DataFrame], None]) -> str | None:
+    """Gives ``apply`` the rows from the cursor on, the cursor's own included, then moves the cursor to the newest of them; gives the cursor.
+
+    The cursor is written after the data: a run that is lost in between is repeated from the old cursor, so nothing is missed, and nothing is
+    doubled if ``apply`` is idempotent, as an upsert by key is. The cursor's text must be in the order of the column's values, as ISO times are.
+    """
+    since = read_cursor(store, source)
+    fresh = rows if since is None else after_cursor(rows, column, F.lit(since).cast(rows.schema[column].dataType))
+    newest = fresh.agg(F.max(column).cast("string").alias("c")).first()["c"]
+    if newest is None:
+        return since
+    apply(fresh)
+    store.replace("cursors", store.spark.createDataFrame([(newest, source)], CURSORS).coalesce(1), ["source"])
+    return newest
+
+
 def top_per_group(df: DataFrame, group: list[str], order: list[Column], n: int) -> DataFrame:
     """The first ``n`` rows of each group; the order must be total. The plan limits groups before their shuffle."""
     w = Window.partitionBy(*group).orderBy(*order)

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Names of partition columns.
 BUCKET, DAY, BLOCK = "_bucket", "_ingest_day", "_block"
 #: Offsets of a topic's partition that share a folder of dead letters.
 BLOCK_OFFSETS = 1 << 20
@@ -66,6 +70,16 @@ class Tables:
         df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd").partitionBy(*partition_by).parquet(self.path(name))
 
 
+def workspace(spark: SparkSession) -> Tables:
+    """Tables in a new folder below ``spark.checkpoint.dir``, which driver and executors share; only a local session may do without the setting."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="tidemark-")
+    return Tables(spark, f"{base.rstrip('/')}/tables-{uuid.uuid4().hex}")
+
+
 def optional_table(tables: Tables, name: str, schema: str) -> DataFrame:
     """The table, or an empty one of the schema while it does not exist."""
     found = tables.read(name, schema)
