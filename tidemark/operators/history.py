@@ -51,9 +51,10 @@ def scd2_lookup_asof(facts: DataFrame, history: DataFrame, keys: list[str], at:
     past = history.select(*keys, F.col("valid_from").alias("_at"), F.lit(0).alias("_kind"), turn.alias("_turn"), F.lit(0).cast("long").alias("_part"), F.lit(None).cast(facts.select(F.struct("*").alias("f")).schema["f"].dataType).alias("_fact"), version.alias("_version"))
     if (most or 0) > limit:
         hot = counts.filter(F.col("_n") > limit).select(*keys, (F.floor(F.col("_n") / limit) + 1).alias("_parts"))
-        dealt = lambda df, part: df.join(F.broadcast(hot), keys, "left").withColumn("_part", F.coalesce(part, F.lit(0).cast("long"))).drop("_parts")
-        rows = dealt(rows, F.pmod(F.xxhash64("_fact"), F.col("_parts")))
-        past = dealt(past, F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1)))
+        parts, zero = F.coalesce("_parts", F.lit(1)), F.lit(0).cast("long")
+        dealt = lambda df, part: df.join(F.broadcast(hot), keys, "left").withColumn("_part", part).drop("_parts")
+        rows = dealt(rows, F.pmod(F.xxhash64("_fact"), parts))
+        past = dealt(past, F.explode(F.sequence(zero, parts.cast("long") - 1)))
     w = Window.partitionBy(*keys, "_part").orderBy("_at", "_kind", "_turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     seen = rows.unionByName(past).withColumn("_last", F.last("_version", ignorenulls=True).over(w)).filter("_kind = 1")
     valid = F.col("_last.valid_to").isNull() | (F.col("_at") < F.col("_last.valid_to"))

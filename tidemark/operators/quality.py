@@ -124,9 +124,10 @@ def checksum(df: DataFrame, name: str, exclude: tuple = VOLATILE) -> DataFrame:
     return df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(F.xxhash64(F.struct(*cols)).cast("decimal(20,0)")), F.lit(0)).cast("string").alias("digest")).select(F.lit(name).alias("table"), "rows", "digest")
 
 
-def layer_checksums(tables: dict[str, DataFrame], leave_out: tuple = ("cdc_heartbeat",)) -> DataFrame:
-    """:func:`checksum` of every table of a layer, by name."""
-    return reduce(DataFrame.unionByName, [checksum(df, n) for n, df in sorted(tables.items()) if n not in leave_out])
+def layer_checksums(tables: dict[str, DataFrame], leave_out: tuple = ("cdc_heartbeat",), portable: bool = False) -> DataFrame:
+    """:func:`checksum` of every table of a layer, by name; ``portable`` ones add up :func:`row_digest`, which other engines can state."""
+    one = lambda df, n: df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(row_digest(df)), F.lit(0)).cast("decimal(38,0)").cast("string").alias("digest")).select(F.lit(n).alias("table"), "rows", "digest")
+    return reduce(DataFrame.unionByName, [(one if portable else checksum)(df, n) for n, df in sorted(tables.items()) if n not in leave_out])
 
 
 def fence_visible(heartbeat: DataFrame, token: str, fence_id: int = 1) -> DataFrame:
@@ -140,6 +141,74 @@ def check_not_over(parts: DataFrame, key: str, part: str, wholes: DataFrame, who
     return wholes.select(key, whole).join(sums, key).filter(F.col("parts") > F.col(whole))
 
 
+def row_digest(df: DataFrame, exclude: tuple = VOLATILE) -> Column:
+    """60 bits of the MD5 of a row's columns as texts, by name; null differs from every text. Any engine with MD5 can state the same."""
+    text = lambda c: F.coalesce(F.concat(F.lit("="), F.col(f"`{c}`").cast("string")), F.lit("null"))
+    whole = F.concat_ws("|", *(text(c) for c in sorted(df.columns) if c not in exclude))
+    return F.conv(F.substring(F.md5(whole), 1, 15), 16, 10).cast("decimal(20,0)")
+
+
+def key_range(key: Column, width: int) -> Column:
+    """The range of ``width`` whole numbers that a key is in, exact for every long."""
+    return F.call_function("div", key - F.pmod(key, F.lit(width)), F.lit(width)).cast("long")
+
+
+def digest_leaves(df: DataFrame, key: str, width: int, exclude: tuple = VOLATILE) -> DataFrame:
+    """(range, rows, digest): a digest for each range of ``width`` values of a whole-number key, whatever the row order; null keys have the null range.
+
+    Small enough to store beside a table, and to be compared with another system's.
+    """
+    each = df.select(key_range(F.col(f"`{key}`"), width).alias("range"), row_digest(df, exclude).alias("d"))
+    return each.groupBy("range").agg(F.count("*").alias("rows"), F.sum("d").cast("decimal(38,0)").alias("digest"))
+
+
+def digest_tree(leaves: DataFrame, fan: int = 16, levels: int = 2) -> list[DataFrame]:
+    """The leaves and the levels above them, each digest the sum of ``fan`` below it; the root last."""
+    tree = [leaves]
+    for i in range(levels):
+        up = key_range(F.col("range"), fan) if i + 1 < levels else F.lit(0).cast("long")
+        tree.append(tree[-1].groupBy(up.alias("range")).agg(F.sum("rows").alias("rows"), F.sum("digest").cast("decimal(38,0)").alias("digest")))
+    return tree
+
+
+def differing_ranges(source: list[DataFrame], target: list[DataFrame], fan: int = 16) -> DataFrame:
+    """(range): leaves whose rows or digest differ, going down from the root only where a level differs."""
+    below = None
+    for i in reversed(range(len(source))):
+        a, b = (t[i].select("range", F.struct("rows", "digest").alias(n)) for t, n in ((source, "a"), (target, "b")))
+        if below is not None:
+            up = key_range(F.col("range"), fan) if i + 2 < len(source) else F.lit(0).cast("long")
+            a, b = (x.join(below.select(F.col("range").alias("_up")), up.eqNullSafe(F.col("_up")), "left_semi") for x in (a, b))
+        both = a.withColumnRenamed("range", "_r").join(b, F.col("_r").eqNullSafe(F.col("range")), "full_outer")
+        below = both.filter(~F.col("a").eqNullSafe(F.col("b"))).select(F.coalesce("range", "_r").alias("range"))
+    return below
+
+
+#: So many stretches of differing ranges are pushed down to the scan as one filter; more are joined.
+PUSHED = 200
+
+
+def diff_by_digests(source: DataFrame, target: DataFrame, key: str, width: int, fan: int = 16, levels: int = 2) -> DataFrame:
+    """:func:`row_diff` by a unique whole-number key, of only the key ranges whose digests differ; both sides must have the same columns.
+
+    Digests take one pass with a small result. Rows are then read of the differing ranges alone: neighbours are merged, and the stretches go down to
+    the scan, which skips the files and row groups of all others where the table is laid out by its key.
+    """
+    trees = [digest_tree(digest_leaves(df.select(*source.columns), key, width, ()), fan, levels) for df in (source, target)]
+    bad = differing_ranges(*trees, fan)
+    stretches = bad.filter("range is not null").groupBy(key_range(F.col("range"), 4096).alias("_b")).agg(F.sort_array(F.collect_set("range")).alias("r"))  # at most 4,096 ranges each
+    runs = stretches.select("_b", F.posexplode("r").alias("i", "range")).groupBy("_b", (F.col("range") - F.col("i")).alias("_run")).agg(F.min("range").alias("low"), F.max("range").alias("high"))
+    few = runs.limit(PUSHED + 1).collect()
+    nulls = not bad.filter("range is null").isEmpty()
+    k = F.col(f"`{key}`")
+    if len(few) <= PUSHED:
+        keep = reduce(lambda a, b: a | b, [k.between(r["low"] * width, r["high"] * width + width - 1) for r in few] + ([k.isNull()] if nulls else []), F.lit(False))
+        pick = lambda df: df.filter(keep)
+    else:
+        pick = lambda df: df.join(bad.select(F.col("range").alias("_range")), key_range(k, width).eqNullSafe(F.col("_range")), "left_semi")
+    return row_diff(pick(source), pick(target.select(*source.columns)), [key])
+
+
 def checksum_diff(before: DataFrame, after: DataFrame) -> DataFrame:
     """Tables whose rows or digest differ, or that only one side has."""
     a, b = before.select("table", F.struct("rows", "digest").alias("a")), after.select("table", F.struct("rows", "digest").alias("b"))

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import cdc, history, incremental, quality
 from tidemark.plans import models
-from tidemark.plans.workload import AS_OF, duckdb, tables
+from tidemark.plans.workload import AS_OF, Frames, duckdb, tables
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
@@ -28,7 +28,7 @@ def query(name: str, sql: str | None = None, uses: str = ""):
     def put(f: Callable) -> Callable:
         QUERIES[name] = lambda spark, sf_dir: rounded(f(tables(spark, sf_dir)))
         if sql:
-            ORACLE[name] = f"{duckdb(*uses.split())}{', ' if sql.lstrip().startswith('#') else ' '}{sql.lstrip().lstrip('#')}"
+            ORACLE[name] = sql if not uses else f"{duckdb(*uses.split())}{', ' if sql.lstrip().startswith('#') else ' '}{sql.lstrip().lstrip('#')}"
         return f
 
     return put
@@ -38,23 +38,23 @@ def as_of():
     return F.to_timestamp(F.lit(AS_OF))
 
 
-def _orders(t: dict) -> DataFrame:
+def _orders(t: Frames) -> DataFrame:
     return models.fct_orders(t["w_orders"], t["w_items"], t["w_refunds"], t["w_assignments"], t["w_payments"])
 
 
-def _products(t: dict) -> DataFrame:
+def _products(t: Frames) -> DataFrame:
     return models.dim_product(t["w_products"], t["w_categories"])
 
 
-def _items(t: dict) -> DataFrame:
+def _items(t: Frames) -> DataFrame:
     return models.fct_order_items(t["w_items"], t["w_orders"], t["w_products"])
 
 
-def _stores(t: dict) -> DataFrame:
+def _stores(t: Frames) -> DataFrame:
     return models.dim_store(t["w_stores"], t["w_cities"])
 
 
-def _customers(t: dict) -> DataFrame:
+def _customers(t: Frames) -> DataFrame:
     return models.dim_customer(t["w_customers"], _orders(t))
 
 
@@ -72,9 +72,9 @@ def _(t):
     return _orders(t).select("order_id", "customer_id", "store_id", "rider_id", "status", "cancel_reason", "payment_status", "promo_code", "used_promo", "order_date", "order_hour", "line_count", "units", "substituted_lines", "refunded_amount", "net_revenue", "delivery_minutes", "sla_met")
 
 
-@query("fct_order_items", "SELECT i.order_id, o.store_id, CAST(o.placed_at + INTERVAL 330 MINUTE AS date) AS order_date, o.status AS order_status, i.product_id, p.category_id, i.quantity, round(CAST(i.line_total AS double), 6) AS line_total, i.substituted_for_product_id IS NOT NULL AS is_substitution FROM w_items i JOIN w_orders o USING (order_id) JOIN w_products p USING (product_id)", "w_items w_orders w_products")
+@query("fct_order_items", "SELECT i.order_id, o.store_id, CAST(o.placed_at + INTERVAL 330 MINUTE AS date) AS order_date, o.status AS order_status, i.product_id, p.category_id, i.quantity, round(CAST(i.unit_price AS double), 6) AS unit_price, round(CAST(i.mrp AS double), 6) AS mrp, round(CAST(i.line_total AS double), 6) AS line_total, i.substituted_for_product_id, i.substituted_for_product_id IS NOT NULL AS is_substitution, i._ingested_at FROM w_items i JOIN w_orders o USING (order_id) JOIN w_products p USING (product_id)", "w_items w_orders w_products")
 def _(t):
-    return _items(t).select("order_id", "store_id", "order_date", "order_status", "product_id", "category_id", "quantity", "line_total", "is_substitution")
+    return _items(t)
 
 
 @query("dim_store", "SELECT s.store_id, s.city_id, s.store_name, c.city_name, c.state FROM w_stores s JOIN w_cities c USING (city_id)", "w_stores w_cities")
@@ -82,9 +82,9 @@ def _(t):
     return _stores(t)
 
 
-@query("dim_product", "SELECT product_id, product_name, category_name, is_perishable, round(CAST(mrp AS double), 6) AS mrp, round(CAST(selling_price AS double), 6) AS selling_price, round(1 - CAST(selling_price AS double) / CAST(mrp AS double), 4) AS discount_rate, catalogue_source, price_source FROM w_products JOIN w_categories USING (category_id)", "w_products w_categories")
+@query("dim_product", "SELECT product_id, product_name, category_name, is_perishable, brand, category_id, unit, is_active, nutriscore_grade, round(CAST(mrp AS double), 6) AS mrp, round(CAST(selling_price AS double), 6) AS selling_price, round(1 - CAST(selling_price AS double) / CAST(mrp AS double), 4) AS discount_rate, catalogue_source, price_source FROM w_products JOIN w_categories USING (category_id)", "w_products w_categories")
 def _(t):
-    return _products(t).select("product_id", "product_name", "category_name", "is_perishable", "mrp", "selling_price", "discount_rate", "catalogue_source", "price_source")
+    return _products(t)
 
 
 _CUSTOMER = _FACT + ", c AS (SELECT w.customer_id, w.city_id, d.a AS first_order_date, CAST(date_trunc('week', d.a) AS date) AS cohort_week, d.b AS last_order_date, coalesce(d.n, 0) AS delivered_orders, coalesce(d.r, 0) AS lifetime_net_revenue FROM w_customers w LEFT JOIN (SELECT customer_id, min(order_date) a, max(order_date) b, count(*) n, sum(net_revenue) r FROM f WHERE status = 'delivered' GROUP BY 1) d USING (customer_id)) "
@@ -120,9 +120,9 @@ def _(t):
     return models.mart_delivery_sla_hourly(_orders(t))
 
 
-@query("mart_basket_daily", _FACT + ", l AS (SELECT order_id, sum(line_total) v, sum(CASE WHEN price_source = 'open_prices' THEN line_total ELSE 0 END) vp, sum(CASE WHEN catalogue_source = 'open_food_facts' THEN line_total ELSE 0 END) vc FROM w_items JOIN w_products USING (product_id) GROUP BY 1) SELECT order_date, c.city_name, count(*) AS delivered_orders, round(CAST(sum(subtotal) AS double), 6) AS gross_merchandise_value, round(CAST(sum(discount) AS double), 6) AS discounts, round(CAST(sum(refunded_amount) AS double), 6) AS refunds, round(CAST(sum(net_revenue) AS double), 6) AS net_revenue, round(CAST(sum(coalesce(tip_amount, 0)) AS double), 6) AS tips, round(CAST(sum(discount) AS double) / nullif(CAST(sum(subtotal) AS double), 0), 6) AS discount_share, round(count(*) FILTER (WHERE substituted_lines > 0) / CAST(count(*) AS double), 6) AS share_orders_with_substitution, round(CAST(sum(vc) AS double) / nullif(CAST(sum(v) AS double), 0), 6) AS real_product_value_share, round(CAST(sum(vp) AS double) / nullif(CAST(sum(v) AS double), 0), 6) AS real_price_value_share FROM f JOIN w_stores s USING (store_id) JOIN w_cities c USING (city_id) LEFT JOIN l USING (order_id) WHERE status = 'delivered' GROUP BY 1, 2", _FACT_USES + " w_products w_stores w_cities")
+@query("mart_basket_daily", _FACT + ", l AS (SELECT order_id, sum(line_total) v, sum(CASE WHEN price_source = 'open_prices' THEN line_total ELSE 0 END) vp, sum(CASE WHEN catalogue_source = 'open_food_facts' THEN line_total ELSE 0 END) vc FROM w_items JOIN w_products USING (product_id) GROUP BY 1) SELECT order_date, c.city_name, count(*) AS delivered_orders, round(CAST(sum(subtotal) AS double), 6) AS gross_merchandise_value, round(CAST(sum(discount) AS double), 6) AS discounts, round(CAST(sum(refunded_amount) AS double), 6) AS refunds, round(CAST(sum(net_revenue) AS double), 6) AS net_revenue, round(CAST(sum(coalesce(tip_amount, 0)) AS double), 6) AS tips, round(CAST(sum(delivery_fee) AS double), 6) AS delivery_fees, round(avg(CAST(total AS double)), 6) AS average_order_value, round(avg(line_count), 6) AS avg_lines_per_order, round(avg(units), 6) AS avg_units_per_order, round(CAST(sum(discount) AS double) / nullif(CAST(sum(subtotal) AS double), 0), 6) AS discount_share, round(count(*) FILTER (WHERE substituted_lines > 0) / CAST(count(*) AS double), 6) AS share_orders_with_substitution, round(CAST(sum(vc) AS double) / nullif(CAST(sum(v) AS double), 0), 6) AS real_product_value_share, round(CAST(sum(vp) AS double) / nullif(CAST(sum(v) AS double), 0), 6) AS real_price_value_share FROM f JOIN w_stores s USING (store_id) JOIN w_cities c USING (city_id) LEFT JOIN l USING (order_id) WHERE status = 'delivered' GROUP BY 1, 2", _FACT_USES + " w_products w_stores w_cities")
 def _(t):
-    return models.mart_basket_daily(_orders(t), _items(t), _products(t), _stores(t)).drop("average_order_value", "avg_lines_per_order", "avg_units_per_order", "delivery_fees")
+    return models.mart_basket_daily(_orders(t), _items(t), _products(t), _stores(t))
 
 
 @query("mart_category_mix_daily", "SELECT CAST(o.placed_at + INTERVAL 330 MINUTE AS date) AS order_date, category_name, CAST(sum(quantity) AS bigint) AS units, round(CAST(sum(line_total) AS double), 6) AS revenue, round(CAST(sum(line_total) AS double) / CAST(sum(sum(line_total)) OVER (PARTITION BY CAST(o.placed_at + INTERVAL 330 MINUTE AS date)) AS double), 6) AS revenue_share FROM w_items i JOIN w_orders o USING (order_id) JOIN w_products USING (product_id) JOIN w_categories USING (category_id) WHERE o.status = 'delivered' GROUP BY 1, 2", "w_items w_orders w_products w_categories")
@@ -144,7 +144,7 @@ _PERIODS = f"#e AS (SELECT *, CASE WHEN _op = 'd' THEN 'delisted' WHEN on_hand =
 _STOCK_END = "2024-03-01 00:00:00"
 
 
-def _periods(t: dict) -> DataFrame:
+def _periods(t: Frames) -> DataFrame:
     return models.stockout_periods(t["w_stock"].withColumns({"updated_at": F.col("updated_at").cast("timestamp"), "_source_ts": F.col("_source_ts").cast("timestamp")}), F.to_timestamp(F.lit(_STOCK_END)))
 
 
@@ -165,7 +165,7 @@ _CHANGES = "#o AS (SELECT *, lag(price) OVER w AS pp, lag(observed_on) OVER w AS
 _MARKET = "w_prices w_market_products w_locations"
 
 
-def _changes(t: dict) -> DataFrame:
+def _changes(t: Frames) -> DataFrame:
     return models.mart_price_changes(t["w_prices"], t["w_market_products"], t["w_locations"])
 
 
@@ -279,7 +279,7 @@ def _(t):
     return cdc.fold_log(t["w_log"].withColumn("kind", lost), ["id"]).select("id", "kind")
 
 
-def _raw(t: dict) -> DataFrame:
+def _raw(t: Frames) -> DataFrame:
     """The log as self-describing envelopes; every 50th is broken, every 70th lacks its position."""
     field = lambda n, k, o: f'{{"type":"{k}","optional":{o},"field":"{n}"}}'
     row = f'{field("id", "int64", "false")},{field("kind", "string", "true")},{field("amount", "double", "true")}'
@@ -295,10 +295,9 @@ def _raw(t: dict) -> DataFrame:
     return t["w_log"].select(F.lit("shop.public.users").alias("topic"), F.lit(0).cast("long").alias("partition"), F.col("_lsn").alias("offset"), key.alias("key"), value.alias("value"))
 
 
-def _decoded(t: dict) -> DataFrame:
+def _decoded(t: Frames) -> DataFrame:
     raw = cdc.raw_projection(_raw(t))
-    seen = [r for r in cdc.survey(raw).filter("value_schema is not null").orderBy("first_offset").limit(1).collect()]
-    return cdc.decode_changes(raw, cdc.schema_of(seen[0]["value_schema"], seen[0]["key_schema"]), 1, F.to_timestamp(F.lit(AS_OF)))
+    return cdc.decode_changes(raw, cdc.first_schema(raw), 1, F.to_timestamp(F.lit(AS_OF)))
 
 
 @query("cdc_parse_envelope", "SELECT id, kind, CAST(amount AS double) AS amount, _op, _lsn FROM w_log WHERE _lsn % 50 <> 0 AND _lsn % 70 <> 0", "w_log")
@@ -374,7 +373,7 @@ def _(t):
     return incremental.replace_keys(old, models.fct_order_items(t["w_items"], t["w_orders"], t["w_products"], touched), "order_id", touched).select("order_id", "product_id", "quantity")
 
 
-def _perturbed(t: dict) -> DataFrame:
+def _perturbed(t: Frames) -> DataFrame:
     changed = F.when(F.col("order_id") % 97 == 0, F.col("total") + 1).otherwise(F.col("total")).cast("decimal(18,2)")
     return t["w_orders"].select("order_id", "status", "total").filter("order_id % 101 <> 0").withColumn("total", changed)
 
@@ -458,4 +457,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return QUERIES["cdc_fold_log"](spark, sf_dir)
 
 
-from tidemark.plans import staging_queries  # noqa: E402,F401  (registers its queries beside these)
+from tidemark.plans import engine_queries, staging_queries  # noqa: E402,F401  (register their queries beside these)

@@ -32,7 +32,8 @@ TABLES = {
         CASE WHEN o_orderkey % 40 < 35 THEN date_trunc('day', o_orderdate) + INTERVAL '1' MINUTE * 480 END AS ended_at FROM orders WHERE o_orderkey % 8 < 5""",
     "w_products": """SELECT p_partkey AS product_id, p_name AS product_name, p_brand AS brand, p_size % 10 AS category_id, CAST(p_retailprice AS decimal(18,2)) AS mrp,
         CAST(CAST(p_retailprice AS decimal(18,2)) * CAST(0.9 AS decimal(3,2)) AS decimal(18,2)) AS selling_price, CASE WHEN p_partkey % 3 = 0 THEN 'open_food_facts' ELSE 'simulated' END AS catalogue_source,
-        CASE WHEN p_partkey % 4 = 0 THEN 'open_prices' ELSE 'simulated' END AS price_source FROM part""",
+        CASE WHEN p_partkey % 4 = 0 THEN 'open_prices' ELSE 'simulated' END AS price_source,
+        concat(CAST(p_size AS string), ' g') AS unit, p_partkey % 9 <> 0 AS is_active, CASE p_partkey % 6 WHEN 0 THEN 'a' WHEN 1 THEN 'c' END AS nutriscore_grade FROM part""",
     "w_categories": "SELECT DISTINCT p_size % 10 AS category_id, concat('category ', CAST(p_size % 10 AS string)) AS category_name, p_size % 10 < 3 AS is_perishable FROM part",
     "w_stores": "SELECT n_nationkey AS store_id, n_name AS store_name, n_regionkey AS city_id FROM nation",
     "w_cities": "SELECT r_regionkey AS city_id, r_name AS city_name, r_name AS state FROM region",
@@ -50,17 +51,33 @@ TABLES = {
 }
 
 
-def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The derived tables as frames; only what a query uses is ever read."""
-    names = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
-    base = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
-    out = {}
-    for name, text in TABLES.items():
-        words = text
-        for n in names:
-            words = words.replace(f"FROM {n}", f"FROM {{{n}}}")
-        out[name] = spark.sql(words, **{n: df for n, df in base.items() if f"{{{n}}}" in words})
-    return out
+BASES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+class Frames:
+    """The derived tables by name; each is analysed, and its given tables opened, when it is first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark, self.sf_dir, self.made = spark, sf_dir, {}
+
+    def base(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    def sql(self, text: str) -> DataFrame:
+        """A text over the given tables."""
+        used = [n for n in BASES if f"FROM {n}" in text]
+        for n in used:
+            text = text.replace(f"FROM {n}", f"FROM {{{n}}}")
+        return self.spark.sql(text, **{n: self.base(n) for n in used})
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self.made:
+            self.made[name] = self.sql(TABLES[name])
+        return self.made[name]
+
+
+def tables(spark: SparkSession, sf_dir: str) -> Frames:
+    return Frames(spark, sf_dir)
 
 
 def duckdb(*names: str) -> str:
