@@ -499,6 +499,18 @@ def test_main_text_template_is_confirmed_by_all_pages(spark):
     ("<article>" + "<p>x</p>" * 5000 + "</article>", "\n".join(["x"] * 5000)),
     ("<article><p>caf&eacute; &#x41;&bogus; &amp", "café A&bogus; &"),
     ("<p></b></article></body>a<table><tr><td>b<td>c", "a\nb\nc"),
+    # ids that come from headings, and classes that only begin like a menu's, are the article's own
+    ('<article><h2 id="related-work">Related work</h2><p>x</p><h2 id="search-algorithms">S</h2><h3 id="comments">Comments</h3><section id="comments-on-the-new-law"><p>law</p></section><p class="share-price">9.5</p><div class="search-results-table">t</div></article>', "Related work\nx\nS\nComments\nlaw\n9.5\nt"),
+    # reader comments and teasers go, wherever they stand and though they are articles
+    ('<article><p>text</p></article><section id="comments"><article class="comment-body"><p>Reader says hi</p></article></section>', "text"),
+    ('<article><p>text</p><article class="comment"><p>Reader says hi</p></article><section id="comments"><p>hi</p></section></article>', "text"),
+    ('<div class="related"><article><p>teaser</p></article></div><article><p>text</p></article><div class="related-posts"><article>teaser</article></div>', "text"),
+    ('<div class="widget-wrapper"><article class="comment">only</article></div>', "only"),
+    # inline adverts and buttons go
+    ('<article><p>one <span class="advert">buy</span> two <a class="share-button" href="#">Share</a> <a class="searchable">three</a></p></article>', "one two three"),
+    # comments end as in browsers; one that does not is the rest of the page
+    ("<article><p>a</p><!-->b<!-- x --!>c</article><!-- <p>not text</p>", "a\nbc"),
+    ('<article><p>a</p><div class="sideBar">s</div><div class="site-header">h</div><div class="page_footer">f</div><div class="ad ad-slot-1">x</div><div class="newsletter-signup-form">x</div></article>', "a"),
 ])
 def test_main_text_of_one_page(body, text):
     assert "\n".join(t for _, t in html_text.blocks(html_text.parse(f"<html><body>{body}"))) == text
