@@ -4,8 +4,10 @@ import datetime as dt
 import hashlib
 import re
 import textwrap
+from pathlib import Path
 
 import duckdb
+import pytest
 
 from pyspark.sql import functions as F
 
@@ -119,6 +121,39 @@ def same_as_sql(spark, name):
     assert mine and sorted(mine) == sorted(theirs)
 
 
+FILES = {n: n for n in ("Apache-2.0", "CC0-1.0", "GFDL-1.2", "GFDL-1.3", "LGPL-2.1", "MPL-1.1", "MPL-2.0")} | {"Artistic": "Artistic-1.0-Perl", "BSD": "BSD-3-Clause", "GPL-1": "GPL-1.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2": "LGPL-2.0", "LGPL-3": "LGPL-3.0"}
+FOLDER = Path("/usr/share/common-licenses")
+
+
+@pytest.mark.skipif(not FOLDER.exists(), reason="this system keeps no licence texts")
+def test_whole_legal_texts(spark):
+    """Each as it is, wrapped otherwise and in other case and punctuation, and without its appendix; none if a word is added. Any table of texts serves as a list."""
+    rows, want = [], []
+    for file, name in FILES.items():
+        text = (FOLDER / file).read_text(errors="replace")
+        other = re.sub(r'["\',;]', " ", text.upper()).replace("\n\n", "\n \n*** \n") + "\nCopyright (c) 2024 Some Body\n"
+        ends = text.find("END OF TERMS AND CONDITIONS")
+        texts = [text, other, text + " more"] + ([text[: ends + 27]] if ends > 0 else [])
+        rows += texts
+        want += [name, name, None] + [name] * (ends > 0)
+    docs = spark.createDataFrame(list(enumerate(rows)), S)
+    assert [r["license"] for r in license_scan.scan(docs).orderBy("doc_id").collect()] == want
+    known = license_scan.digests_of(spark.createDataFrame([(f"my {w}", t) for t, w in zip(rows, want, strict=True) if w], "license string, text string"))
+    assert [r["license"] for r in license_scan.scan(docs, known).orderBy("doc_id").collect()] == [w and f"my {w}" for w in want]
+
+
+def test_license_of_a_very_long_text(spark):
+    long = "\n".join(["some words of a long text"] * 100_000 + ["Licensed under CC BY 4.0."])
+    assert license_scan.scan(spark.createDataFrame([(1, long)], S)).first()["notices"] == ["CC-BY-4.0"]
+
+
+def test_native_plans_run_no_python(spark):
+    """What the queries of the operators that must be native run on executors is the JVM's alone."""
+    for name in ("op2_pii_pseudonyms", "op6_quality_rules", "op7_preference_format"):
+        plan = queries.QUERIES[name](spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
+        assert not re.search(r"Python|Pandas|Arrow", plan), name
+
+
 def test_license_query_equals_its_sql(spark):
     same_as_sql(spark, "op5_license_scan")
 

@@ -63,6 +63,29 @@ Unless required by applicable law or agreed to in writing, software distributed
     ("MPL-2.0", "Licensed under the Mozilla Public License, version 2.0."),
     ("AllRightsReserved", "All rights reserved."),
 ]
+#: Licences whose texts are long, by the canonical digest of the whole text, and of its terms without the appendix on their use.
+LONG = [
+    ("Apache-2.0", "whole", "6fc27425ff10f40f194a4ea601731162"),
+    ("Apache-2.0", "terms", "71b2bd815104b9a01c3f714eb505d24b"),
+    ("Artistic-1.0-Perl", "whole", "01297679267ad921516667ccd889865e"),
+    ("BSD-3-Clause", "whole", "ddcd765ed0a3236bf96e15f76c36983a"),
+    ("CC0-1.0", "whole", "93a180096f6cfcf2c0dd24f75c2eec48"),
+    ("GFDL-1.2", "whole", "c969fdb4b731dadf7173c1ffbe49a117"),
+    ("GFDL-1.3", "whole", "eb6b86c0fad89753a5a36c484fa0ada2"),
+    ("GPL-1.0", "whole", "738cc3b112640d95d4cd79a58967ecea"),
+    ("GPL-1.0", "terms", "dbf3c47f5a8f127e58d08cabc1ebb916"),
+    ("GPL-2.0", "whole", "5e39ace6e62f5a7fe9c17b4da986ad8c"),
+    ("GPL-2.0", "terms", "68380dbeadb093b94ecf563db7312db7"),
+    ("GPL-3.0", "whole", "5eaa767cc0a56c87c3852144458a3bf1"),
+    ("GPL-3.0", "terms", "444f95dc767ede978b60cfb20fbd0bca"),
+    ("LGPL-2.0", "whole", "74cf7fcef3b29a39165a795b2cad3a3a"),
+    ("LGPL-2.0", "terms", "c396ba2f94537628797123bc12cd2d6e"),
+    ("LGPL-2.1", "whole", "f998bc436710cfece156aaa84fd26dd4"),
+    ("LGPL-2.1", "terms", "3054b3781b1af43f906dc753acad15ee"),
+    ("LGPL-3.0", "whole", "b31b7335bc37919e8cdd79154e04d88d"),
+    ("MPL-1.1", "whole", "252dfbcf46f9012c7c356a9252f1c30c"),
+    ("MPL-2.0", "whole", "db12a21e89062c14ac06f7d6aa8123d5"),
+]
 #: Normalised lines that only name who holds the rights, or head a licence.
 _NOTICE = r"^(portions )?(copyright( c)*|c) (by )?[0-9]{4}( .*)?$|^(portions )?copyright c( .*)?$|^copyright( [^ ]+){1,8} all rights reserved$|^all rights reserved$|^(the )?(mit|isc|zlib|unlicense|boost software|bsd [23] clause) license( mit| isc| zlib)?$"
 _OTHER = "[^a-z0-9]+"
@@ -91,14 +114,28 @@ def canonical_of(text: str) -> str:
 
 
 def known_digests() -> list[tuple[str, str]]:
-    """(digest, license) of each of :data:`KNOWN`."""
-    out: dict[str, str] = {}
+    """(digest, license) of each of :data:`KNOWN` and :data:`LONG`."""
+    out: dict[str, str] = {d: name for name, _, d in LONG}
     for name, text in KNOWN:
         d = md5(canonical_of(text).encode()).hexdigest()
         out[d] = min(out.get(d, name), name)
     return sorted(out.items())
 
 
+def _lines(text: Column) -> Column:
+    return F.filter(F.transform(F.split(text, "\n", -1), _line), lambda x: x != "")
+
+
+def _whole(lines: Column) -> Column:
+    """The canonical digest of an entire text."""
+    return F.md5(_spelled(F.array_join(F.filter(lines, lambda x: ~x.rlike(_NOTICE)), " ")))
+
+
+def digests_of(texts: DataFrame) -> DataFrame:
+    """(digest, license) of a table of licences (license, text) of any size, such as a public list of them, for :func:`scan`."""
+    return texts.select(_whole(_lines(F.col("text"))).alias("digest"), F.col("license").cast("string").alias("license"))
+
+
 def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, digest, license, notices.
 
@@ -111,8 +148,8 @@ def scan(docs: DataFrame, known: DataFrame | None = None) -> DataFrame:
     known = spark.createDataFrame(known_digests(), "digest string, license string") if known is None else known
     known = known.dropna(subset=["digest", "license"]).groupBy("digest").agg(F.min("license").alias("license"))
     base = docs.select(*row_key(), F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    base = base.withColumn("lines", F.filter(F.transform(F.split("text", "\n", -1), _line), lambda x: x != ""))
-    whole = F.md5(_spelled(F.array_join(F.filter("lines", lambda x: ~x.rlike(_NOTICE)), " ")))
+    base = base.withColumn("lines", _lines(F.col("text")))
+    whole = _whole(F.col("lines"))
     each = F.array_distinct(F.transform("lines", lambda x: F.md5(_spelled(x))))
     # texts are normalised once; what the joins read are digests
     digests = Scratch(spark).table(base.select("id", "text_hash", "doc_id", whole.alias("digest"), each.alias("lines")), "digests")

@@ -98,15 +98,19 @@ def _spelled(column: str) -> str:
     return column
 
 
-_KNOWN = ", ".join(f"('{d}', '{n}')" for d, n in license_scan.known_digests())
+_LINES = "list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(regexp_replace(replace(lower(x), chr(169), ' copyright '), '[^a-z0-9]+', ' ', 'g'))), lambda x: x <> '')"
+_KEPT = f"list_filter(lines, lambda x: NOT regexp_matches(x, '{license_scan._NOTICE}'))"
+_TEXTS = ", ".join("('{}', '{}')".format(t.replace("'", "''"), n) for n, t in license_scan.KNOWN)
+_LONG = ", ".join(f"('{d}', '{n}')" for n, _, d in license_scan.LONG)
 _SIDE = "string_agg('<|' || role || '|>' || chr(10) || text || '<|end|>' || chr(10), '' ORDER BY i) FILTER (WHERE side = {0} AND i > n_shared)"
 _SPANS = "string_agg((z - length(text) - 8) || '-' || z, ',' ORDER BY i) FILTER (WHERE side = {0} AND i > n_shared AND role = 'assistant')"
 
 ORACLE_SQL: dict[str, str] = {
     "op5_license_scan": f"""
-        WITH known(digest, license) AS (VALUES {_KNOWN}),
-        l AS (SELECT doc_id, list_filter(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(regexp_replace(replace(lower(x), chr(169), ' copyright '), '[^a-z0-9]+', ' ', 'g'))), lambda x: x <> '') AS lines FROM documents),
-        w AS (SELECT doc_id, lines, coalesce(array_to_string(list_filter(lines, lambda x: NOT regexp_matches(x, '{license_scan._NOTICE}')), ' '), '') AS whole FROM l),
+        WITH short AS (SELECT license, coalesce(nullif(array_to_string({_KEPT}, ' '), ''), array_to_string(lines, ' ')) AS whole FROM (SELECT license, {_LINES} AS lines FROM (VALUES {_TEXTS}) t(text, license))),
+        known AS (SELECT digest, min(license) AS license FROM (SELECT md5({_spelled('whole')}) AS digest, license FROM short UNION ALL VALUES {_LONG}) GROUP BY 1),
+        l AS (SELECT doc_id, {_LINES} AS lines FROM documents),
+        w AS (SELECT doc_id, lines, coalesce(array_to_string({_KEPT}, ' '), '') AS whole FROM l),
         d AS (SELECT doc_id, md5({_spelled('whole')}) AS digest, lines FROM w),
         e AS (SELECT doc_id, unnest(lines) AS line FROM l),
         n AS (SELECT doc_id, string_agg(DISTINCT license, ',' ORDER BY license) AS notices FROM (SELECT doc_id, md5({_spelled('line')}) AS digest FROM e) JOIN known USING (digest) GROUP BY 1)
