@@ -18,6 +18,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.local.dir", tmp)
         .config("spark.sql.warehouse.dir", f"{tmp}/warehouse")
+        .config("spark.checkpoint.dir", f"{tmp}/shared")
         .config("spark.driver.memory", "4g")
         .getOrCreate()
     )

@@ -11,7 +11,7 @@ from tidemark.operators import cdc, history, incremental, quality, sketches
 from tidemark.plans import models
 from tidemark.plans.queries import _FACT, _FACT_USES, _INDEX, _STATE, AS_OF, Frames, _decoded, _items, _orders, _periods, _PERIODS, _products, _raw, _state, _stores, as_of, query
 from tidemark.sources import observations
-from tidemark.sources.tables import BUCKET, bucket_of, workspace
+from tidemark.sources.tables import BUCKET, bucket_of, json_items, workspace
 from tidemark.streaming.fold import fold_stream, write_updates
 from tidemark.streaming.pipeline import METRICS, CdcPipeline
 
@@ -344,3 +344,27 @@ def _(t: Frames):
     products = t.base("part").select(F.col("p_partkey").alias("product_id"), F.concat(F.when(F.col("p_partkey") % 2 == 0, "OFF-").otherwise("SIM-"), (8900000 + F.col("p_partkey")).cast("string")).alias("sku"))
     catalogue = t.sql(_CATALOGUE).filter("brands is not null").select("code", "nutriscore_grade", F.col("image_front_small_url").alias("image_url"))
     return observations.link_catalogue(products, catalogue).select("product_id", "off_code", "nutriscore_grade", "catalogue_source")
+
+
+@query("src_json_pages", "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 17 = 0 THEN 'n/a' ELSE (o_orderkey % 1000) || '.25' END AS price, CAST(o_custkey AS varchar) AS code, 'en:x' AS category_tag FROM orders")
+def _(t: Frames):
+    """The items as gzipped pages of nested JSON, read back."""
+    store = workspace(t.spark)
+    pages = t.sql(_ITEM_SQL).groupBy((F.col("id") % 64).alias("page")).agg(F.collect_list(F.struct("id", "price", "currency", "product", "category_tag")).alias("items"))
+    pages.write.option("compression", "gzip").json(store.path("pages"))
+    return json_items(t.spark, store.path("pages"), observations.ITEM, "items", lines=True).select("id", "price", F.col("product.code").alias("code"), "category_tag")
+
+
+@query("sink_gold_table", "SELECT category_name, count(*) AS products FROM w_products JOIN w_categories USING (category_id) WHERE product_id % 2 = 0 GROUP BY 1", "w_products w_categories")
+def _(t: Frames):
+    """A mart built twice as a table: the second run takes the place of the first."""
+    store = workspace(t.spark)
+    for part in ("product_id > 0", "product_id % 2 = 0"):
+        mart = models.mart_catalogue_coverage(_products(t).filter(part))
+        store.rebuild("mart_catalogue_coverage", mart)
+    return store.read("mart_catalogue_coverage", mart.schema).select("category_name", "products")
+
+
+@query("sink_report_json", "#c AS (SELECT category_name, count(*) AS products, count(*) FILTER (WHERE catalogue_source = 'open_food_facts') AS real_products, count(*) FILTER (WHERE price_source = 'open_prices') AS real_priced_products FROM w_products JOIN w_categories USING (category_id) GROUP BY 1), j AS (SELECT CAST(to_json({category_name: category_name, products: products, real_products: real_products, real_priced_products: real_priced_products}) AS varchar) AS r FROM c) SELECT 'coverage' AS report, '[' || string_agg(r, ',' ORDER BY r) || ']' AS body FROM j", "w_products w_categories")
+def _(t: Frames):
+    return models.report_json({"coverage": models.report_coverage(models.mart_catalogue_coverage(_products(t)))})

@@ -62,6 +62,10 @@ class Tables:
             w = w.option(f"parquet.bloom.filter.enabled#{k}", "true")
         (w.partitionBy(*partition_by) if partition_by else w).parquet(self.path(name))
 
+    def rebuild(self, name: str, df: DataFrame) -> None:
+        """The frame in place of the whole table, which it must not read."""
+        df.write.mode("overwrite").option("compression", "zstd").parquet(self.path(name))
+
     def replace(self, name: str, df: DataFrame, partition_by: list[str]) -> None:
         """The frame in place of those partitions of which it has rows. It may read the table: what goes is deleted once all is written.
 
@@ -86,9 +90,9 @@ def optional_table(tables: Tables, name: str, schema: str) -> DataFrame:
     return tables.spark.createDataFrame([], T._parse_datatype_string(schema)) if found is None else found
 
 
-def json_items(spark: SparkSession, path: str, schema: str, items: str) -> DataFrame:
-    """Items of pages of nested JSON, gzip or plain; ``schema`` is that of one item."""
-    pages = spark.read.schema(f"{items} array<{schema}>").option("multiLine", True).json(path)
+def json_items(spark: SparkSession, path: str, schema: str, items: str, lines: bool = False) -> DataFrame:
+    """Items of pages of nested JSON, gzip or plain, one page in a file or, with ``lines``, in a line; ``schema`` is that of one item."""
+    pages = spark.read.schema(f"{items} array<{schema}>").option("multiLine", not lines).json(path)
     return pages.select(F.explode(items).alias("item")).select("item.*")
 
 
