@@ -160,15 +160,20 @@ class CdcPipeline:
             letters = self._letters(table, cdc.dead_letters(decoded))
             changes = cdc.valid_changes(decoded)
             with_log = bool(self.store.parts(f"bronze_{table}"))
-            lsns = changes.agg(F.min("_lsn").alias("low"), F.max("_lsn").alias("high")).first()
-            if lsns["low"] is not None:
-                self._append_log(table, changes, lsns["low"], lsns["high"])
-            cut = cdc.truncates(decoded)
-            at = cut.first()
-            self._fold(table, changes, cut, at["t_lsn"] is not None, with_log)
-            if at["t_lsn"] is not None:
-                known, row = self.truncates(table), self.store.spark.createDataFrame([(at["t_lsn"], at["t_ts"])], TRUNCATES)
-                if known is None or known.filter(F.col("lsn") == at["t_lsn"]).isEmpty():
+            fine, lsn = F.col("_reason").isNull(), F.col("_lsn")
+            valid, gone = fine & F.col("_op").isin(*cdc.OPS), fine & (F.col("_op") == "t")
+            bucket = bucket_of(schema.struct(), schema.key, self.buckets)
+            span = decoded.agg(
+                F.min(F.when(valid, lsn)).alias("low"), F.max(F.when(valid, lsn)).alias("high"), F.collect_set(F.when(valid, bucket)).alias("buckets"), F.max(F.when(gone, lsn)).alias("cut"), F.max_by(F.when(gone, F.col("_source_ts")), F.when(gone, lsn)).alias("at")
+            ).first()  # one row, with at most so many buckets as there are
+            if span["low"] is not None:
+                self._append_log(table, changes, span["low"], span["high"])
+            touched = set(range(self.buckets)) if span["cut"] is not None else set(span["buckets"])
+            if touched:
+                self._fold(table, changes, cdc.truncates(decoded), touched, with_log)
+            if span["cut"] is not None:
+                known, row = self.truncates(table), self.store.spark.createDataFrame([(span["cut"], span["at"])], TRUNCATES)
+                if known is None or known.filter(F.col("lsn") == span["cut"]).isEmpty():
                     self.store.append(f"truncates/table={table}", row)
             return letters
         finally:
@@ -220,14 +225,11 @@ class CdcPipeline:
         finally:
             fresh.unpersist()
 
-    def _fold(self, table: str, changes: DataFrame, cut: DataFrame, truncated: bool, with_log: bool) -> None:
+    def _fold(self, table: str, changes: DataFrame, cut: DataFrame, touched: set[int], with_log: bool) -> None:
         """Writes the touched buckets of the state again. A bucket that a lost driver left missing comes from the log."""
         schema, name = self.schemas[table], f"silver_{table}"
         bucket, own = bucket_of(schema.struct(), schema.key, self.buckets), F.col(BUCKET)
         present = {int(b) for b in self.store.values(name, BUCKET)}
-        touched = set(range(self.buckets)) if truncated else {b for (b,) in changes.select(bucket).distinct().collect()}  # at most so many as buckets
-        if not touched:
-            return
         current = self.state(table)
         current = current and current.filter(own.isin(sorted(touched & present))).drop(BUCKET)
         if with_log and (lost := sorted(touched - present)):
