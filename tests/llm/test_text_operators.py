@@ -516,6 +516,19 @@ def test_main_text_of_one_page(body, text):
     assert "\n".join(t for _, t in html_text.blocks(html_text.parse(f"<html><body>{body}"))) == text
 
 
+def test_wrapper_decides_on_pages_with_articles_too(spark):
+    """Articles that are not what varies most over a host's pages are teasers; a few pages are no host, and where the article is the slot it stays whole."""
+    teaser = lambda i, w=9: f"<html><body><p>Our site</p><section class=t1><article><p>Read of {i}</p></article></section><div class=x2><h1>Head {i}</h1><p>Same line</p><p>{'text of page ' * w}{i}</p></div><p>Same end</p></body></html>"
+    real = lambda i: f"<html><body><div class=x2><p>Most read {i % 3}</p></div><article><p>Same line</p><p>{'text of page ' * 9}{i}</p></article></body></html>"
+    rows = [(i, "http://teaser.example/", teaser(i)) for i in range(30)] + [(40, "http://teaser.example/", "<article><p>other shape</p></article>"), (41, "http://teaser.example/", None)]
+    rows += [(100 + i, "http://real.example/", real(i)) for i in range(30)] + [(200 + i, "http://few.example/", teaser(i)) for i in range(3)] + [(300 + i, "http://even.example/", teaser(i, 0)) for i in range(9)]
+    got = {r["page_id"]: (r["text"], r["n_chars"]) for r in html_text.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows) and all(n == len(t) for t, n in got.values())
+    assert all(got[i][0] == f"Head {i}\n{'text of page ' * 9}{i}" for i in range(30)) and got[40][0] == "other shape" and got[41][0] == ""
+    assert all(got[100 + i][0] == f"Same line\n{'text of page ' * 9}{i}" for i in range(30))
+    assert all(got[200 + i][0] == f"Read of {i}" for i in range(3)) and all(got[300 + i][0] == f"Read of {i}" for i in range(9))
+
+
 def test_wrapper_finds_the_container_of_the_slots(spark):
     page = lambda i, deep="": f"<html><body><div class=top><p>Our site</p></div><div class=wrap>{deep}<div class=x1><a href=/>go {i}</a> <a href=/>on {i}</a></div><div class=x2><h2>Head {i}</h2><p>{'text of page ' * 9}{i}</p><p>Sign here</p></div></div><div class=x3>{i} hits</div></body></html>"
     rows = [(i, "http://slots.example/", page(i)) for i in range(12)] + [(50 + i, "http://deep.example/", page(i, "<b>" * 300 + "</b>" * 300)) for i in range(5)] + [(90, "http://slots.example/", "<p>other shape</p>"), (91, "http://slots.example/", page(3))]
