@@ -147,6 +147,17 @@ def test_license_of_a_very_long_text(spark):
     assert license_scan.scan(spark.createDataFrame([(1, long)], S)).first()["notices"] == ["CC-BY-4.0"]
 
 
+def test_pseudonyms_without_a_key_of_one_s_own_warn(spark):
+    sf = "/root/testdata/sf0.001"
+    with pytest.warns(UserWarning, match="reversed by anyone"):
+        open_key = queries.op2_pii_pseudonyms(spark, sf)
+    spark.conf.set(queries.KEY_SETTING, "own")
+    try:
+        assert open_key.exceptAll(queries.op2_pii_pseudonyms(spark, sf)).count() > 0
+    finally:
+        spark.conf.unset(queries.KEY_SETTING)
+
+
 def test_native_plans_run_no_python(spark):
     """What the queries of the operators that must be native run on executors is the JVM's alone."""
     for name in ("op2_pii_pseudonyms", "op6_quality_rules", "op7_preference_format"):

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +22,10 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymise(documents(spark, sf_dir), key=spark.conf.get(KEY_SETTING, DEMO_KEY))
+    key = spark.conf.get(KEY_SETTING, None)
+    if key is None:
+        warnings.warn(f"{KEY_SETTING} is not set: pseudonyms under the demonstration key can be reversed by anyone", stacklevel=2)
+    return pii.pseudonymise(documents(spark, sf_dir), key=key or DEMO_KEY)
 
 
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
