@@ -297,7 +297,7 @@ def _raw(t: Frames) -> DataFrame:
 
 def _decoded(t: Frames) -> DataFrame:
     raw = cdc.raw_projection(_raw(t))
-    return cdc.decode_changes(raw, cdc.first_schema(raw), 1, F.to_timestamp(F.lit(AS_OF)))
+    return cdc.decode_changes(raw, cdc.first_schema(raw), 1, F.to_timestamp(F.lit(AS_OF)), cdc.heads(raw.filter(F.col("value").startswith('{"schema"')).limit(1)))
 
 
 @query("cdc_parse_envelope", "SELECT id, kind, CAST(amount AS double) AS amount, _op, _lsn FROM w_log WHERE _lsn % 50 <> 0 AND _lsn % 70 <> 0", "w_log")

@@ -67,15 +67,16 @@ class CdcPipeline:
         try:
             if self.gaps_fail:
                 self._check_offsets(raw, batch_id)
-            found = cdc.survey(raw).withColumn("table", cdc.table_of(F.col("topic"))).orderBy("first_offset").collect()  # rows follow schemas, not events
+            heads = cdc.heads(raw)
+            found = cdc.survey(raw, heads).withColumn("table", cdc.table_of(F.col("topic"))).orderBy("first_offset").collect()  # rows follow schemas, not events
             by_table: dict[str, list] = {}
-            for r in found:
+            for r in ({**r.asDict(), "value_schema": heads.get(r["value_hash"], r["value_schema"])} for r in found):
                 if r["table"] not in self.ignored:
                     by_table.setdefault(r["table"], []).append(r)
             counts = [m for t, rows in by_table.items() for m in self._evolve(t, rows, batch_id)]
             for level in levels(list(by_table), self.parents):
                 with ThreadPoolExecutor(self.parallel) as pool:
-                    for more in pool.map(lambda t: self._table(raw, t, by_table[t], batch_id), level):
+                    for more in pool.map(lambda t: self._table(raw, t, by_table[t], batch_id, list(heads)), level):
                         counts += more
             for t, rows in by_table.items():
                 counts += [(t, "events", r["op"], r["records"]) for r in rows]
@@ -149,13 +150,13 @@ class CdcPipeline:
         changes = cdc.schema_changes(known.struct(), merged.struct()) if known else ["create"]
         return [(table, "schema_changes", c, 1) for c in changes]
 
-    def _table(self, raw: DataFrame, table: str, rows: list, batch_id: int) -> list[tuple]:
+    def _table(self, raw: DataFrame, table: str, rows: list, batch_id: int, heads: list[int]) -> list[tuple]:
         """Writes letters, log and state; gives counts of letters."""
         own = raw.filter(F.col("topic").isin(sorted({r["topic"] for r in rows})))
         schema, now = self.schemas.get(table), self.clock()
         if schema is None:
             return self._letters(table, cdc.unreadable(own, now))
-        decoded = cdc.decode_changes(own, schema, batch_id, now).persist()
+        decoded = cdc.decode_changes(own, schema, batch_id, now, heads).persist()
         try:
             letters = self._letters(table, cdc.dead_letters(decoded))
             changes = cdc.valid_changes(decoded)
