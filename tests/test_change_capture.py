@@ -323,26 +323,6 @@ def test_a_gap_in_the_offsets_fails(spark, tmp_path):
     assert p.log("orders").count() == 5
 
 
-def test_only_payloads_of_sound_heads_are_parsed(spark):
-    """Values whose schema is followed by something else, or that name a payload inside it, are parsed as they are; all decode alike."""
-    def value(schema, payload='{"op":"c","source":{"lsn":%d},"after":{"id":%d}}', tail=""):
-        return f'{{"schema":{schema},"payload":{payload}{tail}}}'
-
-    plain = '{"fields":[{"field":"after","fields":[{"field":"id","type":"int64"}]}]}'
-    odd = '{"fields":[{"field":"after","fields":[{"field":"id","type":"int64"}],"parameters":{"a":"b","payload":"c"}}]}'
-    values = [value(plain) % (1, 1), value(plain, tail=',"more":{"payload":1}') % (2, 2), value(odd) % (3, 3), '{"payload":{"op":"c","source":{"lsn":4},"after":{"id":4}},"schema":' + plain + "}", '{"schema":1,"x":2,"payload":{"op":"c","source":{"lsn":5},"after":{"id":5}}}', value(plain, '{"op":"c"'), '{"schema":[,"payload":{"op":"c"}}', None]
-    key = lambda i: f'{{"schema":{{"fields":[{{"field":"id"}}]}},"payload":{{"id":{i + 1}}}}}'
-    raw = spark.createDataFrame([("s.p.t", 0, i, key(i), v) for i, v in enumerate(values)], RAW)
-    heads = cdc.heads(raw)
-    assert list(heads.values()) == [plain]
-    layout = cdc.schema_of(plain, '{"fields":[{"field":"id"}]}')
-    cut = lambda df: sorted(map(str, df.select("id", "_op", "_lsn", "_kafka_offset", "_reason").collect()))
-    fast, slow = (cdc.decode_changes(raw, layout, 0, F.current_timestamp(), h) for h in (heads, ()))
-    assert cut(fast) == cut(slow) and fast.filter("_reason is null").count() == 5
-    counts = lambda df: sorted((r["op"] or "", r["records"]) for r in df.groupBy("op").agg(F.sum("records").alias("records")).collect())
-    assert counts(cdc.survey(raw, heads)) == counts(cdc.survey(raw))
-
-
 def test_levels_put_parents_first():
     assert levels(["b", "a", "z", "c"], {"a": [], "b": ["a"], "c": ["b"]}) == [["a"], ["b"], ["c"], ["z"]]
 
