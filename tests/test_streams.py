@@ -84,6 +84,14 @@ def test_variant_reads_a_column_that_was_unknown_at_ingestion(spark):
     assert got == plain == [(1, "None"), (1, "2.50"), (1, "None")]
 
 
+def test_variants_are_parsed_once(spark):
+    """Two parses of a record, of its value and of its key, however many columns the filter on them reads."""
+    raw = spark.createDataFrame([("t", 0, 1, "{}", "{}")], "topic string, partition long, offset long, key string, value string")
+    layout = cdc.TableLayout({"id": cdc.wire({"type": "int64", "field": "id"}), "amount": cdc.wire({"type": "double", "field": "amount"})}, ["id"])
+    plan = cdc.variant_changes(cdc.as_variant(raw), layout)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.lower().count("parsejson") == 2
+
+
 def test_a_run_that_is_lost_before_its_cursor_is_repeated(spark, tmp_path):
     store, schema = Tables(spark, str(tmp_path)), "id int, s string, created timestamp"
     at = lambda h: dt.datetime(2026, 1, 1, h)
