@@ -584,3 +584,15 @@ def test_pipeline_run_is_its_stages(spark):
     clean = {r["doc_id"] for r in flagged.collect() if not r["contaminated"]}
     out = corpus_pipeline.run(spark, sf).collect()
     assert {r["doc_id"] for r in out} == clean and sum(r["n_words"] for r in out) == sum(len(words(lines[d])) for d in clean)
+
+
+def test_maps_of_long_sets_are_held_by_their_bytes():
+    """As many rows as a task may hold, with large maps, are compared in parts; the pairs are those of all rows at once."""
+    rng = np.random.default_rng(5)
+    base = rng.integers(0, 2**63, 1 << 13).astype(np.uint64)
+    sets = [np.unique(np.append(base[i // 4 * 800 : i // 4 * 800 + 3000], np.uint64(i))) for i in range(24)]
+    made = []
+    rows = pa.record_batch({"sig": pa.array(np.repeat(np.arange(3000), 2)), "node": pa.array(np.arange(6000) % 24), "star": pa.array(np.arange(6000) % 24), "size": pa.array([len(sets[i % 24]) for i in range(6000)]), "bits": pa.array([ngram_join.bit_map(sets[i % 24]) for i in range(6000)], pa.binary())})
+    for batch in ngram_join._bucket_pairs(4, 5)(iter([rows])):
+        made.append(set(zip(*(c.to_pylist() for c in batch.columns), strict=True)))
+    assert len(made) > 1 and set().union(*made) == {(i, i + 1) for i in range(0, 24, 2)}

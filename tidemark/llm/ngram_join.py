@@ -45,8 +45,10 @@ _SHINGLES = Powers(0xD1342543DE82EF95)
 LABEL_ROUNDS = 2
 #: Largest bit map.
 MAP_BITS = 1 << 16
-#: Most nodes of a bucket whose maps are set against each other, and rows held for it.
-BUCKET, HELD = 1 << 12, 1 << 15
+#: Most nodes of a bucket whose maps are set against each other, rows held for it, and bytes of maps after which fewer rows are.
+BUCKET, HELD, HELD_BYTES = 1 << 12, 1 << 15, 1 << 22
+#: Rows compared with their hubs at once, and bytes of maps that are gathered at once.
+NEAR_ROWS, GATHERED = 1 << 10, 1 << 18
 #: Nodes of one hub that a task compares with it.
 GROUP_PART = 1 << 10
 #: Elements in which the nodes of a part differ from their hub, about, and how many of them are counted at once.
@@ -96,7 +98,9 @@ class Maps:
             if bits is not None:
                 bits = bits[:, :size] ^ bits[:, size:]
             own = np.flatnonzero(self.words == size)
-            fresh = data[offsets[own][:, None] + np.arange(8 * size)].view(U) if len(own) else np.zeros((0, size), U)
+            fresh = np.zeros((len(own), size), U)
+            for at in np.array_split(np.arange(len(own)), 1 + 8 * size * len(own) // GATHERED):  # the places take eight times the maps
+                fresh[at] = data[offsets[own[at]][:, None] + np.arange(8 * size)].view(U)
             row, bits = np.append(row, own), fresh if bits is None else np.concatenate([bits, fresh])
             place = np.full(len(self.words), -1, np.int64)
             place[row] = np.arange(len(row))
@@ -123,7 +127,7 @@ def _near_hub(num: int, den: int) -> Callable:
     """A mapInArrow function over (hub, node, size, bits, hub_size, hub_bits): the nodes that may be linked with their hub."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (b.slice(at, NEAR_ROWS) for b in batches for at in range(0, b.num_rows, NEAR_ROWS)):
             n = batch.num_rows
             maps = Maps(pa.concat_arrays([batch.column(3), batch.column(5)]))
             apart = maps.apart(np.arange(n), np.arange(n, 2 * n))
@@ -155,16 +159,17 @@ def _bucket_pairs(num: int, den: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in (b.slice(at, NEAR_ROWS) for b in batches for at in range(0, b.num_rows, NEAR_ROWS)):
             held.append(batch)
+            rows, size = sum(b.num_rows for b in held), sum(b.nbytes for b in held)
+            if rows < HELD and size < HELD_BYTES:
+                continue
             last = batch.column(0)[batch.num_rows - 1].as_py()
             table = pa.Table.from_batches(held)
             whole = int(np.searchsorted(table["sig"].to_numpy(), last))  # rows of buckets that are complete
-            if whole >= HELD:
+            held = table.slice(whole).combine_chunks().to_batches()
+            if whole:
                 yield pairs(table.slice(0, whole))
-                held = table.slice(whole).combine_chunks().to_batches()
         if held:
             yield pairs(pa.Table.from_batches(held))
 

@@ -13,8 +13,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U = np.uint64
-#: Bytes of text handled at once; a longer single text is handled alone.
-SLICE_BYTES = 1 << 21
+#: Bytes of text handled at once; a longer single text is handled alone. Arrays of about 40 times as much are held meanwhile.
+SLICE_BYTES = 1 << 18
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
