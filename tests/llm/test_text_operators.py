@@ -586,6 +586,28 @@ def test_pipeline_run_is_its_stages(spark):
     assert {r["doc_id"] for r in out} == clean and sum(r["n_words"] for r in out) == sum(len(words(lines[d])) for d in clean)
 
 
+def test_decontamination_space_is_fitted_on_all_texts(spark):
+    """The space is that of an exact decomposition over every text and every item: more of both than 2,048."""
+    rng = np.random.default_rng(3)
+    topics = [[f"t{k}w{i}" for i in range(12)] for k in range(6)]
+    texts = [" ".join(rng.choice(topics[d % 6], 8)) for d in range(5000)]
+    items = [" ".join(rng.choice(topics[i % 2], 5)) for i in range(3000)]
+    both = [spark.createDataFrame([(x,) for x in t], "text string") for t in (texts, items)]
+    bags = [decontaminate.bags(x) for x in both]
+    idf, n = decontaminate.inverse_frequencies(bags[0])
+    assert n == 5000
+    at, v = decontaminate.latent_space(bags[0].withColumn("weight", F.lit(n**-0.5)).unionByName(bags[1].withColumn("weight", F.lit(3000**-0.5))), idf, 6)
+    place, a = {x: i for i, x in enumerate(at.tolist())}, []
+    for rows, weight in ((bags[0].collect(), n**-0.5), (bags[1].collect(), 3000**-0.5)):
+        for r in rows:
+            x = np.zeros(len(at))
+            x[[place[s] for s in r["slots"]]] = np.array(r["counts"]) * idf[r["slots"]]
+            a.append(x / np.linalg.norm(x) * weight)
+    best = np.linalg.svd(np.array(a), compute_uv=False)[:6]
+    assert ((np.array(a) @ v) ** 2).sum() > 0.98 * (best**2).sum() and np.allclose(v.T @ v, np.eye(6), atol=1e-6)
+    assert decontaminate.word_vectors(bags[0], n, bags[1], 3000, idf)[list(at)].any(1).all()
+
+
 def test_maps_of_long_sets_are_held_by_their_bytes():
     """As many rows as a task may hold, with large maps, are compared in parts; the pairs are those of all rows at once."""
     rng = np.random.default_rng(5)

@@ -1,8 +1,8 @@
 """Benchmark decontamination by latent semantic retrieval.
 
 Benchmark items and passages of documents are TF-IDF vectors over a fixed number of hashed words, with document
-frequencies counted over all documents. A randomised SVD, its sketches summed by Spark over partitions of passages, finds
-the space of low rank that a bounded sample of corpus passages and of items spans best. An image there is the sum of its words' images, so
+frequencies counted over all documents. A randomised SVD, its sketches summed by Spark over partitions of texts, finds
+the space of low rank that all texts of the corpus and all items span best, both with the same weight in sum. An image there is the sum of its words' images, so
 passages of every length come from sums over short blocks of words. Every passage of every text, in lengths and steps that
 follow the items' lengths, is scored against the items' images by cosine, many at once. What reaches the least
 cosine must have enough of the item's words, and of its rarest ones (bit sets of both, which lose nothing), and is then compared word by word: the longest common
@@ -24,8 +24,8 @@ from .words import U, Words, mix, slices
 
 #: Hashed words; rank and extra columns of the SVD, and its power rounds.
 DIMENSIONS, RANK, EXTRA, POWER = 1 << 16, 64, 16, 1
-#: Words of a passage that helps to fit the space, and how many of the corpus and how many of the items (fixed samples) do.
-FIT_WORDS, SAMPLE = 32, 2048
+#: Slots of texts that are sketched at once, and partitions of bags that are summed in one task, at least so many tasks.
+FIT_SLOTS, FIT_PARTS, FIT_TASKS = 1 << 12, 8, 8
 #: Benchmark items searched in one pass over the documents, and scores held at once.
 BLOCK, SCORES = 8192, 1 << 22
 #: Bytes of text searched at once, so that their images stay in the processor's cache.
@@ -52,84 +52,86 @@ def _slot(h: np.ndarray) -> np.ndarray:
     return (mix(h) & U(DIMENSIONS - 1)).astype(np.int64)
 
 
+_BAG = "slots array<int>, counts array<int>"
+
+
+def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each text as its slots and how often it has them; texts without words have none."""
+    for batch in batches:
+        for w in slices(batch.column(0), lower=False, size=SEARCH_BYTES):
+            pairs, n = np.unique(_row_of_word(w) * DIMENSIONS + _slot(w.hash), return_counts=True)
+            ends = pa.array(np.searchsorted(pairs, np.arange(w.n + 1) * DIMENSIONS).astype(np.int32))
+            lists = (pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (pairs % DIMENSIONS, n))
+            yield pa.record_batch(list(lists), names=["slots", "counts"])
+
+
+def bags(texts: DataFrame) -> DataFrame:
+    """(slots, counts) of each text (text)."""
+    return texts.mapInArrow(_bags, _BAG)
+
+
 def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many texts of the partition each slot occurs; slot -1 counts the texts."""
     count, texts = np.zeros(DIMENSIONS, np.int64), 0
     for batch in batches:
-        for w in slices(batch.column(0), lower=False):
-            kind = np.int32 if w.n < 1 << 15 else np.int64
-            pairs = np.unique(_row_of_word(w).astype(kind) * kind(DIMENSIONS) + _slot(w.hash).astype(kind))
-            count += np.bincount(pairs % DIMENSIONS, minlength=DIMENSIONS)
-            texts += w.n
+        count += np.bincount(batch.column(0).flatten().to_numpy(), minlength=DIMENSIONS)
+        texts += batch.num_rows
     at = np.flatnonzero(count)
     yield pa.record_batch({"slot": pa.array(np.append(at, -1)), "n": pa.array(np.append(count[at], texts))})
 
 
-def inverse_frequencies(texts: DataFrame) -> np.ndarray:
-    """One weight for each of :data:`DIMENSIONS` slots, from all texts; the sums that reach the driver are as many."""
-    sums = texts.mapInArrow(_document_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
+def inverse_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
+    """One weight for each of :data:`DIMENSIONS` slots, from all texts' :func:`bags`, and the number of texts; the sums that reach the driver are as many."""
+    sums = _in_few_tasks(texts).mapInArrow(_document_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
     count, n = np.zeros(DIMENSIONS), 0
     for r in sums:
         if r["slot"] < 0:
             n = r["n"]
         else:
             count[r["slot"]] = r["n"]
-    return np.log((n + 1.0) / (count + 1.0)) + 1.0
+    return np.log((n + 1.0) / (count + 1.0)) + 1.0, n
 
 
-def _passages(w: Words) -> list[np.ndarray]:
-    """Slots of the passages of some texts."""
-    out, slot, half = [], _slot(w.hash), FIT_WORDS // 2
-    for lo, hi in zip(w.bounds[:-1], w.bounds[1:], strict=True):
-        out += [slot[a : min(a + FIT_WORDS, hi)] for a in range(lo, max(lo + 1, hi - half), half) if hi > lo]
-    return out
+def _in_few_tasks(texts: DataFrame) -> DataFrame:
+    """Bags are small and a task's sums are not, so several partitions are summed in one task; more texts make more tasks."""
+    return texts.coalesce(max(FIT_TASKS, texts.rdd.getNumPartitions() // FIT_PARTS))
 
 
-def _unit(slots: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    at, count = np.unique(slots, return_counts=True)
-    v = count * idf[at]
-    return at, v / np.linalg.norm(v)
-
-
-def _slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for w in slices(batch.column(0), lower=False):
-            yield pa.record_batch({"slot": pa.array(np.unique(_slot(w.hash)))})
-
-
-def _sketch(idf, basis, whole: bool):
-    """Per partition of passages, rows of A^T (A basis) or, for an orthonormal basis, the small (A basis)^T (A basis)."""
+def _sketch(idf, basis):
+    """Per partition of (slots, counts, weight), rows of A^T (A basis); A has each text's TF-IDF vector of length one, times its weight."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        place, q = basis.value
-        total: dict[int, np.ndarray] = {}
-        gram = np.zeros((q.shape[1], q.shape[1]))
+        weights, q = idf.value, basis.value
+        total, seen = np.zeros(q.shape), np.zeros(DIMENSIONS, bool)
         for batch in batches:
-            for w in slices(batch.column(0), lower=False):
-                for slots in _passages(w):
-                    at, v = _unit(slots, idf.value)
-                    at = place[at]
-                    y = v @ q[at]
-                    if whole:
-                        for i, x in zip(at.tolist(), v, strict=True):
-                            total[i] = total.get(i, 0.0) + x * y
-                    else:
-                        gram += np.outer(y, y)
-        if not whole:
-            total = dict(enumerate(gram))
-        if total:
-            i = np.fromiter(total, np.int64, len(total))
-            yield _rows(i, np.array(list(total.values())))
+            ends = np.append(0, np.cumsum(batch.column(0).value_lengths().to_numpy()))
+            slots, counts, weight = batch.column(0).flatten().to_numpy(), batch.column(1).flatten().to_numpy(), batch.column(2).to_numpy()
+            lo = 0
+            while lo < len(weight):
+                hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + FIT_SLOTS, "right")) - 1)
+                some = slice(ends[lo], ends[hi])
+                row = np.repeat(np.arange(hi - lo), np.diff(ends[lo : hi + 1]))
+                v = counts[some] * weights[slots[some]]
+                v *= (weight[lo:hi] / np.maximum(np.sqrt(np.bincount(row, v * v, hi - lo)), 1e-9))[row]
+                seen[slots[some]] = True
+                at, column = np.unique(slots[some], return_inverse=True)
+                a = np.zeros((hi - lo, len(at)), np.float32)
+                a[row, column] = v
+                total[at] += a.T @ (a @ q[at])
+                lo = hi
+        i = np.flatnonzero(seen)
+        for at in range(0, len(i), FIT_SLOTS):
+            yield _rows(i[at : at + FIT_SLOTS], total[i[at : at + FIT_SLOTS]])
 
     return run
 
 
-_SUMS = "part long, i long, v array<double>"
+_SUMS = "part long, i long, v array<float>"
 
 
 def _rows(i: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
     ends = np.arange(0, v.size + 1, v.shape[1], dtype=np.int32)
-    return pa.record_batch({"part": pa.array(i % 64), "i": pa.array(i), "v": pa.ListArray.from_arrays(pa.array(ends), pa.array(v.astype(np.float64).ravel()))})
+    return pa.record_batch({"part": pa.array(i % 64), "i": pa.array(i), "v": pa.ListArray.from_arrays(pa.array(ends), pa.array(v.astype(np.float32).ravel()))})
 
 
 def _matrix(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
@@ -141,7 +143,7 @@ def _total(table: pa.Table) -> pa.Table:
     i, v = _matrix(table)
     order = np.argsort(i, kind="stable")
     lead = np.flatnonzero(np.append(True, np.diff(i[order]) != 0))
-    return pa.Table.from_batches([_rows(i[order][lead], np.add.reduceat(v[order], lead, axis=0))])
+    return pa.Table.from_batches([_rows(i[order][lead], np.add.reduceat(v[order].astype(np.float64), lead, axis=0))])
 
 
 def _summed(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -149,29 +151,32 @@ def _summed(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return _matrix(rows.groupBy("part").applyInArrow(_total, _SUMS).toArrow())
 
 
-def latent_space(passages: DataFrame, idf: np.ndarray, rank: int = RANK) -> tuple[np.ndarray, np.ndarray]:
-    """(slots, V): an orthonormal basis, by rows of the slots that occur, of the best space of the TF-IDF passages (text).
+def latent_space(texts: DataFrame, idf: np.ndarray, rank: int = RANK) -> tuple[np.ndarray, np.ndarray]:
+    """(slots, V): an orthonormal basis, by rows of the slots that occur, of the best space of the texts' (slots, counts, weight) TF-IDF vectors.
 
-    Randomised SVD: a random test matrix, power rounds, then the eigenvectors of the small projected matrix.
+    Randomised SVD: a random test matrix, power rounds, and from the last of them the singular vectors of the Nyström form Z (Q^T Z)^-1 Z^T of A^T A,
+    where Z is A^T A Q.
     """
-    sc = passages.sparkSession.sparkContext
+    sc = texts.sparkSession.sparkContext
     weights = sc.broadcast(idf.astype(np.float64))
-    # the passages are a bounded set, and so are the slots that they fill
-    at = np.array([r["slot"] for r in passages.mapInArrow(_slots, "slot long").distinct().orderBy("slot").collect()], np.int64)
-    if not len(at):
-        return at, np.zeros((0, 1))
-    place = np.full(DIMENSIONS, -1, np.int32)
-    place[at] = np.arange(len(at))
-    q = np.random.default_rng(7).standard_normal((len(at), rank + EXTRA))
-    for _ in range(1 + POWER):
-        i, rows = _summed(passages.mapInArrow(_sketch(weights, sc.broadcast((place, q.astype(np.float32))), True), _SUMS))
-        z = np.zeros((len(at), rows.shape[1]))
-        z[i] = rows
-        u, s, _ = np.linalg.svd(z, full_matrices=False)
-        q = u[:, s > 1e-9 * s[0]]
-    i, gram = _summed(passages.mapInArrow(_sketch(weights, sc.broadcast((place, q.astype(np.float32))), False), _SUMS))
-    values, vectors = np.linalg.eigh(gram[np.argsort(i)])
-    return at, q @ vectors[:, np.argsort(-values)[:rank]]
+    q = np.random.default_rng(7).standard_normal((DIMENSIONS, rank + EXTRA))
+    for left in range(POWER, -1, -1):
+        shared = sc.broadcast(q.astype(np.float32))
+        at, rows = _summed(texts.mapInArrow(_sketch(weights, shared), _SUMS))
+        shared.unpersist()
+        if not len(at) or not np.abs(rows).max():
+            return np.zeros(0, np.int64), np.zeros((0, 1))
+        order = np.argsort(at)
+        at, z = at[order], rows[order].astype(np.float64)
+        if left:
+            u, s, _ = np.linalg.svd(z, full_matrices=False)
+            q = np.zeros((DIMENSIONS, int((s > 1e-6 * s[0]).sum())))
+            q[at] = u[:, : q.shape[1]]
+    inner = q[at].T @ z
+    values, vectors = np.linalg.eigh((inner + inner.T) / 2)
+    kept = values > 1e-6 * values[-1]
+    u, s, _ = np.linalg.svd(z @ (vectors[:, kept] / np.sqrt(values[kept])), full_matrices=False)
+    return at, u[:, s > 1e-3 * s[0]][:, :rank]
 
 
 def common_subsequence(item: list[int], text: list[int]) -> list[bool]:
@@ -356,22 +361,10 @@ def _search(items, vectors):
     return run
 
 
-def _fit_texts(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """At most :data:`SAMPLE` passages of the corpus, from places anywhere in its texts, and as many items."""
-    text, h = F.col("text").cast("string"), F.xxhash64(F.lit("sample"), F.col("doc_id").cast("long"))
-    known = docs.filter(F.col("doc_id").isNotNull())
-    drawn = known.select(h.alias("h")).groupBy(F.pmod("h", F.lit(SAMPLE))).agg(F.min("h").alias("drawn")).select("drawn")
-    chars = 12 * FIT_WORDS
-    begin = F.pmod(F.xxhash64(h), F.greatest(F.lit(1), F.char_length(text) - chars)).cast("int") + 1
-    some = known.join(F.broadcast(drawn), h == F.col("drawn"), "left_semi").groupBy(h.alias("h")).agg(F.max(F.substr(text, begin, F.lit(chars))).alias("text"))
-    corpus = some.select(F.substring_index(F.regexp_replace(F.trim(plain("text")), r"\s+", " "), " ", FIT_WORDS).alias("text")).distinct()
-    few = items.select(F.xxhash64("text").alias("h"), "text").groupBy(F.pmod("h", F.lit(SAMPLE)).alias("k")).agg(F.min_by("text", "h").alias("text"))
-    return corpus.unionByName(few.select("text"))
-
-
-def word_vectors(docs: DataFrame, items: DataFrame, idf: np.ndarray, scratch: Scratch) -> np.ndarray:
-    """Each slot's weighted image in the latent space, and a last row of zeros."""
-    at, v = latent_space(scratch.table(_fit_texts(docs, items), "fit").repartition(4), idf)
+def word_vectors(texts: DataFrame, n_texts: int, items: DataFrame, n_items: int, idf: np.ndarray) -> np.ndarray:
+    """Each slot's weighted image in the latent space of all texts and all items (both as bags), and a last row of zeros."""
+    weighed = [x.withColumn("weight", F.lit(max(1, n) ** -0.5)) for x, n in ((_in_few_tasks(texts), n_texts), (items, n_items))]
+    at, v = latent_space(weighed[0].unionByName(weighed[1]), idf)
     out = np.zeros((DIMENSIONS + 1, v.shape[1]), np.float32)
     out[at] = v * idf[at][:, None]
     return out
@@ -386,22 +379,23 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark)
     sc = spark.sparkContext
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", F.col("text").cast("string")).alias("row"), plain("text").alias("text"))
+    texts = scratch.table(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("doc_id", F.col("text").cast("string")).alias("row"), plain("text").alias("text")), "plain")
     items = scratch.table(benchmark.select(F.col("item_id").cast("long").alias("item_id"), plain("text").alias("text")).filter("item_id is not null and trim(text) <> ''").distinct(), "items")
     n_items = items.count()
     if not n_items:
         return spark.createDataFrame([], _FOUND)
     blocks = -(-n_items // (BLOCK * 4 // 5)) if n_items > BLOCK else 1
     numbered = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)))
-    idf = inverse_frequencies(texts.select("text"))
-    vectors = word_vectors(docs, items, idf, scratch)
+    known = scratch.table(bags(texts.select("text")), "bags")
+    idf, n_texts = inverse_frequencies(known)
+    vectors = word_vectors(known, n_texts, bags(items.select("text")).coalesce(FIT_TASKS), n_items, idf)
     shared, found = sc.broadcast(vectors), None
     for block in range(blocks):
         local = numbered.filter(F.col("block") == block).select("item_id", "text").orderBy("item_id", "text").collect()
         if not local:
             continue
-        known = Items([r["item_id"] for r in local], [next(slices(pa.array([r["text"]]), lower=False)).hash for r in local], vectors, idf)
-        hits = scratch.table(texts.mapInArrow(_search(sc.broadcast(known), shared), _FOUND), "hits")
+        block_items = Items([r["item_id"] for r in local], [next(slices(pa.array([r["text"]]), lower=False)).hash for r in local], vectors, idf)
+        hits = scratch.table(texts.mapInArrow(_search(sc.broadcast(block_items), shared), _FOUND), "hits")
         found = hits if found is None else found.unionByName(hits)
     return found
 
