@@ -132,3 +132,8 @@ def test_digests_send_only_differing_ranges_to_the_row_comparison(spark, tmp_pat
     assert len(rows) == 2 and max(rows) < 20_000  # row groups of the other ranges are skipped
     wide = quality.diff_by_digests(a, a.filter("id % 500 <> 0"), "id", 100)  # more stretches than are pushed down
     assert wide.count() == 80 and quality.diff_by_digests(a, a, "id", 100).count() == 0
+
+
+def test_basket_report_joins_only_the_rows_of_its_days(spark):
+    plan = plans.QUERIES["report_basket"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("LeftSemi") >= 3  # both reads of the lines, and the refunds
