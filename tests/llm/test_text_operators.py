@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -618,3 +619,25 @@ def test_maps_of_long_sets_are_held_by_their_bytes():
     for batch in ngram_join._bucket_pairs(4, 5)(iter([rows])):
         made.append(set(zip(*(c.to_pylist() for c in batch.columns), strict=True)))
     assert len(made) > 1 and set().union(*made) == {(i, i + 1) for i in range(0, 24, 2)}
+
+
+def test_decontamination_space_is_made_in_little_memory(spark):
+    """The driver holds the matrices of the space in single precision, and no decomposition of a tall one."""
+    rows = [(" ".join(f"w{d * 40 + i}" for i in range(40)),) for d in range(4000)]
+    bags = decontaminate.bags(spark.createDataFrame(rows, "text string").repartition(4))
+    idf, n = decontaminate.inverse_frequencies(bags)
+    weighed = bags.withColumn("weight", F.lit(n**-0.5))
+    tracemalloc.start()
+    at, v = decontaminate.latent_space(weighed, idf)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(at) > 55_000 and v.shape[1] == decontaminate.RANK and peak < 120e6
+
+
+@pytest.mark.parametrize("longest", [3, 200])
+def test_weighted_sums(longest):
+    rng = np.random.default_rng(4)
+    bounds = np.append(0, np.cumsum(rng.integers(0, longest + 1, 300)))
+    of, weights, rows = rng.integers(0, 50, bounds[-1]), rng.random(bounds[-1]).astype(np.float32), rng.random((50, 7)).astype(np.float32)
+    want = [(weights[a:b, None] * rows[of[a:b]]).sum(0) for a, b in zip(bounds, bounds[1:])]
+    assert np.allclose(decontaminate._weighted_sums(bounds, weights, of, rows), want, rtol=1e-4)

@@ -25,7 +25,9 @@ from .words import U, Words, mix, slices
 #: Hashed words; rank and extra columns of the SVD, and its power rounds.
 DIMENSIONS, RANK, EXTRA, POWER = 1 << 16, 64, 16, 1
 #: Slots of texts that are sketched at once, and partitions of bags that are summed in one task, at least so many tasks.
-FIT_SLOTS, FIT_PARTS, FIT_TASKS = 1 << 12, 8, 8
+FIT_SLOTS, FIT_PARTS, FIT_TASKS = 1 << 20, 8, 8
+#: Rows of a matrix that are handled at once, and sums of more rows than those that are taken one by one.
+ROWS, LONG = 1 << 12, 32
 #: Benchmark items searched in one pass over the documents, and scores held at once.
 BLOCK, SCORES = 8192, 1 << 22
 #: Bytes of text searched at once, so that their images stay in the processor's cache.
@@ -59,7 +61,9 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each text as its slots and how often it has them; texts without words have none."""
     for batch in batches:
         for w in slices(batch.column(0), lower=False, size=SEARCH_BYTES):
-            pairs, n = np.unique(_row_of_word(w) * DIMENSIONS + _slot(w.hash), return_counts=True)
+            pairs = np.sort((_row_of_word(w) * DIMENSIONS + _slot(w.hash)).astype(np.uint32 if w.n * DIMENSIONS <= 1 << 32 else np.int64))
+            lead = np.flatnonzero(np.append(True, pairs[1:] != pairs[:-1])[: len(pairs)])
+            n, pairs = np.diff(np.append(lead, len(pairs))), pairs[lead].astype(np.int64)
             ends = pa.array(np.searchsorted(pairs, np.arange(w.n + 1) * DIMENSIONS).astype(np.int32))
             lists = (pa.ListArray.from_arrays(ends, pa.array(x.astype(np.int32))) for x in (pairs % DIMENSIONS, n))
             yield pa.record_batch(list(lists), names=["slots", "counts"])
@@ -82,14 +86,11 @@ def _document_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 def inverse_frequencies(texts: DataFrame) -> tuple[np.ndarray, int]:
     """One weight for each of :data:`DIMENSIONS` slots, from all texts' :func:`bags`, and the number of texts; the sums that reach the driver are as many."""
-    sums = _in_few_tasks(texts).mapInArrow(_document_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).collect()
-    count, n = np.zeros(DIMENSIONS), 0
-    for r in sums:
-        if r["slot"] < 0:
-            n = r["n"]
-        else:
-            count[r["slot"]] = r["n"]
-    return np.log((n + 1.0) / (count + 1.0)) + 1.0, n
+    sums = _in_few_tasks(texts).mapInArrow(_document_counts, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()
+    count = np.zeros(DIMENSIONS + 1)
+    count[sums["slot"].to_numpy()] = sums["n"].to_numpy()  # slot -1 is the last
+    n = int(count[-1])
+    return np.log((n + 1.0) / (count[:-1] + 1.0)) + 1.0, n
 
 
 def _in_few_tasks(texts: DataFrame) -> DataFrame:
@@ -97,8 +98,26 @@ def _in_few_tasks(texts: DataFrame) -> DataFrame:
     return texts.coalesce(max(FIT_TASKS, texts.rdd.getNumPartitions() // FIT_PARTS))
 
 
+def _weighted_sums(bounds: np.ndarray, weights: np.ndarray, of: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """For each i the sum of ``weights[j] * rows[of[j]]`` over j in ``bounds[i]:bounds[i + 1]``; sums of equally many rows are taken together."""
+    size, out = np.diff(bounds), np.zeros((len(bounds) - 1, rows.shape[1]), np.float32)
+    for i in np.flatnonzero(size > LONG):
+        some = slice(bounds[i], bounds[i + 1])
+        np.dot(weights[some], rows.take(of[some], 0), out=out[i])
+    for n in range(1, LONG + 1):
+        at = np.flatnonzero(size == n)
+        for lo in range(0, len(at), ROWS // n):
+            some = at[lo : lo + ROWS // n]
+            j = bounds[some][:, None] + np.arange(n)
+            out[some] = (weights[j][:, None, :] @ rows[of[j]])[:, 0]
+    return out
+
+
 def _sketch(idf, basis):
-    """Per partition of (slots, counts, weight), rows of A^T (A basis); A has each text's TF-IDF vector of length one, times its weight."""
+    """Per partition of (slots, counts, weight), rows of A^T (A basis); A has each text's TF-IDF vector of length one, times its weight.
+
+    The texts' images are sums over their slots; then the same entries, in order of their slots, sum up the images.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights, q = idf.value, basis.value
@@ -110,18 +129,20 @@ def _sketch(idf, basis):
             while lo < len(weight):
                 hi = max(lo + 1, int(np.searchsorted(ends, ends[lo] + FIT_SLOTS, "right")) - 1)
                 some = slice(ends[lo], ends[hi])
-                row = np.repeat(np.arange(hi - lo), np.diff(ends[lo : hi + 1]))
-                v = counts[some] * weights[slots[some]]
-                v *= (weight[lo:hi] / np.maximum(np.sqrt(np.bincount(row, v * v, hi - lo)), 1e-9))[row]
-                seen[slots[some]] = True
-                at, column = np.unique(slots[some], return_inverse=True)
-                a = np.zeros((hi - lo, len(at)), np.float32)
-                a[row, column] = v
-                total[at] += a.T @ (a @ q[at])
+                at, bounds = slots[some], ends[lo : hi + 1] - ends[lo]
+                row = np.repeat(np.arange(hi - lo), np.diff(bounds))
+                v = counts[some] * weights[at]
+                v = (v * (weight[lo:hi] / np.maximum(np.sqrt(np.bincount(row, v * v, hi - lo)), 1e-9))[row]).astype(np.float32)
+                images = _weighted_sums(bounds, v, at, q)
+                order = np.argsort(at.astype(np.uint16), kind="stable")
+                at = at[order]
+                lead = np.flatnonzero(np.append(True, at[1:] != at[:-1])[: len(at)])
+                seen[at[lead]] = True
+                total[at[lead]] += _weighted_sums(np.append(lead, len(at)), v[order], row[order], images)
                 lo = hi
         i = np.flatnonzero(seen)
-        for at in range(0, len(i), FIT_SLOTS):
-            yield _rows(i[at : at + FIT_SLOTS], total[i[at : at + FIT_SLOTS]])
+        for at in range(0, len(i), ROWS):
+            yield _rows(i[at : at + ROWS], total[i[at : at + ROWS]])
 
     return run
 
@@ -146,37 +167,60 @@ def _total(table: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_rows(i[order][lead], np.add.reduceat(v[order].astype(np.float64), lead, axis=0))])
 
 
-def _summed(rows: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Vectors added up by row number. Their number is bounded by :data:`DIMENSIONS`."""
-    return _matrix(rows.groupBy("part").applyInArrow(_total, _SUMS).toArrow())
+def _summed(rows: DataFrame, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(which of the rows occur, all rows): vectors added up by row number. Their number is bounded by :data:`DIMENSIONS`; they are held once, in single precision."""
+    seen, total = np.zeros(DIMENSIONS, bool), np.zeros((DIMENSIONS, width), np.float32)
+    table = rows.groupBy("part").applyInArrow(_total, _SUMS).toArrow()
+    for batch in table.to_batches():
+        i = batch["i"].to_numpy()
+        seen[i], total[i] = True, batch["v"].flatten().to_numpy().reshape(len(i), width)
+    return seen, total
+
+
+def _product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """a^T b in double precision, over some rows at once."""
+    return sum(a[i : i + ROWS].astype(np.float64).T @ b[i : i + ROWS].astype(np.float64) for i in range(0, len(a), ROWS))
+
+
+def _turned(a: np.ndarray, by: np.ndarray) -> np.ndarray:
+    """a times a small matrix, over some rows at once, in single precision."""
+    out = np.empty((len(a), by.shape[1]), np.float32)
+    for i in range(0, len(a), ROWS):
+        out[i : i + ROWS] = a[i : i + ROWS].astype(np.float64) @ by
+    return out
+
+
+def _roots(square: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Eigenvalues of a symmetric matrix above a share of the largest, falling, and their vectors."""
+    values, vectors = np.linalg.eigh((square + square.T) / 2)
+    kept = np.flatnonzero(values > least * values[-1])[::-1]
+    return values[kept], vectors[:, kept]
 
 
 def latent_space(texts: DataFrame, idf: np.ndarray, rank: int = RANK) -> tuple[np.ndarray, np.ndarray]:
     """(slots, V): an orthonormal basis, by rows of the slots that occur, of the best space of the texts' (slots, counts, weight) TF-IDF vectors.
 
     Randomised SVD: a random test matrix, power rounds, and from the last of them the singular vectors of the Nyström form Z (Q^T Z)^-1 Z^T of A^T A,
-    where Z is A^T A Q.
+    where Z is A^T A Q. The driver holds Q and Z in single precision and decomposes only products of their columns.
     """
     sc = texts.sparkSession.sparkContext
     weights = sc.broadcast(idf.astype(np.float64))
-    q = np.random.default_rng(7).standard_normal((DIMENSIONS, rank + EXTRA))
+    q = np.random.default_rng(7).standard_normal((DIMENSIONS, rank + EXTRA)).astype(np.float32)
     for left in range(POWER, -1, -1):
-        shared = sc.broadcast(q.astype(np.float32))
-        at, rows = _summed(texts.mapInArrow(_sketch(weights, shared), _SUMS))
-        shared.unpersist()
-        if not len(at) or not np.abs(rows).max():
+        shared = sc.broadcast(q)
+        seen, z = _summed(texts.mapInArrow(_sketch(weights, shared), _SUMS), q.shape[1])
+        shared.destroy()
+        if not z.any():
             return np.zeros(0, np.int64), np.zeros((0, 1))
-        order = np.argsort(at)
-        at, z = at[order], rows[order].astype(np.float64)
         if left:
-            u, s, _ = np.linalg.svd(z, full_matrices=False)
-            q = np.zeros((DIMENSIONS, int((s > 1e-6 * s[0]).sum())))
-            q[at] = u[:, : q.shape[1]]
-    inner = q[at].T @ z
-    values, vectors = np.linalg.eigh((inner + inner.T) / 2)
-    kept = values > 1e-6 * values[-1]
-    u, s, _ = np.linalg.svd(z @ (vectors[:, kept] / np.sqrt(values[kept])), full_matrices=False)
-    return at, u[:, s > 1e-3 * s[0]][:, :rank]
+            values, vectors = _roots(_product(z, z), 1e-12)
+            q = _turned(z, vectors / np.sqrt(values))
+    weights.destroy()
+    values, vectors = _roots(_product(q, z), 1e-6)
+    half = vectors / np.sqrt(values)
+    values, vectors = _roots(half.T @ _product(z, z) @ half, 1e-6)
+    at = np.flatnonzero(seen)
+    return at, _turned(z[at], half @ (vectors / np.sqrt(values))[:, :rank])
 
 
 def common_subsequence(item: list[int], text: list[int]) -> list[bool]:
@@ -233,13 +277,11 @@ def passage_words(n: int) -> tuple[int, int]:
     return size, 2
 
 
-def _bits(h: np.ndarray, which: np.ndarray | None = None) -> np.ndarray:
-    """Of each word one of 256 bits, in four columns; none where ``which`` is false."""
-    x = mix(h) >> U(56)
-    out = np.zeros((len(h), 4), U)
-    bit = U(1) << (x & U(63))
-    out[np.arange(len(h)), (x >> U(6)).astype(np.int64)] = bit if which is None else np.where(which, bit, U(0))
-    return out
+def _bit_sets(n: int, of: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """``n`` sets of words, each word one of 256 bits in four columns; ``of`` is each word's set."""
+    flags = np.zeros(n * 256, np.uint8)
+    flags[of * 256 + (mix(h) >> U(56)).astype(np.int64)] = 1
+    return np.packbits(flags, bitorder="little").view("<u8").reshape(-1, 4)
 
 
 def _add_next(total: np.ndarray, rows: np.ndarray, d: int, other: np.ndarray, add: np.ufunc) -> None:
@@ -264,8 +306,7 @@ class Items:
         rare = [x[np.argsort(-idf[_slot(x)], kind="stable")[:k]] for x, k in zip(words, least, strict=True)]
         images = np.array([vectors[_slot(x)].sum(0) for x in words])
         self.images = (images / np.maximum(np.linalg.norm(images, axis=1, keepdims=True), 1e-9)).astype(np.float32)
-        self.all_bits = np.array([np.bitwise_or.reduce(_bits(x), axis=0) for x in words])
-        self.rare_bits = np.array([np.bitwise_or.reduce(_bits(x), axis=0) for x in rare])
+        self.all_bits, self.rare_bits = (_bit_sets(len(x), np.repeat(np.arange(len(x)), [len(y) for y in x]), np.concatenate(x)) for x in (words, rare))
         self.may_miss = size - least
         self.cosine = np.where(size < FEW, COSINE_OF_FEW, COSINE).astype(np.float32)
         self.must_have = 2 * least - size - (least - np.bitwise_count(self.rare_bits).sum(1))
@@ -288,11 +329,10 @@ class Items:
         # each text filled up to whole blocks with a word that has no image
         at = np.arange(len(w.hash)) + np.repeat(first * base - w.bounds[:-1], n)
         slot = np.full(len(owner) * base, DIMENSIONS, np.int64)
-        slot[at] = _slot(w.hash)
+        slot[at] = own_slot = _slot(w.hash)
         image = np.take(vectors, slot, axis=0, mode="clip").reshape(len(owner), base, -1).sum(1)
-        bits = np.zeros((len(slot), 8), U)
-        bits[at, :4], bits[at, 4:] = _bits(w.hash), _bits(w.hash, self.rare_slots[slot[at]])
-        bits = np.bitwise_or.reduce(bits.reshape(len(owner), base, 8), axis=1)
+        rare = np.flatnonzero(self.rare_slots[own_slot])
+        bits = np.hstack([_bit_sets(len(owner), at // base, w.hash), _bit_sets(len(owner), at[rare] // base, w.hash[rare])])
         for (words, steps), of in self.classes.items():
             per = words // steps // base
             n2 = -(-count // per)
