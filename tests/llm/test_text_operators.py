@@ -641,3 +641,50 @@ def test_weighted_sums(longest):
     of, weights, rows = rng.integers(0, 50, bounds[-1]), rng.random(bounds[-1]).astype(np.float32), rng.random((50, 7)).astype(np.float32)
     want = [(weights[a:b, None] * rows[of[a:b]]).sum(0) for a, b in zip(bounds, bounds[1:])]
     assert np.allclose(decontaminate._weighted_sums(bounds, weights, of, rows), want, rtol=1e-4)
+
+
+def test_wrapper_is_proposed_by_all_pages(spark):
+    """A node that the pages of least digest do not have, and one that most of a host's pages with articles have but not those of least hash, are known for the host's."""
+    text = "text of page " * 9
+    plain = lambda i, line: f"<html><body><p>Our site</p>{line}<p>{text}{i}</p></body></html>"
+    teaser = lambda i, end: f"<html><body><p>Our site</p><section class=t1><article><p>Read of {i}</p></article></section><div class=x2><h1>Head {i}</h1><p>{text}{i}</p></div>{end}</body></html>"
+    digest = lambda i, s: hashlib.md5(f"{s}{text}{i}".encode()).hexdigest()
+    low = set(sorted(range(200), key=lambda i: digest(i, "Our site\n"))[:8])
+    line = "<p>Sign here</p>"
+    rows = [(i, "http://plain.example/", plain(i, "" if i in low else line)) for i in range(200)]
+    # which pages with the node stay behind those without depends on the others' digests, so count on the digests with the node
+    first = sorted([digest(i, "Our site\n") if i in low else digest(i, "Our site\nSign here\n") for i in range(200)])[:8]
+    assert sum(digest(i, "Our site\n") in first for i in low) > 4  # so that node is not in most of the least eight pages
+    # on the least pages by hash the text is in another container
+    frame_of = lambda r: spark.createDataFrame(r, "page_id long, url string, html string")
+    other = lambda i: teaser(i, "").replace("<article>", "<article><p>" + "own text " * 90 + f"{i}</p>")
+    made = [(1000 + i, "http://teaser.example/", teaser(i, "")) for i in range(160)]
+    odd = sorted((r["h"], r["i"]) for r in frame_of([(i, "", other(i)) for i in range(4000)]).select(F.xxhash64("html").alias("h"), F.col("page_id").alias("i")).collect())[:8]
+    made += [(3000 + k, "http://teaser.example/", other(i)) for k, (_, i) in enumerate(odd)]
+    least = frame_of(made).orderBy(F.xxhash64("html")).limit(8)
+    assert {r["page_id"] for r in least.collect()} == {3000 + k for k in range(8)}
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(frame_of(rows + made)).collect()}
+    assert len(got) == len(rows) + len(made) and all(got[i] == f"{text}{i}" for i in range(200))
+    assert all(got[1000 + i] == f"Head {i}\n{text}{i}" for i in range(160))
+
+
+def test_shared_shapes_match_as_all_pairs_do():
+    """Tables kept for two shapes and children of equal shape at the end give the most nodes, as the plain recursion does."""
+    rng = random.Random(5)
+    grow = lambda d: "".join(f"<{t}>{grow(d - 1) if d else rng.choice('xyz')}</{t}>" for t in rng.choices(["div", "ul", "section"], k=rng.randint(0, 3)))
+
+    def most(a, b):
+        if html_text._label(a) != html_text._label(b):
+            return 0
+        x, y = ([c for c in n.children if c.tag != "#text"] for n in (a, b))
+        m = [[0] * (len(y) + 1) for _ in range(len(x) + 1)]
+        for i, p in enumerate(x):
+            for j, q in enumerate(y):
+                m[i + 1][j + 1] = max(m[i][j + 1], m[i + 1][j], m[i][j] + most(p, q))
+        return m[-1][-1] + 1
+
+    for _ in range(60):
+        a, b = html_text.parse(grow(4)), html_text.parse(grow(4))
+        pairs = []
+        assert html_text.match(a, b, pairs) == most(a, b) == len(pairs)
+        assert all(html_text._label(p) == html_text._label(q) for p, q in pairs) and len({id(p) for p, _ in pairs}) == len({id(q) for _, q in pairs}) == len(pairs)
