@@ -668,6 +668,36 @@ def test_wrapper_is_proposed_by_all_pages(spark):
     assert all(got[1000 + i] == f"Head {i}\n{text}{i}" for i in range(160))
 
 
+def test_pages_are_shuffled_once_and_only_of_open_hosts(spark, monkeypatch):
+    """Html travels once to the parts that propose a wrapper, and not at all from hosts whose outlines agree with their articles."""
+    plans, table = {}, html_text.Scratch.table
+
+    def seen(self, df, name):
+        mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+        plans[name] = df._jdf.queryExecution().explainString(mode)
+        return table(self, df, name)
+
+    monkeypatch.setattr(html_text.Scratch, "table", seen)
+    line = lambda i: " ".join(f"w{i}x{k}" for k in range(30))
+    usual = [(i, "http://usual.example/", f"<body><nav>Menu</nav><article><p>{line(i)}</p></article><p>Foot</p></body>") for i in range(24)]
+    frame_of = lambda rows: spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(frame_of(usual)).collect()}
+    assert got == {i: line(i) for i in range(24)} and "proposed" not in plans
+    plain = [(100 + i, "http://plain.example/", f"<body><p>Our site</p><p>{line(i)}</p><script>{'x' * i}</script></body>") for i in range(24)]
+    got = {r["page_id"]: r["text"] for r in html_text.main_text(frame_of(usual + plain + plain[:3])).collect()}
+    assert got == {i: line(i) for i in range(24)} | {100 + i: line(i) for i in range(24)}
+    moved = [x for x in plans["proposed"].split("\n\n") if re.match(r"\(\d+\) Exchange", x.strip()) and re.search(r"\b(html|packed)#", x)]
+    assert len(moved) == 1
+
+
+def test_packed_trees_are_the_same():
+    html = '<body id=b><div class="a c"><p>x &amp; "y"<br>\ud800</p><script>1 < 2</script><svg><g>t</g></svg></div>-1<article><h1>A</h1></article></body>'
+    tree = html_text.parse(html)
+    back = html_text.unpack(html_text.pack(tree))
+    assert html_text._prepare(tree, shapes := {}) == html_text._prepare(back, shapes) and tree.shape == back.shape and tree.digest == back.digest
+    assert list(html_text._blocks(tree, [tree])) == list(html_text._blocks(back, [back])) and html_text.blocks(tree) == html_text.blocks(back)
+
+
 def test_shared_shapes_match_as_all_pairs_do():
     """Tables kept for two shapes and children of equal shape at the end give the most nodes, as the plain recursion does."""
     rng = random.Random(5)
